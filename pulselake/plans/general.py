@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.timeparse import clean_station, iso_day, millis_of_ntz
-from ..operators import instants, intervals, message_index, rolling, shredding
+from ..functions.timeparse import clean_station, iso_day, millis_of_ntz, valid_zone
+from ..operators import instants, intervals, message_index, outliers, rolling, shredding
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -57,6 +57,29 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return best.select(F.col("entity").alias("wearer_id"), iso_day(F.col("day")).alias("day_iso"), "field_name", "window_days")
 
 
+WEATHER_LIMITS = {
+    # Physical bounds: no global radiation below zero or above the sun's own; no ground colder or hotter than ever measured; a share of volume.
+    "solar_rad_wm2": outliers.Limits(0.0, 1500.0, fence=(70.0, 0.2), idle=0.0),
+    "surface_temp_max_c": outliers.Limits(-75.0, 85.0, jump=13.0),
+    "soil_moisture_5": outliers.Limits(0.0, 1.0, jump=0.05),
+}
+
+
+def observation_hours(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    """Weather rows with ``hour``: whole hours since 1970, from the instant or else the local day, its count of hours and the station's zone."""
+    w = weather_with_station(spark, d, "obs_ts_utc", "obs_date_local", "obs_seq", *columns)
+    w = instants.add_day(w, "__day", F.when(F.col("obs_ts_utc").isNull(), F.col("obs_date_local")), F.col("__mdy"), F.col("__tz"))
+    midnight = F.convert_timezone(F.coalesce(valid_zone(F.col("__tz")), F.lit("UTC")), F.lit("UTC"), F.col("__day").cast("timestamp_ntz"))
+    begun = F.ceil(millis_of_ntz(midnight) / 3_600_000) + F.col("obs_seq")
+    return w.select(F.coalesce(F.floor(millis_of_ntz(F.col("obs_ts_utc")) / 3_600_000), begun).cast("long").alias("hour"), *columns)
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    """False readings of three weather fields, judged by what the logger normally shows."""
+    rows = observation_hours(spark, d, "row_id", "logger_no", *WEATHER_LIMITS)
+    return outliers.find_false_readings(rows.withColumnRenamed("logger_no", "source"), WEATHER_LIMITS)
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     """Every parent-child link of the readable payloads."""
     return shredding.links(table(spark, d, "bronze_payloads"))
@@ -102,4 +125,4 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p1_found, p2_found, p2_rolling_totals, p4_found, p4_tables, p5_found, p7_found)}
+    return {f.__name__: f for f in (p1_found, p2_found, p2_rolling_totals, p3_found, p4_found, p4_tables, p5_found, p7_found)}
