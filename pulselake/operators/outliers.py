@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.planning import where_computed
+
 CHUNK_H = 32 * 24
 HALO_H = 120  # standstills are told from ordinary runs within this many hours
 CONTEXT_H = 16 * 24
@@ -67,7 +69,7 @@ def excursions(t: np.ndarray, v: np.ndarray, jump: float) -> np.ndarray:
     near = step[gap == 1]
     if len(near) >= 8:
         q1, q3 = np.percentile(near, [25, 75])
-        jump = max(jump, q3 + 8 * (q3 - q1))
+        jump = max(jump, q3 + 5 * (q3 - q1))
     limit = jump * (1 + 0.2 * (np.minimum(gap, MAX_GAP_H) - 1))
     joined = gap <= MAX_GAP_H
     steep = joined & (step > limit)
@@ -158,7 +160,7 @@ def find_false_readings(df: DataFrame, limits: dict[str, Limits]) -> DataFrame:
     many = spread(HALO_H)
     data = rows.select("source", F.explode(many).alias("chunk"), "row_id", "hour", "__placed", *fields, F.lit(None).cast("array<double>").alias("q"), F.lit(-1).alias("of"))
     wide = spread(CONTEXT_H)
-    context = rows.where("__placed").select("source", F.explode(wide).alias("chunk"), (F.col("hour") % 24).alias("h"), *[F.when(F.col(f).between(limits[f].low, limits[f].high), F.col(f)).alias(f) for f in fields if limits[f].fence])
+    context = where_computed(rows, F.col("__placed")).select("source", F.explode(wide).alias("chunk"), (F.col("hour") % 24).alias("h"), *[F.when(F.col(f).between(limits[f].low, limits[f].high), F.col(f)).alias(f) for f in fields if limits[f].fence])
     fenced = [f for f in fields if limits[f].fence]
     parts = [data]
     if fenced:
