@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.timeparse import clean_station, iso_day, millis_of_ntz, valid_zone
-from ..operators import instants, intervals, message_index, outliers, rolling, shredding
+from ..operators import drift, instants, intervals, message_index, outliers, rolling, shredding
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -110,6 +110,17 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return found[0].unionByName(found[1])
 
 
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    """Every change of schema from one file of a feed to the next."""
+    return drift.schema_changes(table(spark, d, "capture_files"))
+
+
+def p6_table(spark: SparkSession, d: str) -> DataFrame:
+    """All export files read into one consistent table, by canonical field."""
+    files = table(spark, d, "capture_files")
+    return drift.consistent_table(files, drift.canonical_names(drift.schema_changes(files)))
+
+
 def sleep_intervals(spark: SparkSession, d: str) -> DataFrame:
     """All rows of both sleep tables as ``(entity, begin_ms, finish_ms, is_kind)``, a nap being the kind."""
     garmin = table(spark, d, "silver_sleep").select("wearer_id", "garmin_start_gmt", "garmin_end_gmt", "tz_name", "locale").where(F.col("garmin_start_gmt").isNotNull())
@@ -125,4 +136,4 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p1_found, p2_found, p2_rolling_totals, p3_found, p4_found, p4_tables, p5_found, p7_found)}
+    return {f.__name__: f for f in (p1_found, p2_found, p2_rolling_totals, p3_found, p4_found, p4_tables, p5_found, p6_found, p6_table, p7_found)}
