@@ -31,7 +31,7 @@ def asof_join(left: DataFrame, right: DataFrame, left_time: str, right_time: str
     Within a bucket the latest row is found by a window over (key, bucket); what
     holds at the bucket's start comes from one last row per key and bucket, so
     neither a hot key nor the join without key gathers all rows in one task.
-    Null times match nothing; ties on the right time are broken by ``tie``.
+    Null times and null keys match nothing; ties on the right time are broken by ``tie``.
     """
     bucket = F.trunc(F.col("__t").cast("date"), "MM") if bucket is None else bucket
     carried = F.struct(*values)
@@ -43,14 +43,18 @@ def asof_join(left: DataFrame, right: DataFrame, left_time: str, right_time: str
     inside = Window.partitionBy(*names, "__b").orderBy("__t", "__side", "__tie").rowsBetween(Window.unboundedPreceding, 0)
     here = rows.withColumn("__hit", F.last("__v", ignorenulls=True).over(inside)).where(F.col("__side") == 1)
     ends = r.withColumn("__b", bucket).groupBy(*names, "__b").agg(F.max_by("__v", F.struct("__t", "__tie")).alias("__end"))
-    buckets = here.select(*names, "__b").distinct().unionByName(ends.select(*names, "__b")).distinct().join(ends, [*names, "__b"], "left")
+    placed = here.select(*names, "__b", F.lit(None).cast(ends.schema["__end"].dataType).alias("__end"))
+    buckets = placed.unionByName(ends).groupBy(*names, "__b").agg(F.first("__end", ignorenulls=True).alias("__end"))
     before = Window.partitionBy(*names).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    start = buckets.withColumn("__start", F.last("__end", ignorenulls=True).over(before)).select(*names, "__b", "__start")
+    start = buckets.withColumn("__start", F.last("__end", ignorenulls=True).over(before)).select(*[F.col(n).alias(f"__s_{n}") for n in (*names, "__b")], "__start")
     same = F.lit(True)
-    for n in [*names, "__b"]:
-        same = same & here[n].eqNullSafe(F.col(f"s.{n}"))
-    joined = here.join(start.alias("s"), same, "left")
-    timed = F.when(F.col("__t").isNotNull(), F.coalesce(F.col("__hit"), F.col("s.__start")))
+    for n in (*names, "__b"):
+        same = same & F.col(n).eqNullSafe(F.col(f"__s_{n}"))
+    joined = here.join(start, same, "left")
+    matched = F.col("__t").isNotNull()
+    for n in keys:
+        matched = matched & F.col(n).isNotNull()
+    timed = F.when(matched, F.coalesce(F.col("__hit"), F.col("__start")))
     return joined.select("__l.*", timed.alias("__m")).select(*left.columns, *[F.col(f"__m.{v}").alias(v) for v in values])
 
 

@@ -137,3 +137,19 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
 
 def queries() -> dict:
     return {f.__name__: f for f in (p1_found, p2_found, p2_rolling_totals, p3_found, p4_found, p4_tables, p5_found, p6_found, p6_table, p7_found)}
+
+
+_LATEST = "SELECT wearer_id, day, steps, workout_total_min FROM gold_daily_wellness WHERE wearer_id IS NOT NULL AND day IS NOT NULL QUALIFY row_number() OVER (PARTITION BY wearer_id, day ORDER BY built_at DESC NULLS LAST, row_id DESC) = 1"
+_DAYS = f"""WITH latest AS ({_LATEST}), spine AS (SELECT wearer_id, CAST(unnest(generate_series(min(day)::TIMESTAMP, max(day)::TIMESTAMP, INTERVAL 1 DAY)) AS DATE) AS day FROM latest GROUP BY wearer_id),
+filled AS (SELECT wearer_id, day, coalesce(steps, 0)::DOUBLE AS steps, coalesce(workout_total_min, 0.0) AS workout_total_min FROM spine LEFT JOIN latest USING (wearer_id, day)),
+totals AS (SELECT wearer_id, day, {', '.join(f'sum({v}) OVER (PARTITION BY wearer_id ORDER BY day ROWS BETWEEN {w - 1} PRECEDING AND CURRENT ROW) AS {v}_{w}_total' for v in ACTIVITY for w in WINDOWS)},
+row_number() OVER (PARTITION BY wearer_id ORDER BY day) AS k FROM filled)"""
+
+
+def oracle_sql() -> dict[str, str]:
+    """SQL for the queries that SQL can express; the others are tested against brute force."""
+    best = " UNION ALL ".join(
+        f"SELECT wearer_id, strftime(day, '%Y-%m-%d') AS day_iso, '{v}' AS field_name, {w} AS window_days FROM totals WHERE {v}_{w}_total > 0 QUALIFY {v}_{w}_total = max({v}_{w}_total) OVER (PARTITION BY wearer_id, date_trunc('month', day))" for v in ACTIVITY for w in WINDOWS
+    )
+    wide = ", ".join(f"{v}_{w}_total, {v}_{w}_total / least(k, {w}) AS {v}_{w}_avg" for v in ACTIVITY for w in WINDOWS)
+    return {"p2_found": f"{_DAYS} {best}", "p2_rolling_totals": f"{_DAYS} SELECT wearer_id AS entity, day, CAST(date_trunc('month', day) AS DATE) AS month, {wide} FROM totals"}
