@@ -117,7 +117,8 @@ def best_history(bad: np.ndarray, switch_cost: float) -> list[int]:
 def estimate_zone_history(evidence: DataFrame, switch_cost: float = 3.0) -> DataFrame:
     """``(entity, period, zone, seen, bad)``: the history of zones with the fewest violations.
 
-    Input is what ``count_zone_violations`` gives. One entity has a row per
+    Where even the best zone is violated by most rows the zone is null. Input is
+    what ``count_zone_violations`` gives. One entity has a row per
     period and candidate zone, so its group is bounded by the calendar.
     """
 
@@ -126,7 +127,9 @@ def estimate_zone_history(evidence: DataFrame, switch_cost: float = 3.0) -> Data
         seen = pdf.groupby("period")["seen"].max().reindex(wide.index)
         cost = wide.fillna(wide.max().max() + 1).to_numpy()
         path = best_history(cost, switch_cost)
-        return pd.DataFrame({"entity": pdf["entity"].iloc[0], "period": wide.index, "zone": [wide.columns[k] for k in path], "seen": seen.to_numpy(), "bad": [cost[i, k] for i, k in enumerate(path)]})
+        bad = np.array([cost[i, k] for i, k in enumerate(path)])
+        fits = bad * 2 <= seen.to_numpy()  # else no candidate explains the rows
+        return pd.DataFrame({"entity": pdf["entity"].iloc[0], "period": wide.index, "zone": [wide.columns[k] if ok else None for k, ok in zip(path, fits)], "seen": seen.to_numpy(), "bad": bad})
 
     kinds = dict(evidence.dtypes)
     schema = f"entity {kinds['entity']}, period {kinds['period']}, zone string, seen long, bad double"

@@ -32,14 +32,53 @@ def us_locale() -> Column:
     return F.col("locale") == "en-US"
 
 
+def ingestion_month() -> Column:
+    """Months since 1970 of the time a row was fetched: every row has it, whatever its own clock says."""
+    at = F.timestamp_add("MICROSECOND", F.col("fetched_ms") * 1000, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+    return F.year(at) * 12 + F.month(at) - 1
+
+
+def logger_zone_history(spark: SparkSession, d: str, rows: DataFrame) -> DataFrame:
+    """The zone of each logger's clock per month, from rows that have both an instant and a plain local day.
+
+    ``rows`` has ``logger_no, obs_ts_utc, obs_date_local, obs_seq, fetched_ms``.
+    A zone is violated where it puts a known instant on another day or at
+    another place in the day's sequence of hours than the logger wrote (on the
+    two days a year the clock changes the true zone is too), or where the row
+    would have been fetched before it was observed.
+    """
+    zones = table(spark, d, "stations").select(valid_zone(F.col("tz_name")).alias("zone")).where(F.col("zone").isNotNull()).distinct()
+    known = rows.where(F.col("obs_ts_utc").isNotNull() & F.col("obs_date_local").rlike(instants.NORMAL_DAY)).withColumn("__day", F.col("obs_date_local").try_cast("date"))
+    shown = F.convert_timezone(F.lit("UTC"), F.col("zone"), F.col("obs_ts_utc"))
+    misplaced = (F.to_date(shown) != F.col("__day")) | F.coalesce(F.hour(shown) != F.col("obs_seq"), F.lit(False))
+    early = F.coalesce(millis_of_ntz(F.col("obs_ts_utc")) > F.col("fetched_ms"), F.lit(False))
+    evidence = instants.count_zone_violations(known, "logger_no", ingestion_month(), zones, misplaced | early)
+    return instants.estimate_zone_history(evidence)
+
+
+def p1_zone_history(spark: SparkSession, d: str) -> DataFrame:
+    """Estimated zone of every logger per month, with the rows seen and those that violate it."""
+    rows = table(spark, d, "silver_weather").select("logger_no", "obs_ts_utc", "obs_date_local", "obs_seq", "fetched_ms")
+    return logger_zone_history(spark, d, rows).select(F.col("entity").alias("logger_no"), F.col("period").alias("month_no"), "zone", "seen", "bad")
+
+
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    """Every day or instant of the three text fields that is not yet in normal form."""
+    """Every day or instant of the three text fields that is not yet in normal form.
+
+    The zone of a clock is the declared one (an end's ``tz_name``, or UTC as
+    TESTDATA.md says; a station's). Where a weather row's station is not listed,
+    its logger's estimated history stands in.
+    """
     sleep = table(spark, d, "silver_sleep").select("row_id", "night_date", "garmin_end_gmt", "tz_name", "locale")
-    weather = weather_with_station(spark, d, "row_id", "obs_date_local")
+    weather = weather_with_station(spark, d, "row_id", "obs_date_local", "logger_no", "obs_ts_utc", "obs_seq", "fetched_ms")
     nights = instants.normalise_days(sleep, "row_id", "night_date", "silver_sleep.night_date", us_locale())
     ends = instants.normalise_instants(sleep, "row_id", "garmin_end_gmt", "silver_sleep.garmin_end_gmt", us_locale(), F.col("tz_name"))
-    days = instants.normalise_days(weather, "row_id", "obs_date_local", "silver_weather.obs_date_local", F.col("__mdy"), F.col("__tz"))
-    return nights.unionByName(ends).unionByName(days)
+    days = instants.normalise_days(weather.where(F.col("__station").isNotNull()), "row_id", "obs_date_local", "silver_weather.obs_date_local", F.col("__mdy"), F.col("__tz"))
+    lost = weather.where(F.col("__station").isNull())
+    history = logger_zone_history(spark, d, lost).select(F.col("entity").alias("__logger"), F.col("period").alias("__month"), F.col("zone").alias("__zone"))
+    placed = lost.join(history, (lost["logger_no"] == F.col("__logger")) & (ingestion_month() == F.col("__month")), "left")
+    lost_days = instants.normalise_days(placed, "row_id", "obs_date_local", "silver_weather.obs_date_local", F.lit(None).cast("boolean"), F.col("__zone"))
+    return nights.unionByName(ends).unionByName(days).unionByName(lost_days)
 
 
 ACTIVITY, WINDOWS = ["steps", "workout_total_min"], [7, 30]
@@ -136,7 +175,7 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p1_found, p2_found, p2_rolling_totals, p3_found, p4_found, p4_tables, p5_found, p6_found, p6_table, p7_found)}
+    return {f.__name__: f for f in (p1_found, p1_zone_history, p2_found, p2_rolling_totals, p3_found, p4_found, p4_tables, p5_found, p6_found, p6_table, p7_found)}
 
 
 _LATEST = "SELECT wearer_id, day, steps, workout_total_min FROM gold_daily_wellness WHERE wearer_id IS NOT NULL AND day IS NOT NULL QUALIFY row_number() OVER (PARTITION BY wearer_id, day ORDER BY built_at DESC NULLS LAST, row_id DESC) = 1"
