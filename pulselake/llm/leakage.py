@@ -28,6 +28,7 @@ MIN_WORDS = 12
 ANCHOR = 4
 COMMON_GRAM = 5
 COMMON_ITEMS = 4
+MAX_ITEM_WORDS = 20_000_000  # items are a bounded set; beyond this the call is refused
 BLOCK_WORDS = 400_000  # words of items per automaton; about 200 MB in Python
 
 # Letters of other scripts that look like Latin ones.
@@ -67,10 +68,29 @@ def words(text: str | None) -> list[str]:
     return _WORD.findall(_POINT.sub("", fold(text))) if text else []
 
 
+def common_wording(items: list[tuple[int, list[str]]]) -> set[tuple[str, ...]]:
+    """Runs of ``COMMON_GRAM`` words that ``COMMON_ITEMS`` or more items share."""
+    seen: Counter = Counter()
+    for _, ws in items:
+        seen.update({tuple(ws[i : i + COMMON_GRAM]) for i in range(len(ws) - COMMON_GRAM + 1)})
+    return {g for g, n in seen.items() if n >= COMMON_ITEMS}
+
+
+def stock_words(ws: list[str], stock: set[tuple[str, ...]]) -> list[bool]:
+    """Which words of an item are part of common wording."""
+    flags = [False] * len(ws)
+    for i in range(len(ws) - COMMON_GRAM + 1):
+        if tuple(ws[i : i + COMMON_GRAM]) in stock:
+            flags[i : i + COMMON_GRAM] = [True] * COMMON_GRAM
+    return flags
+
+
 class ItemAutomaton:
     """Generalised suffix automaton of word sequences, with where each state's stretches end."""
 
-    def __init__(self, items: list[tuple[int, list[str]]]) -> None:
+    def __init__(self, items: list[tuple[int, list[str]]], common: set[tuple[str, ...]] | None = None) -> None:
+        """``common``: stock wording of the whole item set; by default that of ``items``."""
+        stock = common_wording(items) if common is None else common
         self.ids: dict[str, int] = {}
         self.items = [(i, [self.ids.setdefault(w, len(self.ids)) for w in ws]) for i, ws in items]
         self.next: list[dict[int, int]] = [{}]
@@ -86,7 +106,7 @@ class ItemAutomaton:
             if self.link[s] > 0 and self.length[self.link[s]] >= ANCHOR:
                 ends[self.link[s]] += ends[s]
         self.ends = ends  # of a state whose longest stretch is shorter than an anchor none is asked for
-        self.common = self._common()
+        self.common = [stock_words(ws, stock) for _, ws in items]
 
     def _state(self, length: int, ends: list) -> int:
         self.next.append({})
@@ -118,20 +138,6 @@ class ItemAutomaton:
             self.link[cur] = q if self.length[q] == self.length[p] + 1 else self._split(p, q, w, ends)
         return cur
 
-    def _common(self) -> list[list[bool]]:
-        """Per item, which words are part of wording that ``COMMON_ITEMS`` or more items share."""
-        seen: Counter = Counter()
-        for _, ws in self.items:
-            seen.update({tuple(ws[i : i + COMMON_GRAM]) for i in range(len(ws) - COMMON_GRAM + 1)})
-        out = []
-        for _, ws in self.items:
-            flags = [False] * len(ws)
-            for i in range(len(ws) - COMMON_GRAM + 1):
-                if seen[tuple(ws[i : i + COMMON_GRAM])] >= COMMON_ITEMS:
-                    flags[i : i + COMMON_GRAM] = [True] * COMMON_GRAM
-            out.append(flags)
-        return out
-
     def anchors(self, doc: list[int]) -> Iterator[tuple[int, int, int]]:
         """``(state, end in document, length)`` of stretches of ``ANCHOR`` words or more that grow no further."""
         state = length = 0
@@ -200,21 +206,24 @@ def leaked(documents: DataFrame, items: DataFrame, min_words: int = MIN_WORDS, b
     one each; other columns do not matter. No documents or items give no rows.
     """
     blocks: list[list[tuple[int, list[str]]]] = [[]]
-    size = 0
+    size = total = 0
     for r in items.where(F.col("text").isNotNull() & F.col("item_id").isNotNull()).select("item_id", "text").orderBy("item_id").toLocalIterator():
         ws = words(r["text"])
+        if (total := total + len(ws)) > MAX_ITEM_WORDS:
+            raise ValueError(f"test items of more than {MAX_ITEM_WORDS} words; match them in several calls")
         if size + len(ws) > block_words and blocks[-1]:
             blocks.append([])
             size = 0
         blocks[-1].append((r["item_id"], ws))
         size += len(ws)
+    common = common_wording([x for block in blocks for x in block])
     spark = documents.sparkSession
     parts = []
     for block in blocks:
-        sent = spark.sparkContext.broadcast(block)
+        sent = spark.sparkContext.broadcast((block, common))
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            automaton = ItemAutomaton(sent.value)
+            automaton = ItemAutomaton(*sent.value)
             for batch in batches:
                 x = batch.to_pydict()
                 got = [(d, i, n) for d, t in zip(x["doc_id"], x["text"]) for i, n in automaton.longest(t).items() if n >= min_words]
