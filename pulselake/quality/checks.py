@@ -142,7 +142,7 @@ def content_health(payloads: DataFrame, groups: list[str], order: list[str], n:
 
 def integrity(captures: DataFrame) -> DataFrame:
     """Captures whose bytes do not agree with their sidecar, or that lack one or are no JSON."""
-    text = F.decode("content", F.lit("UTF-8"))
+    text = F.col("content").cast("string")
     issue = F.array_compact(
         F.array(
             F.when(~F.col("has_sidecar"), "MISSING_SIDECAR"),
