@@ -15,3 +15,15 @@ def where_computed(df: DataFrame, condition: Column) -> DataFrame:
     keeps the filter above the projections that compute the values.
     """
     return df.withColumn("__fence", F.spark_partition_id()).where(condition & (F.col("__fence") >= 0)).drop("__fence")
+
+
+def apart(c: Column) -> Column:
+    """The same value, computed outside whole-stage code generation.
+
+    A stage of many parsing steps becomes one generated method beyond the 8 kB
+    that the JIT compiler takes, and then runs as interpreted bytecode. A
+    projection that holds an expression without generated code (here an identity
+    ``transform``) is planned on its own, where Spark splits its expressions
+    into small methods.
+    """
+    return F.get(F.transform(F.array(c), lambda x: x), F.lit(0))

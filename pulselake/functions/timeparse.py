@@ -20,6 +20,8 @@ import zoneinfo
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .planning import apart
+
 # Month abbreviations of the locales in use.
 MONTHS = {
     "jan": 1, "feb": 2, "mar": 3, "apr": 4, "may": 5, "jun": 6, "jul": 7, "aug": 8, "sep": 9, "oct": 10, "nov": 11, "dec": 12,
@@ -68,17 +70,17 @@ def add_when(df: DataFrame, out: str, text: Column, month_first: Column) -> Data
     t = {k: f"__{out}_{k}" for k in ("p", "n", "s", "z", "b", "d", "h", "x")}
     c = {k: F.col(v) for k, v in t.items()}
     plain, spread, zone, bare = c["p"], c["s"], c["z"], c["b"]
-    df = df.withColumn(t["p"], F.when(F.length(text) >= 6, F.trim(F.translate(text, "\u00a0\u202f", "  "))))
+    df = df.withColumn(t["p"], apart(F.when(F.length(text) >= 6, F.trim(F.translate(text, "\u00a0\u202f", "  ")))))
     number = plain.rlike(r"^\d{9,19}$|^\d+\.\d+([Ee]\+?\d{1,2})?$|^\d+[Ee]\+?\d{1,2}$")
     exact = F.coalesce(plain.try_cast("decimal(38,9)"), plain.try_cast("double").try_cast("decimal(38,9)"))
     compact = F.regexp_replace(plain, r"^(\d{4})(\d{2})(\d{2})[T ](\d{2})(\d{2})(\d{2})?", "$1-$2-$3T$4:$5:$6")
-    df = df.withColumn(t["n"], F.when(number, exact)).withColumn(t["s"], F.when(number, F.lit(None)).when(plain.rlike(r"^\d{8}[T ]\d{4}"), F.regexp_replace(compact, r":(?=$|Z|[+-])", "")).otherwise(plain))
+    df = df.withColumn(t["n"], apart(F.when(number, exact))).withColumn(t["s"], F.when(number, F.lit(None)).when(plain.rlike(r"^\d{8}[T ]\d{4}"), F.regexp_replace(compact, r":(?=$|Z|[+-])", "")).otherwise(plain))
     timed = F.contains(spread, F.lit(":"))
-    df = df.withColumn(t["z"], F.when(timed, F.regexp_extract(spread, ZONE, 1)).otherwise(""))
-    df = df.withColumn(t["b"], F.when(timed & (zone != ""), F.regexp_replace(spread, ZONE, "")).otherwise(spread))
-    df = df.withColumn(t["d"], F.when(timed, F.regexp_replace(bare, CLOCK, "")).otherwise(bare))
-    df = df.withColumn(t["x"], _day_of(c["d"], month_first))
-    df = df.withColumn(t["h"], F.when(timed, F.split(F.regexp_replace(F.regexp_extract(bare, CLOCK, 0), CLOCK, "$1,$2,$3,$4,$5"), ",")))
+    df = df.withColumn(t["z"], apart(F.when(timed, F.regexp_extract(spread, ZONE, 1)).otherwise("")))
+    df = df.withColumn(t["b"], apart(F.when(timed & (zone != ""), F.regexp_replace(spread, ZONE, "")).otherwise(spread)))
+    df = df.withColumn(t["d"], apart(F.when(timed, F.regexp_replace(bare, CLOCK, "")).otherwise(bare)))
+    df = df.withColumn(t["x"], apart(_day_of(c["d"], month_first)))
+    df = df.withColumn(t["h"], apart(F.when(timed, F.split(F.regexp_replace(F.regexp_extract(bare, CLOCK, 0), CLOCK, "$1,$2,$3,$4,$5"), ","))))
     hour, half = F.get(c["h"], 0).try_cast("int"), F.upper(F.get(c["h"], 4))
     hour24 = F.when(half == "", hour).when((hour >= 1) & (hour <= 12), hour % 12 + F.when(half == "PM", 12).otherwise(0))
     second, frac = F.get(c["h"], 2), F.rpad(F.substring(F.get(c["h"], 3), 1, 6), 6, "0")
@@ -87,11 +89,11 @@ def add_when(df: DataFrame, out: str, text: Column, month_first: Column) -> Data
     oh, om = F.substring(digits, 1, 2).try_cast("int"), F.substring(digits, 3, 2).try_cast("int")
     sign = F.when(F.startswith(zone, F.lit("-")), -1).otherwise(1)
     shift = F.when(zone == "", F.lit(None).cast("int")).when(digits == "", 0).when((oh <= 18) & (om < 60), sign * (oh * 3600 + om * 60))
-    df = df.withColumn(f"{out}_shift", shift).withColumn(f"{out}_wall", F.when((zone == "") | shift.isNotNull(), clock.try_cast("timestamp_ntz")))
+    df = df.withColumn(f"{out}_shift", apart(shift)).withColumn(f"{out}_wall", F.when((zone == "") | shift.isNotNull(), clock.try_cast("timestamp_ntz")))
     wall, known = F.col(f"{out}_wall"), F.col(f"{out}_shift")
     size = F.length(F.floor(c["n"]).cast("string"))
     us = F.when(size <= 10, F.floor(c["n"] * 1_000_000)).when(size <= 13, F.floor(c["n"] * 1_000)).when(size <= 16, F.floor(c["n"])).when(size <= 19, F.floor(c["n"] / 1_000))
-    df = df.withColumn(f"{out}_utc", F.when(known.isNotNull(), ntz_of_micros(micros_of_ntz(wall) - known.cast("long") * 1_000_000)).when(c["n"].isNotNull(), ntz_of_micros(us.try_cast("long"))))
+    df = df.withColumn(f"{out}_utc", apart(F.when(known.isNotNull(), ntz_of_micros(micros_of_ntz(wall) - known.cast("long") * 1_000_000)).when(c["n"].isNotNull(), ntz_of_micros(us.try_cast("long")))))
     return df.withColumn(f"{out}_day", F.when(~timed, c["x"])).drop(*t.values())
 
 
