@@ -29,6 +29,7 @@ HALO_H = 120  # standstills are told from ordinary runs within this many hours
 CONTEXT_H = 16 * 24
 MAX_EXCURSION = 3  # readings; a longer departure is weather that stays
 MAX_GAP_H = 6
+EXPANSION = 0.75  # interquartile ranges above the upper quartile
 
 
 @dataclass(frozen=True)
@@ -97,13 +98,13 @@ def excursions(t: np.ndarray, v: np.ndarray, jump: float) -> np.ndarray:
 def above_fence(t: np.ndarray, v: np.ndarray, q: np.ndarray, fence: tuple[float, float]) -> np.ndarray:
     """Readings beyond the expanded fence of their hour context.
 
-    ``q``: quantiles 25, 75, 90 per hour of day, NaN where unknown. The fence is
-    over the envelope of the hour and its neighbours, so that dawn and dusk may
-    move with the season.
+    ``q``: both quartiles per hour of day, NaN where unknown. The fence is over
+    the envelope of the hour and its neighbours, so that dawn and dusk may move
+    with the season. Quartiles, as a standstill of some days is among the rows.
     """
-    top = np.nan_to_num(q[:, 2])
+    top = np.nan_to_num(q[:, 1] + EXPANSION * (q[:, 1] - q[:, 0]))
     envelope = np.maximum(np.maximum(top, np.roll(top, 1)), np.roll(top, -1))
-    known = ~np.isnan(q[:, 2])
+    known = ~np.isnan(q[:, 1])
     e = envelope[t % 24]
     return (v > e + fence[0] + fence[1] * e) & known[t % 24]
 
@@ -164,7 +165,7 @@ def find_false_readings(df: DataFrame, limits: dict[str, Limits]) -> DataFrame:
     fenced = [f for f in fields if limits[f].fence]
     parts = [data]
     if fenced:
-        sketches = context.groupBy("source", "chunk", "h").agg(*[F.percentile_approx(f, [0.25, 0.75, 0.9], 200).alias(f) for f in fenced])
+        sketches = context.groupBy("source", "chunk", "h").agg(*[F.percentile_approx(f, [0.25, 0.75], 200).alias(f) for f in fenced])
         for f in fenced:
             parts.append(sketches.select("source", "chunk", F.lit(0).cast("long").alias("row_id"), F.col("h").alias("hour"), F.lit(False).alias("__placed"), *[F.lit(None).cast("double").alias(x) for x in fields], F.col(f).alias("q"), F.lit(fields.index(f)).alias("of")))
     whole = parts[0]
@@ -186,7 +187,7 @@ def find_false_readings(df: DataFrame, limits: dict[str, Limits]) -> DataFrame:
             m = a + int(np.searchsorted(of, 0))  # data rows come first, then sketches by field
             t, core = c["hour"][a:m], placed_at[a:m] & (c["hour"][a:m] // CHUNK_H == c["chunk"][a])
             for k, f in enumerate(fields):
-                v, q = c[f][a:m], np.full((24, 3), np.nan)
+                v, q = c[f][a:m], np.full((24, 2), np.nan)
                 for i in range(m + int(np.searchsorted(of[m - a :], k)), m + int(np.searchsorted(of[m - a :], k, "right"))):
                     got = q_lists[i].as_py()
                     if got:
