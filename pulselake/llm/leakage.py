@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 MIN_WORDS = 12
 ANCHOR = 4
-COMMON_GRAM = 5
+COMMON_GRAM = 8  # shorter runs recur by chance in items of one style
 COMMON_ITEMS = 4
 MAX_ITEM_WORDS = 20_000_000  # items are a bounded set; beyond this the call is refused
 BLOCK_WORDS = 400_000  # words of items per automaton; about 200 MB in Python
