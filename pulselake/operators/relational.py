@@ -74,13 +74,27 @@ def trailing_n(df: DataFrame, column: str, n: int) -> DataFrame:
     return df.select(column).where(F.col(column).isNotNull()).distinct().orderBy(F.desc(column)).limit(n)
 
 
-def spread_sample(df: DataFrame, group: str, order: list[str], n: int) -> DataFrame:
-    """Per group the rows at evenly spread places of its order, first and last included."""
+def spread_sample(df: DataFrame, group: str, order: list[str], n: int, bucket: Column | None = None) -> DataFrame:
+    """Per group the rows at evenly spread places of its order, first and last included.
+
+    ``bucket`` must not decrease along ``order``, e.g. a leading column divided
+    down. Counts per group and bucket tell in which buckets the wanted places
+    lie, and only rows of those are ranked, bucket by bucket, so a group with a
+    third of all rows is never ranked in one task. Without it each group is one
+    bucket, for groups known to be small. Groups of ``n`` rows or fewer stay whole;
+    ``n`` of 1 takes the first row.
+    """
+    rows = df.withColumn("__b", F.lit(0) if bucket is None else bucket)
+    sizes = rows.groupBy(group, "__b").agg(F.count(F.lit(1)).alias("__c"))
     w = Window.partitionBy(group)
-    ranked = df.withColumn("__k", F.row_number().over(w.orderBy(*order)) - 1).withColumn("__n", F.count(F.lit(1)).over(w))
-    places = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.floor(i * (F.col("__n") - 1) / F.lit(float(max(1, n - 1)))).cast("int"))
-    keep = (F.col("__n") <= n) | F.array_contains(places, F.col("__k"))
-    return ranked.where(keep).drop("__k", "__n")
+    placed = sizes.withColumn("__n", F.sum("__c").over(w)).withColumn("__before", F.sum("__c").over(w.orderBy(F.col("__b").asc_nulls_first())) - F.col("__c"))
+    spread = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.floor(i * (F.col("__n") - 1) / F.lit(float(max(1, n - 1)))).cast("long"))
+    every = F.sequence(F.lit(0).cast("long"), F.col("__n") - 1)
+    wanted = F.filter(F.when(F.col("__n") <= n, every).otherwise(F.array_distinct(spread)), lambda k: (k >= F.col("__before")) & (k < F.col("__before") + F.col("__c")))
+    places = placed.select(F.col(group).alias("__g"), F.col("__b").alias("__gb"), "__before", wanted.alias("__want")).where(F.size("__want") > 0)
+    hit = rows.join(places, rows[group].eqNullSafe(F.col("__g")) & rows["__b"].eqNullSafe(F.col("__gb")))
+    rank = F.col("__before") + F.row_number().over(Window.partitionBy(group, "__b").orderBy(*order)) - 1
+    return hit.withColumn("__k", rank).where(F.array_contains("__want", F.col("__k"))).select(*df.columns)
 
 
 def date_gaps(df: DataFrame, day: str, groups: list[str], cadence: int = 1) -> DataFrame:

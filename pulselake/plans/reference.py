@@ -388,7 +388,7 @@ def trailing_n_partitions(s: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT source, doc_id FROM (SELECT source, doc_id, row_number() OVER w - 1 AS k, count(*) OVER (PARTITION BY source) AS n FROM documents WINDOW w AS (PARTITION BY source ORDER BY doc_id)) WHERE n <= 5 OR k IN (SELECT CAST(floor(i * (n - 1) / 4.0) AS BIGINT) FROM (VALUES (0), (1), (2), (3), (4)) t(i))")
 def spread_sample(s: SparkSession, d: str) -> DataFrame:
-    return R.spread_sample(table(s, d, "documents").select("source", "doc_id"), "source", ["doc_id"], 5)
+    return R.spread_sample(table(s, d, "documents").select("source", "doc_id"), "source", ["doc_id"], 5, F.floor(F.col("doc_id") / 1000))
 
 
 @query("SELECT sha256(text) AS sha, min(doc_id) AS doc_id, count(*) AS copies FROM documents GROUP BY 1")

@@ -135,7 +135,7 @@ def verdicts(payloads: DataFrame, groups: list[str]) -> DataFrame:
 
 def content_health(payloads: DataFrame, groups: list[str], order: list[str], n: int = 5) -> DataFrame:
     """Verdicts of an even spread of ``n`` captures per group; any error or unreadable one fails."""
-    v = verdicts(spread_sample(payloads, groups[-1], order, n) if len(groups) == 1 else payloads, groups)
+    v = verdicts(spread_sample(payloads.withColumn("__group", F.struct(*groups)), "__group", order, n), groups)
     bad = F.col("verdict").isin("HTTP_ERROR", "ERROR_LIKE", "UNPARSEABLE", "EMPTY_FILE")
     return v.groupBy(*groups).agg(F.sum("n").cast("bigint").alias("seen"), F.coalesce(F.sum(F.when(bad, F.col("n"))), F.lit(0)).cast("bigint").alias("bad"), F.coalesce(F.sum(F.when(F.col("verdict") == "DATA", F.col("n"))), F.lit(0)).cast("bigint").alias("good")).withColumn("passed", F.col("bad") == 0).withColumn("state", F.when(F.col("good") == 0, "NO_DATA").when(F.col("good") == F.col("seen"), "HEALTHY").otherwise("MIXED"))
 

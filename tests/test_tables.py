@@ -220,3 +220,15 @@ def test_small_relational(spark):
     assert sorted(r["v"] for r in R.dedup_latest(df, ["k"], ["o"]).collect()) == ["b", "d"]
     assert R.date_spine(spark.createDataFrame([(D(2024, 1, 2), D(2024, 1, 1))], "lo date, hi date"), "lo", "hi").count() == 0
     assert R.spread_sample(spark.range(11).withColumn("g", F.lit(1)), "g", ["id"], 3).orderBy("id").toPandas()["id"].tolist() == [0, 5, 10]
+    many = spark.range(97).select(F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("g"), "id")
+    for n in (1, 2, 5, 200):
+        whole = R.spread_sample(many, "g", ["id"], n).collect()
+        cut = R.spread_sample(many, "g", ["id"], n, F.floor(F.col("id") / 10)).collect()
+        assert sorted(map(str, whole)) == sorted(map(str, cut)) and len(whole) == min(97, 3 * n if n < 30 else 97)
+
+
+def test_content_health(spark):
+    rows = [(g, k, f"f{k}.json", b, st) for g, bodies in (("good", [("[1]", 200)] * 9), ("bad", [("[1]", 200), ("{cut", 200), ("[1]", 503)]), ("none", [("[]", None)])) for k, (b, st) in enumerate(bodies)]
+    df = spark.createDataFrame(rows, "stream string, k int, file_name string, j string, http_status int").withColumn("source", F.lit("s"))
+    got = {r["stream"]: (r["seen"], r["passed"], r["state"]) for r in Q.content_health(df, ["source", "stream"], ["k"]).collect()}
+    assert got == {"good": (5, True, "HEALTHY"), "bad": (3, False, "MIXED"), "none": (1, True, "NO_DATA")}
