@@ -5,10 +5,12 @@ Three steps over all documents:
 1. *Character language model.* Word counts of the whole corpus (partial counts
    per partition, then merged) give a prefix tree whose branch counts are the
    probabilities of the next character given the word so far.
-2. *Noisy channel.* A token that is no frequent word is a lattice of characters:
-   digits and signs may stand for letters, ``*`` for any, letters may be
-   repeated, swapped, dropped, or spread with blanks and dots. Viterbi search
-   over the tree finds the likeliest word.
+2. *Noisy channel.* A token is a lattice of characters: digits and signs may
+   stand for letters, ``*`` for any, letters may be repeated, swapped, dropped,
+   or spread with blanks and dots. Viterbi search over the tree finds the
+   likeliest word. A token that the corpus holds stays as it is if it is more
+   frequent than a misspelling of that word would be; only shares count, so that
+   a misspelling remains one however large the corpus is.
 3. *Score.* Features of restored words (word pairs and triples, and pairs of
    concept classes close together) carry log-odds learned from the rated
    documents; a document's score is that of its best passage.
@@ -28,7 +30,8 @@ from pyspark.sql import functions as F
 from .leakage import fold
 
 MODEL_WORDS = 60_000  # words of the language model at most, the most frequent first: the size of the model, not of the data
-MIN_COUNT = 8  # a rarer word of the corpus may be a misspelling itself
+CLASS_COUNT = 16  # the words of the fixed classes count as seen so often at least
+SWAPPED, DOUBLED, DROPPED = 0.05, 0.01, 0.0025  # share of a word's occurrences that one misspelling of a kind makes up at most
 MAX_FEATURES = 40_000
 BEAM = 24
 LONGEST = 24  # characters of a token worth decoding
@@ -61,6 +64,7 @@ _TOKEN = re.compile(r"[^\s]+")
 _LETTERS = re.compile(r"[a-z]+")
 _SPREAD = re.compile(r"(?<![^\W_])[^\W\d_](?:[ .\-_]{1,2}[^\W\d_]){2,}(?![^\W_])")
 _REPEAT = re.compile(r"([a-z])\1{2,}")
+_DOUBLE = re.compile(r"(.)\1+")
 _MOJIBAKE = re.compile("Ã[-¿¡-ÿ©¨ª«¬­®¯°±²³´µ¶·¸¹º»¼½¾¿¡¢£¤¥¦§]")
 
 
@@ -71,6 +75,20 @@ def repair(text: str) -> str:
     return _MOJIBAKE.sub(lambda m: m.group().encode("latin-1", "ignore").decode("utf-8", "ignore") or m.group(), text)
 
 
+def _most_misspelt(expected: float) -> float:
+    """How often a misspelling expected so often is seen at most, but for chance."""
+    return expected + 2 * math.sqrt(expected) + 3
+
+
+def _share(token: str, word: str) -> float:
+    """What share of a word's occurrences a misspelling makes up at most; words of the classes are disguised in any way."""
+    if word in _CLASS:
+        return SWAPPED
+    if _DOUBLE.sub(r"\1", token) == _DOUBLE.sub(r"\1", word):
+        return DOUBLED
+    return SWAPPED if sorted(token) == sorted(word) else DROPPED
+
+
 class PrefixModel:
     """Next-character probabilities as a prefix tree of counted words."""
 
@@ -92,19 +110,47 @@ class PrefixModel:
                 self.mass[at] += weight
             self.ends[at] += weight
         self.known: dict[str, str] = {}
+        self.plains: dict[str, str] = {}
+        self.sure = _most_misspelt(max(counts.values(), default=0) * SWAPPED)  # a more frequent word is no misspelling of any
 
     def word(self, token: str) -> str:
-        """The likeliest word behind a token of letters, digits and signs; the token if none is near."""
-        if token in self.counts:
+        """The likeliest word behind a token of letters, digits and signs; the token if none is near, or none that explains how often the token is seen."""
+        seen = self.counts.get(token, 0)
+        if seen > self.sure or token in _CLASS:
             return token
         got = self.known.get(token)
         if got is None:
             if len(self.known) > 200_000:
                 self.known.clear()
-            got = self.known[token] = self._decode(token)
+            got = self._decode(token, seen)
+            if got != token:
+                if seen and seen > _most_misspelt(self.counts[got] * _share(token, got)):
+                    got = token
+                else:
+                    got = self.word(got)  # more frequent each time, so this ends
+            self.known[token] = got
         return got
 
-    def _decode(self, token: str) -> str:
+    def plain(self, token: str) -> str:
+        """The word behind a token of letters only; letters repeated three times or more are collapsed first."""
+        got = self.plains.get(token)
+        if got is None:
+            if len(self.plains) > 200_000:
+                self.plains.clear()
+            got = self.plains[token] = self._plain(token)
+        return got
+
+    def _plain(self, token: str) -> str:
+        if token in _CLASS or not _REPEAT.search(token):
+            return self.word(token)
+        once, twice = _REPEAT.sub(r"\1", token), _REPEAT.sub(r"\1\1", token)
+        near = max((self.counts.get(x, 0), x) for x in (once, twice))
+        if near[0] and (near[0] > 1 or token not in self.counts):
+            return self.word(near[1])
+        return self.word(token if token in self.counts else twice)
+
+    def _decode(self, token: str, seen: int = 0) -> str:
+        """The likeliest word seen more than ``seen`` times; the token if there is none."""
         n = len(token)
         if n > LONGEST or not any(c.isalpha() or c in WILD for c in token) or n < 2:
             return token
@@ -146,7 +192,7 @@ class PrefixModel:
                             add(i + 1, k2, edits + 1, cost + 6.0 - math.log(mass[k2] / mass[node]), word + x + c)
                     if i + 1 < n and (k := options.get(token[i + 1])) is not None and (k2 := kids[k].get(c)) is not None:
                         add(i + 2, k2, edits + 1, cost + 3.0 - math.log(mass[k2] / mass[node]), word + token[i + 1] + c)
-        best = min(((cost - math.log(self.ends[node] / mass[node]), word) for (node, _), (cost, word) in rows[n].items() if self.ends[node]), default=None)
+        best = min(((cost - math.log(self.ends[node] / mass[node]), word) for (node, _), (cost, word) in rows[n].items() if self.ends[node] and self.counts[word] > seen), default=None)
         return best[1] if best else token
 
 
@@ -155,7 +201,7 @@ def passages(text: str | None, model: PrefixModel) -> list[list[str]]:
     if not text:
         return []
     flat = fold(repair(text))
-    out = []
+    out, cached = [], model.plains
     for part in _CUT.split(flat):
         if not part or not part.strip():
             continue
@@ -164,16 +210,12 @@ def passages(text: str | None, model: PrefixModel) -> list[list[str]]:
         for m in _TOKEN.findall(part):
             t = m.strip(".,;:!?\"'()[]{}<>~^`=/\\") if not m.isalpha() else m
             if t.isalpha():
-                if t in model.counts:
-                    ws.append(t)
-                else:
-                    short = _REPEAT.sub(r"\1", t)
-                    ws.append(short if short in model.counts else model.word(_REPEAT.sub(r"\1\1", t)))
+                ws.append(cached.get(t) or model.plain(t))
             elif t and not t.isdigit():
                 if any(c in LEET or c in WILD for c in t) and any(c.isalpha() or c in WILD for c in t):
                     ws.append(model.word(t))
                 else:
-                    ws += [model.word(x) for x in _LETTERS.findall(t.replace("'", ""))]
+                    ws += [model.plain(x) for x in _LETTERS.findall(t.replace("'", ""))]
             elif t:
                 ws.append("0")
         if ws:
@@ -223,7 +265,7 @@ def best_passage(text: str | None, model: PrefixModel, weights: dict[str, float]
     return top, words
 
 
-def word_counts(documents: DataFrame, min_count: int = MIN_COUNT, most: int = MODEL_WORDS) -> dict[str, int]:
+def word_counts(documents: DataFrame, most: int = MODEL_WORDS) -> dict[str, int]:
     """Counts of the corpus's words over all documents, the most frequent ``most`` of them; the fixed classes are always in."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,10 +285,10 @@ def word_counts(documents: DataFrame, min_count: int = MIN_COUNT, most: int = MO
             yield out()
 
     counted = documents.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    rows = counted.where(F.col("n") >= min_count).orderBy(F.desc("n"), "word").limit(most).collect()
+    rows = counted.orderBy(F.desc("n"), "word").limit(most).collect()
     counts = {r["word"]: r["n"] for r in rows if len(r["word"]) > 1 or r["word"] in "aiuyoe"}
     for w in _CLASS:
-        counts[w] = max(counts.get(w, 0), 2 * min_count)
+        counts[w] = max(counts.get(w, 0), CLASS_COUNT)
     return counts
 
 

@@ -101,6 +101,14 @@ def test_decoding(token, word):
     assert abuse.PrefixModel(WORDS).word(token) == word
 
 
+@pytest.mark.parametrize("times", [1, 10, 1000])
+def test_misspellings_however_large_the_corpus(times):
+    seen = WORDS | {"from": 800, "form": 100, "sutpid": 2, "stuuuupid": 3, "idoit": 1, "disgustng": 1, "cloown": 1}
+    model = abuse.PrefixModel({w: n * times for w, n in seen.items()})
+    ws = [w for p in abuse.passages("a sutpid stuuuupid disgustng idoit and cloown form", model) for w in p]
+    assert ws == ["a", "stupid", "stupid", "disgusting", "idiot", "and", "clown", "form"]
+
+
 @pytest.mark.parametrize("text", ["you are a stuuuupid idiot", "t h r o w n out of the country", "yоu аrе a stuрid idiоt", "YOU ARE A STUPID IDIOT!!", "y.o.u are a stupid idiot"])
 def test_restoring(text):
     ws = [w for p in abuse.passages(text, abuse.PrefixModel(WORDS)) for w in p]
