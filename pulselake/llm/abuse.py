@@ -7,8 +7,8 @@ Three steps over all documents:
    probabilities of the next character given the word so far.
 2. *Noisy channel.* A token is a lattice of characters: digits and signs may
    stand for letters, ``*`` for any, letters may be repeated, swapped, dropped,
-   or spread with blanks and dots. Viterbi search over the tree finds the
-   likeliest word. A token that the corpus holds stays as it is if it is more
+   or spread with blanks, dots and dashes, where every separator may also end a
+   word. Viterbi search over the tree finds the likeliest word or words. A token that the corpus holds stays as it is if it is more
    frequent than a misspelling of that word would be; only shares count, so that
    a misspelling remains one however large the corpus is.
 3. *Score.* Features of restored words (word pairs and triples, and pairs of
@@ -34,6 +34,7 @@ CLASS_COUNT = 16  # the words of the fixed classes count as seen so often at lea
 SWAPPED, DOUBLED, DROPPED = 0.05, 0.01, 0.0025  # share of a word's occurrences that one misspelling of a kind makes up at most
 MAX_FEATURES = 40_000
 BEAM = 24
+UNKNOWN, CHANGED_GAP, SIGN_GAP = 6.0, 4.0, 2.0  # costs in spread letters: of a letter of no known word, of another separator within a word, of a word's end at a sign
 LONGEST = 24  # characters of a token worth decoding
 REACH = 6  # words between the two parts of a concept pair
 MAX_LABELS = 200_000  # rated documents used for fitting at most
@@ -62,7 +63,8 @@ for _name, _words in CONCEPTS.items():
 _CUT = re.compile(r"[.!?:;]+(?=\s|$)|\n+|\s[-–—]+\s")
 _TOKEN = re.compile(r"[^\s]+")
 _LETTERS = re.compile(r"[a-z]+")
-_SPREAD = re.compile(r"(?<![^\W_])[^\W\d_](?:[ .\-_]{1,2}[^\W\d_]){2,}(?![^\W_])")
+_SPREAD = re.compile(r"(?<![^\W_])(?<!')[a-z0-9@€$](?:[ .\-_]{1,2}[a-z0-9@€$!|+*#])+[ .\-_]{1,2}[a-z0-9@€$](?![^\W_])")
+_SEPARATORS = " .-_"
 _REPEAT = re.compile(r"([a-z])\1{2,}")
 _DOUBLE = re.compile(r"(.)\1+")
 _MOJIBAKE = re.compile("Ã[-¿¡-ÿ©¨ª«¬­®¯°±²³´µ¶·¸¹º»¼½¾¿¡¢£¤¥¦§]")
@@ -80,6 +82,12 @@ def _most_misspelt(expected: float) -> float:
     return expected + 2 * math.sqrt(expected) + 3
 
 
+def _typos(token: str) -> int:
+    """How many letters of a token may be swapped or dropped; none beside signs."""
+    n = len(token)
+    return 0 if n < 4 or any(c in WILD or c in LEET for c in token) else 1 if n < 7 else 2
+
+
 def _share(token: str, word: str) -> float:
     """What share of a word's occurrences a misspelling makes up at most; words of the classes are disguised in any way."""
     if word in _CLASS:
@@ -154,10 +162,40 @@ class PrefixModel:
         n = len(token)
         if n > LONGEST or not any(c.isalpha() or c in WILD for c in token) or n < 2:
             return token
-        wild = sum(c in WILD for c in token)
-        typo = 0 if n < 4 else 1 if n < 7 else 2
-        if wild or any(c in LEET for c in token):
-            typo = 0
+        last = self._rows(token, _typos(token))[n]
+        best = min(((cost - math.log(self.ends[node] / self.mass[node]), word) for (node, _), (cost, word) in last.items() if self.ends[node] and self.counts[word] > seen), default=None)
+        return best[1] if best else token
+
+    def spread(self, letters: str, gaps: list[str]) -> list[tuple[int, str]]:
+        """The likeliest words of letters spread with separators, each with the place it ends at.
+
+        ``gaps[i]`` stands after ``letters[i]``. Every gap lies in a word or ends
+        one; it costs to change separators within a word and to end one at a sign.
+        """
+        n = len(letters)
+        best: list[tuple[float, int, str]] = [(0.0, 0, "")] + [(math.inf, 0, "")] * n
+        for i in range(n):
+            piece = letters[i : i + LONGEST]
+            rows, changes = self._rows(piece, _typos(piece)), 0
+            begun = best[i][0] + (SIGN_GAP if i and " " not in gaps[i - 1] else 0.0)
+            for k in range(1, len(piece) + 1):
+                changes += k > 2 and gaps[i + k - 2] != gaps[i + k - 3]
+                most = _typos(piece[:k])
+                ways = [(cost - math.log(self.ends[node] / self.mass[node]), word) for (node, edits), (cost, word) in rows[k].items() if self.ends[node] and edits <= most]
+                cost, word = min(ways + [(UNKNOWN * (1 + k), piece[:k])])
+                cost += begun + CHANGED_GAP * changes
+                if cost < best[i + k][0]:
+                    best[i + k] = (cost, i, word)
+        found, at = [], n
+        while at:
+            _, start, word = best[at]
+            found.append((at, word))
+            at = start
+        return found[::-1]
+
+    def _rows(self, token: str, typo: int) -> list[dict[tuple[int, int], tuple[float, str]]]:
+        """The states of the search after each character of a token."""
+        n, wild = len(token), any(c in WILD for c in token)
         # a state: (tree node, edits) -> (cost, word so far); position by position
         rows: list[dict[tuple[int, int], tuple[float, str]]] = [{} for _ in range(n + 1)]
         rows[0][0, 0] = (0.0, "")
@@ -192,20 +230,33 @@ class PrefixModel:
                             add(i + 1, k2, edits + 1, cost + 6.0 - math.log(mass[k2] / mass[node]), word + x + c)
                     if i + 1 < n and (k := options.get(token[i + 1])) is not None and (k2 := kids[k].get(c)) is not None:
                         add(i + 2, k2, edits + 1, cost + 3.0 - math.log(mass[k2] / mass[node]), word + token[i + 1] + c)
-        best = min(((cost - math.log(self.ends[node] / mass[node]), word) for (node, _), (cost, word) in rows[n].items() if self.ends[node] and self.counts[word] > seen), default=None)
-        return best[1] if best else token
+        return rows
+
+
+def join_spread(text: str, model: PrefixModel) -> str:
+    """A folded text with the words whose letters stand apart written together, the separators between such words kept."""
+
+    def joined(m: re.Match) -> str:
+        run = m.group()
+        if sum(c.isalpha() for c in run) < 2:
+            return run
+        letters = "".join(c for c in run if c not in _SEPARATORS)
+        gaps = re.findall(r"[ .\-_]+", run)
+        parts = model.spread(letters, gaps)
+        return "".join(w + ("" if at == len(letters) else gaps[at - 1] if " " in gaps[at - 1] else " ") for at, w in parts)
+
+    return _SPREAD.sub(joined, text)
 
 
 def passages(text: str | None, model: PrefixModel) -> list[list[str]]:
     """The passages of a text as restored words."""
     if not text:
         return []
-    flat = fold(repair(text))
+    flat = join_spread(fold(repair(text)), model)
     out, cached = [], model.plains
     for part in _CUT.split(flat):
         if not part or not part.strip():
             continue
-        part = _SPREAD.sub(lambda m: re.sub(r"[ .\-_]", "", m.group()), part)
         ws = []
         for m in _TOKEN.findall(part):
             t = m.strip(".,;:!?\"'()[]{}<>~^`=/\\") if not m.isalpha() else m

@@ -115,6 +115,23 @@ def test_restoring(text):
     assert ws in ("you are a stupid idiot".split(), "thrown out of the country".split())
 
 
+@pytest.mark.parametrize(
+    ("text", "words"),
+    [
+        ("c.l.e.a.n.e.r w-i-t-h-o-u-t women", "cleaner without women"),
+        ("you are a m o r o n", "you are a moron"),
+        ("I w-a-n-t nudes", "i want nudes"),
+        ("you i. d. i. o. t", "you idiot"),
+        ("a 1 d 1 0 t", "a idiot"),
+        ("s-t-u-p-1-d clown", "stupid clown"),
+        ("y o u a r e s i c k", "you are sick"),
+    ],
+)
+def test_spread_letters_are_several_words(text, words):
+    model = abuse.PrefixModel(WORDS | {"i": 100, "want": 100})
+    assert [w for p in abuse.passages(text, model) for w in p] == words.split()
+
+
 def test_scores(spark):
     bad = ["You are a stupid idiot and a clown", "migrants are vermin and filth", "send me nudes, I am so horny", "u r a st*pid 1d1ot, you clown"]
     good = ["The battery is stupid and dies after an hour", "The clinic handed out a leaflet on sexual health", "Refugees slept 10 minutes less", "", None, "x" * 30000]
