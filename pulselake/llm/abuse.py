@@ -11,9 +11,10 @@ Three steps over all documents:
    word. Viterbi search over the tree finds the likeliest word or words. A token that the corpus holds stays as it is if it is more
    frequent than a misspelling of that word would be; only shares count, so that
    a misspelling remains one however large the corpus is.
-3. *Score.* Features of restored words (word pairs and triples, and pairs of
-   concept classes close together) carry log-odds learned from the rated
-   documents; a document's score is that of its best passage.
+3. *Score.* Features of restored words (words, word pairs and triples of every
+   passage, and pairs of concept classes close together) carry log-odds learned
+   from the rated documents, the classes a prior besides; a document's score is
+   that of its best passage.
 """
 
 from __future__ import annotations
@@ -45,13 +46,13 @@ WILD = "*#"
 
 # Word classes, English, German, Spanish and French.
 CONCEPTS = {
-    "insult": "idiot moron imbecile cretin halfwit loser scumbag bastard bitch asshole dickhead clown rat trash garbage shithead jerk fool dumbass wanker prick slut whore cunt arschloch versager idioten dreck depp trottel schlampe wichser imbecil idiota cabron basura estupido puta gilipollas pendejo connard connasse salope abruti cretin ordure imbecile encule",
+    "insult": "idiot moron imbecile cretin halfwit loser scumbag bastard bitch asshole dickhead clown rat trash garbage shithead jerk fool dumbass wanker prick slut whore cunt idiots morons imbeciles losers bitches assholes sluts whores savages arschloch versager idioten dreck depp trottel schlampe wichser imbecil idiota cabron basura estupido puta gilipollas pendejo connard connasse salope abruti cretin ordure imbecile encule",
     "adjective": "stupid pathetic worthless useless disgusting filthy miserable repulsive demented braindead brain dumb ugly inutil asqueroso erbarmlicher widerlicher dummes dumme dummer minable sale debile sucio",
     "you": "you your yourself u ya du dich dir dein deine tu te toi ton eres tus ti usted vous votre",
     "group": "women gays migrants immigrants refugees foreigners believers muslims jews christians blacks disabled lesbians trans folks people faith mujeres inmigrantes extranjeros frauen auslander fluchtlinge juden femmes etrangers immigres homosexuels",
     "demean": "vermin parasites filth animals plague subhuman inferior breed disease trash scum cockroaches minderwertiges pack ungeziefer gehoren animales plaga inferiores sirven vermine inferieures chasser echarlos taugen taire",
     "expel": "thrown cleaner locked allowed deserve serve vote lazy country send ruin",
-    "violence": "kill drown hurt burn bleed crash fists break teeth regret beat punch strangle shoot ahorcate matar partir cara zahne schlag umbringen casser gueule tuer creve",
+    "violence": "kill drown hurt burn bleed crash fists break teeth regret beat punch strangle shoot stab murder rape ahorcate matar partir cara zahne schlag umbringen casser gueule tuer creve",
     "sexual": "naked nude nudes nipples breasts orgasm thrusting moaned panties porn xxx horny hookup oral blowjob escort hardcore sex begged deeper fuck dick pussy cock tits lick wet ride undressed sweaty thighs nackt nacktbilder geil stohnte desnuda sexo follarte follar nue baiser baisaient gemissait",
     "go": "fuck screw verpiss vete mierda foutre ferme shut klappe callate lost",
 }
@@ -274,13 +275,16 @@ def passages(text: str | None, model: PrefixModel) -> list[list[str]]:
     return out
 
 
-def features(ws: list[str]) -> list[tuple[int, str]]:
-    """``(place, feature)``: word pairs and triples, and concept pairs within reach; none where no word is of any class but ``you``."""
+def first_words(weights: dict[str, float]) -> set[str]:
+    """The words that weighted features of words begin with."""
+    return {f.partition(" ")[0] for f in weights if not f.startswith("<")}
+
+
+def features(ws: list[str], heads: set[str] | None = None) -> list[tuple[int, str]]:
+    """``(place, feature)``: words, word pairs and triples of any passage, those that begin with one of ``heads`` if given, and concept pairs within reach."""
     marks = [(i, _CLASS[w]) for i, w in enumerate(ws) if w in _CLASS]
-    if all(c == "you" for _, c in marks):
-        return []
-    got = [(i, f"{ws[i]} {ws[i + 1]}") for i in range(len(ws) - 1)]
-    got += [(i, f"{ws[i]} {ws[i + 1]} {ws[i + 2]}") for i in range(len(ws) - 2)]
+    at = range(len(ws)) if heads is None else [i for i, w in enumerate(ws) if w in heads]
+    got = [(i, " ".join(ws[i : i + k])) for i in at for k in (1, 2, 3) if i + k <= len(ws)]
     for a, (i, x) in enumerate(marks):
         for j, y in marks[a + 1 :]:
             if j - i > REACH:
@@ -306,11 +310,11 @@ def score_words(ws: list[str], found: list[tuple[int, str]], weights: dict[str,
     return best, start
 
 
-def best_passage(text: str | None, model: PrefixModel, weights: dict[str, float], span: int = 12) -> tuple[float, str]:
+def best_passage(text: str | None, model: PrefixModel, weights: dict[str, float], span: int = 12, heads: set[str] | None = None) -> tuple[float, str]:
     """Score and words of the best passage of a text."""
     top, words = 0.0, ""
     for ws in passages(text, model):
-        score, i = score_words(ws, features(ws), weights, span)
+        score, i = score_words(ws, features(ws, heads), weights, span)
         if score > top:
             top, words = score, " ".join(ws[i : i + span])
     return top, words
@@ -348,7 +352,9 @@ def learn_weights(documents: DataFrame, labels: DataFrame, counts: dict[str, int
 
     A document counts as objectionable by the majority of its raters (a tie is
     left out). Features are counted once a document and merged across
-    partitions; one seen in fewer than four documents, or only somewhat more in one kind, has no weight, and
+    partitions; one seen in fewer than four documents, or only somewhat more in one kind, has no
+    weight, nor has one that speaks for the objectionable but among so many
+    features may do so by chance (log-likelihood ratio against the share of all);
     concept pairs start from a prior, so that few labels suffice.
     """
     votes = labels.where(F.col("doc_id").isNotNull() & F.col("objectionable").isNotNull()).groupBy("doc_id").agg(F.avg("objectionable").alias("v"))
@@ -368,12 +374,16 @@ def learn_weights(documents: DataFrame, labels: DataFrame, counts: dict[str, int
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(bad, pa.int64())], ["f", "bad"])
 
     stats = texts.mapInArrow(extract, "f string, bad long").groupBy("f").agg(F.sum("bad").alias("p"), F.count(F.lit(1)).alias("n"))
-    total = {r["f"]: r for r in stats.where(F.col("f") == "").collect()}.get("")
-    good_all, bad_all = (max(1, total["n"] - total["p"]), max(1, total["p"])) if total else (1, 1)
+    of_all = [F.max(F.when(F.col("f") == "", F.col(c))).alias(c) for c in ("n", "p")]
+    total = stats.agg(*of_all, F.count_if(F.col("n") >= 4).alias("many")).first()
+    good_all, bad_all = (max(1, total["n"] - total["p"]), max(1, total["p"])) if total["n"] else (1, 1)
     rate = math.log(good_all / bad_all)
     kept = stats.where((F.col("f") != "") & ((F.col("n") >= 4) | F.startswith(F.col("f"), F.lit("<"))))
     odds = F.log((F.col("p") + 0.1) / (F.col("n") - F.col("p") + 0.4)) + F.lit(rate)
-    strong = kept.select("f", "p", "n", odds.alias("w")).where((F.col("w") > 2.2) | (F.col("w") < -1.2) | F.startswith(F.col("f"), F.lit("<"))).orderBy(F.desc(F.col("n") * F.abs("w")), "f").limit(MAX_FEATURES).collect()
+    n, p, base = F.col("n"), F.col("p"), bad_all / (good_all + bad_all)
+    surprise = F.when(p > 0, p * F.log(p / (n * base))).otherwise(0.0) + F.when(n > p, (n - p) * F.log((n - p) / (n * (1 - base)))).otherwise(0.0)
+    told = (F.col("w") > 3.0) & (surprise > math.log(max(2, total["many"])))
+    strong = kept.select("f", "p", "n", odds.alias("w")).where(told | (F.col("w") < -1.2) | F.startswith(F.col("f"), F.lit("<"))).orderBy(F.desc(F.col("n") * F.abs("w")), "f").limit(MAX_FEATURES).collect()
     weights = dict(PRIOR)
     for r in strong:
         trust = r["n"] / (r["n"] + 3.0)
@@ -398,8 +408,9 @@ def score_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, w = PrefixModel(sent.value[0]), sent.value[1]
+        heads = first_words(w)
         for batch in batches:
-            got = [best_passage(t, model, w) for t in batch.column("text").to_pylist()]
+            got = [best_passage(t, model, w, heads=heads) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("source"), pa.array([s for s, _ in got], pa.float64()), pa.array([p for _, p in got], pa.string())], ["doc_id", "source", "score", "passage"])
 
     return documents.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), "text").mapInArrow(run, "doc_id long, source string, score double, passage string")

@@ -146,6 +146,16 @@ def test_scores(spark):
     assert abuse.score_documents(docs.limit(0), labels).count() == 0
 
 
+def test_labels_teach_what_no_class_holds(spark):
+    bad = [f"I will skewer you {x}" for x in ("tonight", "slowly", "soon", "again", "twice", "now")]
+    good = [f"The {x} was on time and the coffee was warm" for x in ("bus", "train", "tram", "boat", "plane", "taxi")] * 5
+    rows = [(i, t, "forum") for i, t in enumerate([*bad, *good, "Listen well, I will skewer you", "The ferry was on time"])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    labels = spark.createDataFrame([(i, 1, int(i < 6)) for i in range(36)], "doc_id long, rater_id long, objectionable int")
+    out = {r["doc_id"]: r["score"] for r in abuse.score_documents(docs, labels).collect()}
+    assert out[36] >= abuse.THRESHOLD > out[37]
+
+
 def test_held_out_accuracy(spark):
     d = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/content_labels.parquet")
