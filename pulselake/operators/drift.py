@@ -16,6 +16,7 @@ spread over its chunks.
 from __future__ import annotations
 
 import csv
+import hashlib
 import io
 import json
 import re
@@ -303,5 +304,98 @@ def consistent_table(files: DataFrame, names: dict[str, str]) -> DataFrame:
     return _summaries(files).mapInPandas(run, "feed_id long, file_id long, night string, field string, type string, figure string")
 
 
+def _routed(name: str, at: int, file_id: int, recorded: list[dict]) -> str:
+    """The last name of a file's field in its feed: the later renames one after the other, until it is removed."""
+    for r in recorded:
+        if (r["at"], r["file_id"]) > (at, file_id) and r["old_field"] == name:
+            if r["change_kind"] == "removed":
+                break
+            name = r["new_field"]
+    return name
+
+
+def _cast(figure: str | None, shown: str | None, kind: str | None) -> str | None:
+    """A figure of a file that shows the type ``shown``, as the joint type ``kind`` writes it."""
+    if figure is None or kind == "decimal":
+        return figure
+    try:
+        return str(int(float(figure))) if shown == "whole number" and kind in ("whole number", "text") else figure
+    except (ValueError, OverflowError):
+        return figure
+
+
+def routed_table(files: DataFrame, changes: DataFrame) -> DataFrame:
+    """``(feed_id, file_id, fingerprint, night, field, type, figure, number)``: all files in one shape.
+
+    A file is routed by the version of its own feed: the renames recorded for
+    that feed after it are chained, and the feed's last name leads to the name
+    all feeds have in common. Where that puts two fields of one file under one
+    name, those fields keep their feed's own last names in the whole feed. Every
+    night of a file has a row for every field of the table, null where the file
+    has no value; ``type`` is the joint type over all files (null if no file has
+    a value), ``number`` the value of numeric fields. ``fingerprint`` is that of
+    the file's own reader, fields and types. Whole numbers beyond 2^53 lose
+    digits, and numbers in a text field lose leading zeros.
+    """
+    from ..session import shared_dir
+
+    spark, names = files.sparkSession, canonical_names(changes)
+    when = files.where(F.col("feed_id").isNotNull()).select("feed_id", "file_id", F.coalesce("fetched_ms", F.lit(0)).alias("at"))
+    step = F.struct("at", "file_id", "change_kind", "old_field", "new_field")
+    recorded = changes.where(F.col("change_kind").isin("renamed", "removed")).join(when, ["feed_id", "file_id"]).groupBy("feed_id").agg(F.to_json(F.sort_array(F.collect_list(step))).alias("recorded"))
+
+    def route(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            out = []
+            for file, at, text, steps_ in zip(f["file_id"], f["fetched_ms"], f["summary"], f["recorded"]):
+                s = json.loads(text)
+                s["last"] = {n: _routed(n, at, file, json.loads(steps_ or "[]")) for n in s["fields"]}
+                out.append(json.dumps(s))
+            yield pd.DataFrame({"feed_id": f["feed_id"], "file_id": f["file_id"], "summary": out})
+
+    path, kept = shared_dir(spark, "routed-files"), "feed_id long, file_id long, summary string"
+    _summaries(files).join(F.broadcast(recorded), "feed_id", "left").mapInPandas(route, kept).write.parquet(path)
+    routed = spark.read.schema(kept).parquet(path)
+
+    def clashes(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            rows = set()
+            for feed, s in zip(f["feed_id"], map(json.loads, f["summary"])):
+                common = [names.get(x, x) for x in s["last"].values()]
+                rows |= {(feed, x) for x in common if common.count(x) > 1}
+            yield pd.DataFrame(sorted(rows), columns=["feed_id", "field"])
+
+    split = {tuple(r) for r in routed.mapInPandas(clashes, "feed_id long, field string").distinct().collect()}
+
+    def field_of(feed: int, last: str) -> str:
+        common = names.get(last, last)
+        return last if (feed, common) in split else common
+
+    def kinds(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            rows = {(field_of(feed, s["last"][n]), kind or "") for feed, s in zip(f["feed_id"], map(json.loads, f["summary"])) for n, kind in s["fields"].items()}
+            yield pd.DataFrame(sorted(rows), columns=["field", "kind"])
+
+    shown: dict[str, set[str]] = {}
+    for r in routed.mapInPandas(kinds, "field string, kind string").distinct().collect():
+        shown.setdefault(r["field"], set()).update({r["kind"]} - {""})
+    types = {n: _joint_type(k) for n, k in sorted(shown.items())}
+
+    def rows_of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            rows = []
+            for feed, file, s in zip(f["feed_id"], f["file_id"], map(json.loads, f["summary"])):
+                mark = hashlib.md5(json.dumps([s["reader"], sorted(s["fields"].items())]).encode()).hexdigest()
+                source = {field_of(feed, s["last"][n]): n for n in s["fields"]}
+                for night in sorted({*s["dates"], *(d for x in s["nights"].values() for d in x)}):
+                    for field, kind in types.items():
+                        n = source.get(field)
+                        rows.append((feed, file, mark, night, field, kind, _cast(s["nights"][n].get(night), s["fields"][n], kind) if n is not None else None))
+            yield pd.DataFrame(rows, columns=["feed_id", "file_id", "fingerprint", "night", "field", "type", "figure"])
+
+    made = routed.mapInPandas(rows_of, "feed_id long, file_id long, fingerprint string, night string, field string, type string, figure string")
+    return made.withColumn("number", F.when(F.col("type").isin("whole number", "decimal"), typed_figure(F.col("figure"))))
+
+
 def typed_figure(figure: Column) -> Column:
     return figure.try_cast("double")

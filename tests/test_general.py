@@ -178,6 +178,26 @@ def test_schema_changes(spark):
     assert drift.schema_changes(odd).count() == 0
 
 
+def test_files_are_routed_by_their_feeds_version(spark):
+    nd = lambda **f: "\n".join(json.dumps({"calendarDate": f"2024-01-0{k + 1}"} | {n: v[k] for n, v in f.items()}) for k in range(3))
+    rows = [
+        (1, 1, 1, "a.json", None, nd(score=[1, 2, 3], void=[None] * 3)),
+        (2, 1, 2, "b.json", None, nd(points=[1, 2, 3])),
+        (3, 1, 3, "c.json", None, nd(points=[1.5, 2.5, 3.5], rhr=[60, 61, 62])),
+        (4, 2, 1, "d.json", None, nd(score=[7, 8, 9], points=[4, 5, 6])),
+    ]
+    df = spark.createDataFrame(rows, "file_id long, feed_id long, fetched_ms long, file_name string, reader string, body string")
+    got = drift.routed_table(df, drift.schema_changes(df)).collect()
+    at = {(r["file_id"], r["night"][-1], r["field"]): r for r in got}
+    fields = {r["field"] for r in got}
+    assert {"rhr", "void"} <= fields and len(got) == 4 * 3 * len(fields)
+    assert at[1, "1", "rhr"]["figure"] is None and at[2, "1", "void"]["figure"] is None
+    assert (at[4, "1", "score"]["number"], at[4, "1", "points"]["number"]) == (7.0, 4.0)
+    assert [at[i, "1", "points"]["number"] or at[i, "1", "score"]["number"] for i in (1, 2, 3)] == [1.0, 1.0, 1.5]
+    assert all(len({r["type"] for r in got if r["field"] == f}) == 1 for f in fields) and at[3, "2", "rhr"]["figure"] == "61"
+    assert len({r["fingerprint"] for r in got}) == 4
+
+
 def test_chunking_of_feeds_changes_nothing(spark):
     files = spark.read.parquet("/root/testdata/sf0.001/capture_files.parquet")
     made, known = [], {}
