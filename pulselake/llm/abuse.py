@@ -14,30 +14,42 @@ Three steps over all documents:
 3. *Score.* Features of restored words (words, word pairs and triples of every
    passage, and pairs of concept classes close together) carry log-odds learned
    from the rated documents, the classes a prior besides; a document's score is
-   that of its best passage.
+   that of its best passage. A rating says that some passage offends, not which:
+   a second round counts the heaviest passages of an objectionable document
+   as such, and its other passages like those of the others. The cut between the kinds is set on rated documents scored by
+   weights they took no part in (folds by content, so that copies stay together).
 """
 
 from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
+from itertools import accumulate
 
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .leakage import fold
 
-MODEL_WORDS = 60_000  # words of the language model at most, the most frequent first: the size of the model, not of the data
+MIN_SHARE = 2e-6  # share of all word occurrences a word of the language model has at least, which bounds the model to 1 / MIN_SHARE words
 CLASS_COUNT = 16  # the words of the fixed classes count as seen so often at least
 SWAPPED, DOUBLED, DROPPED = 0.05, 0.01, 0.0025  # share of a word's occurrences that one misspelling of a kind makes up at most
-MAX_FEATURES = 40_000
+MAX_FEATURES = 40_000  # weights kept, the strongest first: the size of the classifier
+SURPRISE = (9.0, 5.0)  # log-likelihood ratio at which a feature speaks for the objectionable by more than chance, per round
+SURE = 6.4  # score from which a passage explains a document's rating, so that its other passages do not count for it
+FOLDS = 5
+CUT_RATED = 20  # objectionable documents that must be rated before they set the cut
 BEAM = 24
 UNKNOWN, CHANGED_GAP, SIGN_GAP = 6.0, 4.0, 2.0  # costs in spread letters: of a letter of no known word, of another separator within a word, of a word's end at a sign
-LONGEST = 24  # characters of a token worth decoding
+LONGEST = 24  # characters of a word in the lattice, repetitions not counted
 REACH = 6  # words between the two parts of a concept pair
+SPAN = 12  # words of the window that is scored
 MAX_LABELS = 200_000  # rated documents used for fitting at most
 
 # Signs that stand for letters.
@@ -49,12 +61,12 @@ CONCEPTS = {
     "insult": "idiot moron imbecile cretin halfwit loser scumbag bastard bitch asshole dickhead clown rat trash garbage shithead jerk fool dumbass wanker prick slut whore cunt idiots morons imbeciles losers bitches assholes sluts whores savages arschloch versager idioten dreck depp trottel schlampe wichser imbecil idiota cabron basura estupido puta gilipollas pendejo connard connasse salope abruti cretin ordure imbecile encule",
     "adjective": "stupid pathetic worthless useless disgusting filthy miserable repulsive demented braindead brain dumb ugly inutil asqueroso erbarmlicher widerlicher dummes dumme dummer minable sale debile sucio",
     "you": "you your yourself u ya du dich dir dein deine tu te toi ton eres tus ti usted vous votre",
-    "group": "women gays migrants immigrants refugees foreigners believers muslims jews christians blacks disabled lesbians trans folks people faith mujeres inmigrantes extranjeros frauen auslander fluchtlinge juden femmes etrangers immigres homosexuels",
+    "group": "women gays migrants immigrants refugees foreigners believers muslims jews christians blacks disabled lesbians trans mujeres inmigrantes extranjeros frauen auslander fluchtlinge juden femmes etrangers immigres homosexuels",
     "demean": "vermin parasites filth animals plague subhuman inferior breed disease trash scum cockroaches minderwertiges pack ungeziefer gehoren animales plaga inferiores sirven vermine inferieures chasser echarlos taugen taire",
-    "expel": "thrown cleaner locked allowed deserve serve vote lazy country send ruin",
-    "violence": "kill drown hurt burn bleed crash fists break teeth regret beat punch strangle shoot stab murder rape ahorcate matar partir cara zahne schlag umbringen casser gueule tuer creve",
-    "sexual": "naked nude nudes nipples breasts orgasm thrusting moaned panties porn xxx horny hookup oral blowjob escort hardcore sex begged deeper fuck dick pussy cock tits lick wet ride undressed sweaty thighs nackt nacktbilder geil stohnte desnuda sexo follarte follar nue baiser baisaient gemissait",
-    "go": "fuck screw verpiss vete mierda foutre ferme shut klappe callate lost",
+    "expel": "thrown cleaner locked ruin",
+    "violence": "kill drown bleed crash fists teeth punch strangle shoot stab murder rape ahorcate matar partir cara zahne schlag umbringen casser gueule tuer creve",
+    "sexual": "naked nude nudes nipples breasts orgasm thrusting moaned panties porn xxx horny hookup oral blowjob escort hardcore sex begged deeper fuck dick pussy cock tits undressed nackt nacktbilder geil stohnte desnuda sexo follarte follar nue baiser baisaient gemissait",
+    "go": "fuck screw verpiss vete mierda foutre ferme klappe callate",
 }
 _CLASS: dict[str, str] = {}
 for _name, _words in CONCEPTS.items():
@@ -65,8 +77,10 @@ _CUT = re.compile(r"[.!?:;]+(?=\s|$)|\n+|\s[-–—]+\s")
 _TOKEN = re.compile(r"[^\s]+")
 _LETTERS = re.compile(r"[a-z]+")
 _SPREAD = re.compile(r"(?<![^\W_])(?<!')[a-z0-9@€$](?:[ .\-_]{1,2}[a-z0-9@€$!|+*#])+[ .\-_]{1,2}[a-z0-9@€$](?![^\W_])")
+_PLAIN = re.compile(r"(?<![^\s(\"'])[a-z]+(?=[\s.,;:!?)\"']|$)")
 _SEPARATORS = " .-_"
 _REPEAT = re.compile(r"([a-z])\1{2,}")
+_LONG = re.compile(r"([^*#])\1{2,}")
 _DOUBLE = re.compile(r"(.)\1+")
 _MOJIBAKE = re.compile("Ã[-¿¡-ÿ©¨ª«¬­®¯°±²³´µ¶·¸¹º»¼½¾¿¡¢£¤¥¦§]")
 
@@ -160,10 +174,11 @@ class PrefixModel:
 
     def _decode(self, token: str, seen: int = 0) -> str:
         """The likeliest word seen more than ``seen`` times; the token if there is none."""
-        n = len(token)
-        if n > LONGEST or not any(c.isalpha() or c in WILD for c in token) or n < 2:
+        short = _LONG.sub(r"\1\1", token)
+        n = len(short)
+        if n > LONGEST or not any(c.isalpha() or c in WILD for c in short) or n < 2:
             return token
-        last = self._rows(token, _typos(token))[n]
+        last = self._rows(short, _typos(short))[n]
         best = min(((cost - math.log(self.ends[node] / self.mass[node]), word) for (node, _), (cost, word) in last.items() if self.ends[node] and self.counts[word] > seen), default=None)
         return best[1] if best else token
 
@@ -275,9 +290,9 @@ def passages(text: str | None, model: PrefixModel) -> list[list[str]]:
     return out
 
 
-def first_words(weights: dict[str, float]) -> set[str]:
-    """The words that weighted features of words begin with."""
-    return {f.partition(" ")[0] for f in weights if not f.startswith("<")}
+def first_words(weights: dict[str, float], least: float = -math.inf) -> set[str]:
+    """The words that features of words of more than the least weight begin with."""
+    return {f.partition(" ")[0] for f, w in weights.items() if w > least and not f.startswith("<")}
 
 
 def features(ws: list[str], heads: set[str] | None = None) -> list[tuple[int, str]]:
@@ -293,8 +308,8 @@ def features(ws: list[str], heads: set[str] | None = None) -> list[tuple[int, st
     return got
 
 
-def score_words(ws: list[str], found: list[tuple[int, str]], weights: dict[str, float], span: int = 12) -> tuple[float, int]:
-    """Score and start of the heaviest window of ``span`` words; a feature counts once a passage."""
+def score_words(ws: list[str], found: list[tuple[int, str]], weights: dict[str, float], span: int = SPAN) -> tuple[float, int]:
+    """Score and start of the heaviest window of ``span`` words or fewer; a feature counts once a passage."""
     at, seen = [0.0] * len(ws), set()
     for i, f in found:
         w = weights.get(f)
@@ -304,24 +319,34 @@ def score_words(ws: list[str], found: list[tuple[int, str]], weights: dict[str,
     best, start = 0.0, 0
     for i, w in enumerate(at):
         if w > 0:
-            score = sum(at[i : i + span])
+            score = max(accumulate(at[i : i + span]))
             if score > best:
                 best, start = score, i
     return best, start
 
 
-def best_passage(text: str | None, model: PrefixModel, weights: dict[str, float], span: int = 12, heads: set[str] | None = None) -> tuple[float, str]:
-    """Score and words of the best passage of a text."""
-    top, words = 0.0, ""
-    for ws in passages(text, model):
-        score, i = score_words(ws, features(ws, heads), weights, span)
-        if score > top:
-            top, words = score, " ".join(ws[i : i + span])
-    return top, words
+class Judge:
+    """Scores texts by learned weights."""
 
+    def __init__(self, model: PrefixModel, weights: dict[str, float], span: int = SPAN) -> None:
+        self.model, self.weights, self.span = model, weights, span
+        self.heads = first_words(weights)
+        self.speaking = first_words(weights, 0.0) | set(_CLASS)  # without one of these no passage scores
 
-def word_counts(documents: DataFrame, most: int = MODEL_WORDS) -> dict[str, int]:
-    """Counts of the corpus's words over all documents, the most frequent ``most`` of them; the fixed classes are always in."""
+    def best_passage(self, text: str | None) -> tuple[float, str]:
+        """Score and words of the best passage of a text."""
+        top, words = 0.0, ""
+        for ws in passages(text, self.model):
+            if self.speaking.isdisjoint(ws):
+                continue
+            score, i = score_words(ws, features(ws, self.heads), self.weights, self.span)
+            if score > top:
+                top, words = score, " ".join(ws[i : i + self.span])
+        return top, words
+
+
+def word_counts(documents: DataFrame, min_share: float = MIN_SHARE) -> dict[str, int]:
+    """Counts of the corpus's words over all documents, of those with at least that share of all; the fixed classes are always in."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
@@ -332,7 +357,7 @@ def word_counts(documents: DataFrame, most: int = MODEL_WORDS) -> dict[str, int]
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 if text:
-                    seen.update(set(re.findall(r"(?<![^\s(\"'])[a-z]{1,24}(?=[\s.,;:!?)\"']|$)", fold(repair(text)))))
+                    seen.update(set(_PLAIN.findall(fold(repair(text)))))
             if len(seen) > 300_000:
                 yield out()
                 seen.clear()
@@ -340,77 +365,163 @@ def word_counts(documents: DataFrame, most: int = MODEL_WORDS) -> dict[str, int]
             yield out()
 
     counted = documents.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    rows = counted.orderBy(F.desc("n"), "word").limit(most).collect()
+    counted.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        least = (counted.agg(F.sum("n")).first()[0] or 0) * min_share
+        rows = counted.where(F.col("n") >= least).collect()
+    finally:
+        counted.unpersist()
     counts = {r["word"]: r["n"] for r in rows if len(r["word"]) > 1 or r["word"] in "aiuyoe"}
     for w in _CLASS:
         counts[w] = max(counts.get(w, 0), CLASS_COUNT)
     return counts
 
 
-def learn_weights(documents: DataFrame, labels: DataFrame, counts: dict[str, int]) -> dict[str, float]:
-    """Log-odds of features between rated documents of either kind.
+def _restored(documents: DataFrame, labels: DataFrame, counts: dict[str, int]) -> DataFrame:
+    """``(bad, fold, said)`` of the rated documents: the rating of the majority (ties left out), a fold by content, and the restored passages.
 
-    A document counts as objectionable by the majority of its raters (a tie is
-    left out). Features are counted once a document and merged across
-    partitions; one seen in fewer than four documents, or only somewhat more in one kind, has no
-    weight, nor has one that speaks for the objectionable but among so many
-    features may do so by chance (log-likelihood ratio against the share of all);
-    concept pairs start from a prior, so that few labels suffice.
+    At most ``MAX_LABELS`` ratings are used, so their ids may be broadcast whatever the corpus.
     """
     votes = labels.where(F.col("doc_id").isNotNull() & F.col("objectionable").isNotNull()).groupBy("doc_id").agg(F.avg("objectionable").alias("v"))
     rated = votes.where(F.col("v") != 0.5).orderBy(F.xxhash64("doc_id")).limit(MAX_LABELS).select("doc_id", (F.col("v") > 0.5).alias("bad"))
-    texts = documents.select("doc_id", "text").where(F.col("text").isNotNull()).join(rated, "doc_id")
+    texts = documents.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(rated), "doc_id").select("bad", "text")
     sent = documents.sparkSession.sparkContext.broadcast(counts)
 
-    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def restore(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = PrefixModel(sent.value)
         for batch in batches:
-            x = batch.to_pydict()
-            names, bad = [], []
-            for t, b in zip(x["text"], x["bad"]):
-                found = {f for ws in passages(t, model) for _, f in features(ws)} | {""}
-                names += found
-                bad += [int(b)] * len(found)
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(bad, pa.int64())], ["f", "bad"])
-
-    stats = texts.mapInArrow(extract, "f string, bad long").groupBy("f").agg(F.sum("bad").alias("p"), F.count(F.lit(1)).alias("n"))
-    of_all = [F.max(F.when(F.col("f") == "", F.col(c))).alias(c) for c in ("n", "p")]
-    total = stats.agg(*of_all, F.count_if(F.col("n") >= 4).alias("many")).first()
-    good_all, bad_all = (max(1, total["n"] - total["p"]), max(1, total["p"])) if total["n"] else (1, 1)
-    rate = math.log(good_all / bad_all)
-    kept = stats.where((F.col("f") != "") & ((F.col("n") >= 4) | F.startswith(F.col("f"), F.lit("<"))))
-    odds = F.log((F.col("p") + 0.1) / (F.col("n") - F.col("p") + 0.4)) + F.lit(rate)
-    n, p, base = F.col("n"), F.col("p"), bad_all / (good_all + bad_all)
-    surprise = F.when(p > 0, p * F.log(p / (n * base))).otherwise(0.0) + F.when(n > p, (n - p) * F.log((n - p) / (n * (1 - base)))).otherwise(0.0)
-    told = (F.col("w") > 3.0) & (surprise > math.log(max(2, total["many"])))
-    strong = kept.select("f", "p", "n", odds.alias("w")).where(told | (F.col("w") < -1.2) | F.startswith(F.col("f"), F.lit("<"))).orderBy(F.desc(F.col("n") * F.abs("w")), "f").limit(MAX_FEATURES).collect()
-    weights = dict(PRIOR)
+            said = [[" ".join(ws) for ws in passages(t, model)] for t in batch.column("text").to_pylist()]
+            part = [zlib.crc32("\n".join(s).encode()) % FOLDS for s in said]
+            yield pa.RecordBatch.from_arrays([batch.column("bad"), pa.array(part, pa.int32()), pa.array(said, pa.list_(pa.string()))], ["bad", "fold", "said"])
+
+    return texts.mapInArrow(restore, "bad boolean, fold int, said array<string>")
+
+
+def _blamed(said: list[list[str]], weights: dict[str, float]) -> tuple[float, set[str], set[str]]:
+    """Best score of a document, the features of the passages that speak for it, and those of the passages that do not.
+
+    A passage speaks for the rating if it scores a quarter of the best one; all do where none is sure.
+    """
+    each = [features(ws) for ws in said]
+    scores = [score_words(ws, found, weights)[0] for ws, found in zip(said, each)]
+    best = max(scores, default=0.0)
+    inside: set[str] = set()
+    outside: set[str] = set()
+    for found, score in zip(each, scores):
+        (inside if best < SURE or score >= best / 4 else outside).update(f for _, f in found)
+    return best, inside, outside - inside
+
+
+def learn_weights(documents: DataFrame, labels: DataFrame, counts: dict[str, int]) -> tuple[dict[str, float], float]:
+    """Log-odds of features between objectionable and other passages of rated documents, and the cut between the kinds.
+
+    Features are counted once a document and merged across partitions. One seen
+    in fewer than four documents, or only somewhat more in one kind, has no
+    weight, nor has one that may speak for the objectionable by chance; concept
+    pairs start from a prior, so that few labels suffice. The cut is that of the
+    best F1 over documents scored by the other folds' weights, and not below
+    ``THRESHOLD``, which holds where there are no labels.
+    """
+    context = documents.sparkSession.sparkContext
+    rated = _restored(documents, labels, counts).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        sizes = {(r["fold"], r["bad"]): r["count"] for r in rated.groupBy("fold", "bad").count().collect()}
+        if not sizes:
+            return dict(PRIOR), THRESHOLD
+        fits: list[dict[str, float]] | None = None
+        for surprise in SURPRISE:
+            sent = context.broadcast(fits)
+
+            def count(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+                for batch in batches:
+                    names, fold, bad = [], [], []
+                    for b, k, said in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                        split = [s.split(" ") for s in said]
+                        if sent.value is None or not b:
+                            parts = [(int(b), {f for ws in split for _, f in features(ws)})]
+                        else:
+                            _, inside, outside = _blamed(split, sent.value[k])
+                            parts = [(1, inside), (0, outside)]
+                        for label, found in parts:
+                            names += found
+                            fold += [k] * len(found)
+                            bad += [label] * len(found)
+                    yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(fold, pa.int32()), pa.array(bad, pa.int32())], ["f", "fold", "bad"])
+
+            told = [F.count_if((F.col("fold") == k) & (F.col("bad") == b)).alias(f"c{k}{b}") for k in range(FOLDS) for b in (0, 1)]
+            fits = _fit(rated.mapInArrow(count, "f string, fold int, bad int").groupBy("f").agg(*told), sizes, surprise)
+        sent = context.broadcast(fits)
+
+        def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                bad, fold, said = (batch.column(i).to_pylist() for i in range(3))
+                best = [_blamed([s.split(" ") for s in x], sent.value[k])[0] for k, x in zip(fold, said)]
+                yield pa.RecordBatch.from_arrays([pa.array(bad, pa.bool_()), pa.array(best, pa.float64())], ["bad", "score"])
+
+        judged = [(r["score"], r["bad"]) for r in rated.mapInArrow(judge, "bad boolean, score double").collect()]
+    finally:
+        rated.unpersist()
+    return fits[FOLDS], best_cut(judged)
+
+
+def _fit(stats: DataFrame, sizes: dict[tuple[int, bool], int], least_surprise: float) -> list[dict[str, float]]:
+    """Weights by all folds but the first, all but the second and so on, and last by all, from the counts of each feature, in one action."""
+    shown = []
+    for left_out in range(FOLDS + 1):
+        folds = [k for k in range(FOLDS) if k != left_out]
+        bad_all, good_all = (max(1, sum(sizes.get((k, b), 0) for k in folds)) for b in (True, False))
+        p, q = (reduce(lambda x, y: x + y, [F.col(f"c{k}{b}") for k in folds]) for b in (1, 0))
+        n, base = p + q, bad_all / (good_all + bad_all)
+        w = F.log((p + 0.1) / (q + 0.4)) + F.lit(math.log(good_all / bad_all))
+        surprise = F.when(p > 0, p * F.log(p / (n * base))).otherwise(0.0) + F.when(q > 0, q * F.log(q / (n * (1 - base)))).otherwise(0.0)
+        pair = F.startswith(F.col("f"), F.lit("<"))
+        use = ((n >= 4) & (((w > 3.0) & (surprise > least_surprise)) | (w < -1.2))) | (pair & (n > 0))
+        shown.append(F.when(use, F.struct((n / (n + 3.0) * F.greatest(F.lit(-4.0), F.least(F.lit(4.0), w))).alias("w"), (3.0 / (n + 3.0)).alias("prior"))).alias(f"w{left_out}"))
+    names = [f"w{k}" for k in range(FOLDS + 1)]
+    weighty = F.greatest(*[F.abs(F.coalesce(F.col(f"{x}.w"), F.lit(0.0))) for x in names], F.lit(0.0))
+    strong = stats.select("f", *shown).where(F.coalesce(*[F.col(f"{x}.w") for x in names]).isNotNull()).orderBy(F.desc(weighty), "f").limit(MAX_FEATURES).collect()
+    fits = [dict(PRIOR) for _ in names]
     for r in strong:
-        trust = r["n"] / (r["n"] + 3.0)
-        weights[r["f"]] = trust * max(-4.0, min(4.0, r["w"])) + (1 - trust) * PRIOR.get(r["f"], 0.0)
-    return weights
+        for x, fit in zip(names, fits):
+            if r[x] is not None:
+                fit[r["f"]] = r[x]["w"] + r[x]["prior"] * PRIOR.get(r["f"], 0.0)
+    return fits
+
+
+def best_cut(judged: list[tuple[float, bool]]) -> float:
+    """The score between the two kinds with the best F1, midway to the next lower one; ``THRESHOLD`` at least, and where too few objectionable documents are rated."""
+    order = sorted((x for x in judged if x[0] >= THRESHOLD), reverse=True)
+    all_bad = sum(b for _, b in judged)
+    if all_bad < CUT_RATED:
+        return THRESHOLD
+    best, cut, hits = 0.0, THRESHOLD, 0
+    for k, (score, bad) in enumerate(order, 1):
+        hits += bad
+        lower = order[k][0] if k < len(order) else THRESHOLD
+        if score > lower and (f1 := 2 * hits / (k + all_bad)) > best:
+            best, cut = f1, (score + lower) / 2
+    return cut
 
 
 # What a pair of classes close together says before any label is seen.
 PRIOR = {"<insult|you>": 2.5, "<adjective|insult>": 3.3, "<adjective|you>": 1.0, "<demean|group>": 3.3, "<expel|group>": 1.5, "<sexual|sexual>": 3.3, "<violence|you>": 1.5, "<violence|violence>": 1.5, "<go|you>": 2.0, "<go|violence>": 4.0, "<go|go>": 3.0, "<go|insult>": 3.3, "<insult|insult>": 1.5, "<insult|violence>": 3.3, "<sexual|you>": 2.0, "<group|violence>": 3.3, "<demean|demean>": 1.5}
-THRESHOLD = 3.2
+THRESHOLD = 3.2  # the least sum of log-odds that tells an objectionable passage
 
 
 def score_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """``(doc_id, source, score, passage)`` of every document.
+    """``(doc_id, source, score, passage)`` of every document; a score of 1 or more is past the learned cut.
 
     Null and empty texts score 0; repeated rows are scored each; without labels
     the fixed classes alone decide. No documents give no rows.
     """
     counts = word_counts(documents)
-    weights = learn_weights(documents, labels, counts)
+    weights, cut = learn_weights(documents, labels, counts)
     sent = documents.sparkSession.sparkContext.broadcast((counts, weights))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, w = PrefixModel(sent.value[0]), sent.value[1]
-        heads = first_words(w)
+        judge = Judge(PrefixModel(sent.value[0]), sent.value[1])
         for batch in batches:
-            got = [best_passage(t, model, w, heads=heads) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("source"), pa.array([s for s, _ in got], pa.float64()), pa.array([p for _, p in got], pa.string())], ["doc_id", "source", "score", "passage"])
+            got = [judge.best_passage(t) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("source"), pa.array([s / cut for s, _ in got], pa.float64()), pa.array([p for _, p in got], pa.string())], ["doc_id", "source", "score", "passage"])
 
     return documents.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), "text").mapInArrow(run, "doc_id long, source string, score double, passage string")

@@ -41,12 +41,12 @@ def p10_scores(spark: SparkSession, d: str) -> DataFrame:
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     """Documents with at least one abusive, hateful or sexual passage."""
-    return p10_scores(spark, d).where(F.col("score") >= abuse.THRESHOLD).select("doc_id")
+    return p10_scores(spark, d).where(F.col("score") >= 1).select("doc_id")
 
 
 def p10_rates(spark: SparkSession, d: str) -> DataFrame:
     """Share of such documents per source."""
-    bad = (F.col("score") >= abuse.THRESHOLD).cast("double")
+    bad = (F.col("score") >= 1).cast("double")
     return p10_scores(spark, d).groupBy("source").agg(F.count(F.lit(1)).alias("documents"), F.sum(bad).cast("long").alias("flagged"), F.avg(bad).alias("rate"))
 
 

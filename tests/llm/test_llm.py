@@ -5,6 +5,7 @@ import random
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from pulselake.llm import abuse, leakage, packing
 
@@ -141,8 +142,8 @@ def test_scores(spark):
     for given in (labels, labels.limit(0)):
         out = {r["doc_id"]: r["score"] for r in abuse.score_documents(docs, given).collect()}
         assert len(out) == len(rows)
-        assert all(out[i] >= abuse.THRESHOLD for i in range(len(bad))), out
-        assert all(out[i] < abuse.THRESHOLD for i in range(len(bad), len(rows))), out
+        assert all(out[i] >= 1 for i in range(len(bad))), out
+        assert all(out[i] < 1 for i in range(len(bad), len(rows))), out
     assert abuse.score_documents(docs.limit(0), labels).count() == 0
 
 
@@ -153,14 +154,27 @@ def test_labels_teach_what_no_class_holds(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     labels = spark.createDataFrame([(i, 1, int(i < 6)) for i in range(36)], "doc_id long, rater_id long, objectionable int")
     out = {r["doc_id"]: r["score"] for r in abuse.score_documents(docs, labels).collect()}
-    assert out[36] >= abuse.THRESHOLD > out[37]
+    assert out[36] >= 1 > out[37]
 
 
 def test_held_out_accuracy(spark):
     d = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/content_labels.parquet")
     even, odd = labels.where("doc_id % 2 = 0"), labels.where("doc_id % 2 = 1")
-    got = {r["doc_id"] for r in abuse.score_documents(docs, even).collect() if r["score"] >= abuse.THRESHOLD}
+    got = {r["doc_id"] for r in abuse.score_documents(docs, even).collect() if r["score"] >= 1}
     truth = {r["doc_id"]: r["v"] for r in odd.groupBy("doc_id").agg({"objectionable": "avg"}).withColumnRenamed("avg(objectionable)", "v").collect()}
     right = sum((i in got) == (v > 0.5) for i, v in truth.items() if v != 0.5)
     assert right / max(1, sum(v != 0.5 for v in truth.values())) >= 0.8
+
+
+def test_held_out_precision_and_recall(spark):
+    """Documents flagged by the other fold's ratings, against pairs of raters who agree (either may err alone)."""
+    d = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/content_labels.parquet")
+    agreed = [r["doc_id"] for r in labels.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.avg("objectionable").alias("v")).where("n > 1 AND v IN (0, 1)").orderBy("doc_id").collect()]
+    truth = {r["doc_id"]: r["v"] for r in labels.where(F.col("doc_id").isin(agreed)).groupBy("doc_id").agg(F.max("objectionable").alias("v")).collect()}
+    rated = docs.where(F.col("doc_id").isin(agreed))
+    found = {r["doc_id"] for r in abuse.score_documents(docs.where(~F.col("doc_id").isin(agreed)).unionByName(rated), labels.where(~F.col("doc_id").isin(agreed))).collect() if r["score"] >= 1}
+    hit = {i for i in truth if i in found}
+    bad = {i for i, v in truth.items() if v == 1}
+    assert len(hit & bad) / max(1, len(hit)) >= 0.95 and len(hit & bad) / len(bad) >= 0.95
