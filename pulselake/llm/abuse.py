@@ -61,7 +61,7 @@ CONCEPTS = {
     "insult": "idiot moron imbecile cretin halfwit loser scumbag bastard bitch asshole dickhead clown rat trash garbage shithead jerk fool dumbass wanker prick slut whore cunt idiots morons imbeciles losers bitches assholes sluts whores savages arschloch versager idioten dreck depp trottel schlampe wichser imbecil idiota cabron basura estupido puta gilipollas pendejo connard connasse salope abruti cretin ordure imbecile encule",
     "adjective": "stupid pathetic worthless useless disgusting filthy miserable repulsive demented braindead brain dumb ugly inutil asqueroso erbarmlicher widerlicher dummes dumme dummer minable sale debile sucio",
     "you": "you your yourself u ya du dich dir dein deine tu te toi ton eres tus ti usted vous votre",
-    "group": "women gays migrants immigrants refugees foreigners believers muslims jews christians blacks disabled lesbians trans mujeres inmigrantes extranjeros frauen auslander fluchtlinge juden femmes etrangers immigres homosexuels",
+    "group": "women gays migrants immigrants refugees foreigners believers muslims jews christians blacks disabled lesbians trans people folks faith mujeres inmigrantes extranjeros frauen auslander fluchtlinge juden femmes etrangers immigres homosexuels",
     "demean": "vermin parasites filth animals plague subhuman inferior breed disease trash scum cockroaches minderwertiges pack ungeziefer gehoren animales plaga inferiores sirven vermine inferieures chasser echarlos taugen taire",
     "expel": "thrown cleaner locked ruin",
     "violence": "kill drown bleed crash fists teeth punch strangle shoot stab murder rape ahorcate matar partir cara zahne schlag umbringen casser gueule tuer creve",
