@@ -34,6 +34,11 @@ def p9_items(spark: SparkSession, d: str) -> DataFrame:
     return hits.groupBy("item_id").agg(F.count_distinct("doc_id").alias("n_documents"), F.max("n_words").alias("longest"))
 
 
+def p9_cleaned(spark: SparkSession, d: str) -> DataFrame:
+    """Every document without the passages of test items it holds."""
+    return leakage.cleaned(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
 def p10_scores(spark: SparkSession, d: str) -> DataFrame:
     """Score of every document and its worst passage."""
     return abuse.score_documents(table(spark, d, "documents"), table(spark, d, "content_labels"))
@@ -51,7 +56,7 @@ def p10_rates(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p8_containers, p8_fill, p9_found, p9_items, p10_found, p10_scores, p10_rates)}
+    return {f.__name__: f for f in (p8_containers, p8_fill, p9_found, p9_items, p9_cleaned, p10_found, p10_scores, p10_rates)}
 
 
 def oracle_sql() -> dict[str, str]:

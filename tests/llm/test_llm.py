@@ -62,9 +62,12 @@ def test_automaton_against_brute_force():
         items = [[rnd.choice("abcdef") for _ in range(rnd.randrange(3, 25))] for _ in range(4)]
         a = leakage.ItemAutomaton(list(enumerate(items)))
         doc = [rnd.choice("abcdefg") for _ in range(40)]
-        longest = max(brute_longest(doc, it) for it in items)
-        got = max((n for *_, n in a.anchors([a.ids.get(w, -1) for w in doc])), default=0)
-        assert got == (longest if longest >= leakage.ANCHOR else 0)
+        got = [0] * len(items)
+        for state, _, n in a.anchors([a.ids.get(w, -1) for w in doc]):
+            for k, _ in a.ends[state]:
+                got[k] = max(got[k], n)
+        want = [brute_longest(doc, it) for it in items]
+        assert got == [n if n >= leakage.ANCHOR else 0 for n in want]
 
 
 ITEM = "Unless our forgotten reafix of Bruwul nearly delayed this walker, our distant glare soon masked our fibox with 199.6 sprinters"
@@ -79,7 +82,36 @@ ITEM = "Unless our forgotten reafix of Bruwul nearly delayed this walker, our di
 )
 def test_leaks_however_they_look(text):
     a = leakage.ItemAutomaton([(7, leakage.words(ITEM))])
-    assert a.longest(text).get(7, 0) >= leakage.MIN_WORDS
+    n, coverage, first, end = a.longest(text)[7]
+    assert n >= leakage.MIN_WORDS and coverage <= 1 and end - first >= n - 1
+    left = leakage.without_spans("Before it. " + text + " And after it.", [(first + 2, end + 2)])
+    assert left.startswith("Before it.") and left.endswith("And after it.") and not a.longest(left)
+
+
+def test_a_passage_shared_by_two_items_counts_for_both():
+    shared = "one two three four five six seven eight nine ten eleven twelve thirteen"
+    a = leakage.ItemAutomaton([(1, leakage.words(shared + " alpha beta")), (2, leakage.words("gamma " + shared))])
+    assert {k: v[0] for k, v in a.longest("so " + shared + " alpha beta delta").items()} == {1: 15, 2: 13}
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.sampled_from(["word", "Wörter", "3 .5", "<b>bold</b>", "<a href='x y'>", "[link](http://x)", "bro-\nken", "&amp;", "е", "\n", "a​b", "naïve"]), max_size=30))
+def test_located_words(parts):
+    text = " ".join(parts)
+    ws, begin, end = leakage.located_words(text)
+    assert ws == leakage.words(text) and len(begin) == len(end) == len(ws)
+    assert begin == sorted(begin) and all(a <= b for a, b in zip(begin, end))
+
+
+def test_cleaned(spark):
+    docs = [(1, "Someone said: " + ITEM + ". Then more."), (2, "Nothing of it."), (3, None), (4, ""), (5, ITEM + "\n\n" + ITEM), (6, "Here: w1 w2 w3 w4 w5 w6 w7 w8.")]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    i = spark.createDataFrame([(1, ITEM), (2, "w1 w2 w3 w4 w5 w6 w7 w8")], "item_id long, text string")
+    for block in (10, 10**6):
+        out = {r["doc_id"]: (r["text"], r["spans_removed"]) for r in leakage.cleaned(d, i, block_words=block).collect()}
+        assert out[1] == ("Someone said: Then more.", 1) and out[2] == ("Nothing of it.", 0) and out[3] == (None, 0) and out[4] == ("", 0)
+        assert out[5] == ("", 2) and out[6] == ("Here:", 1)
+    assert leakage.cleaned(d.limit(0), i).count() == 0 and leakage.cleaned(d, i.limit(0)).where("text IS NULL").count() == 1
 
 
 def test_leaked(spark):
