@@ -5,7 +5,9 @@ a bitset keyed by free space, so the tightest bin that still holds an item is
 one shift and one lowest bit away; when one more must be opened, the fullest
 closes first. Each partition packs its own stream of items, so no item ever
 waits for another partition; the few bins still open at its end are packed once
-more among themselves (whole bins, never their texts, so nothing is divided).
+more with those of neighbouring partitions (whole bins, never their texts, so
+nothing is divided). A partition knows how full its closed bins are, so only the
+texts of open bins are joined to anything.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from ..session import shared_dir
 
 CAPACITY = 4096
 OPEN_BINS = 64
-SMALL_TAIL = 200_000  # open bins gathered in one task at most; more are packed in several
+NEIGHBOURS = 256  # partitions whose open bins are packed together
 
 
 @functools.lru_cache(2)
@@ -93,7 +95,7 @@ class OpenBins:
         return [(k, free) for free, ks in self.by_free.items() for k in ks]
 
 
-PLACED = "doc_id long, piece int, tokens int, part long, bin long, still_open boolean"
+PLACED = "doc_id long, piece int, tokens int, part long, bin long, used long, still_open boolean"
 
 
 def pack_texts(documents: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BINS, tokenizer_path: str | None = None) -> DataFrame:
@@ -118,14 +120,6 @@ def pack_texts(documents: DataFrame, capacity: int = CAPACITY, open_bins: int =
         bins = OpenBins(capacity, open_bins)
         docs, pieces, sizes, where = [], [], [], []
 
-        def flush(final: bool) -> pa.RecordBatch:
-            opened = np.array(sorted(k for k, _ in bins.rest()), np.int64)
-            at = np.array(where, np.int64)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(docs, pa.int64()), pa.array(pieces, pa.int32()), pa.array(sizes, pa.int32()), pa.array(np.full(len(docs), part, np.int64)), pa.array(at), pa.array(np.isin(at, opened) if final else np.zeros(len(at), bool))],
-                ["doc_id", "piece", "tokens", "part", "bin", "still_open"],
-            )
-
         for batch in batches:
             x = batch.to_pydict()
             for d, text in zip(x["doc_id"], x["text"]):
@@ -142,30 +136,34 @@ def pack_texts(documents: DataFrame, capacity: int = CAPACITY, open_bins: int =
                 sizes.append(n)
                 where.append(bins.put(n))
         if docs:
-            yield flush(True)
+            at, size = np.array(where, np.int64), np.array(sizes, np.int64)
+            used = np.bincount(at, size, bins.made).astype(np.int64)
+            opened = np.zeros(bins.made, bool)
+            opened[[k for k, _ in bins.rest()]] = True
+            columns = [pa.array(docs, pa.int64()), pa.array(pieces, pa.int32()), pa.array(size.astype(np.int32)), pa.array(np.full(len(docs), part, np.int64)), pa.array(at), pa.array(used[at]), pa.array(opened[at])]
+            yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in PLACED.split(", ")])
 
     path = shared_dir(spark, "packing")
     documents.select("doc_id", "text").mapInArrow(place, PLACED).write.parquet(path)
     placed = spark.read.schema(PLACED).parquet(path)
 
-    used = placed.groupBy("part", "bin").agg(F.sum("tokens").cast("long").alias("used"), F.bool_or("still_open").alias("tail"))
-    tails = used.where("tail").select("part", "bin", "used")
-    tasks = max(1, -(-tails.count() // SMALL_TAIL))
-
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import pyspark
-
-        x = pa.Table.from_batches(list(batches), schema=pa.schema([("part", pa.int64()), ("bin", pa.int64()), ("used", pa.int64())])).to_pydict()
-        if not x["part"]:
-            return
-        bins, task = OpenBins(capacity, open_bins), pyspark.TaskContext.get().partitionId()
-        order = sorted(range(len(x["part"])), key=lambda i: (-x["used"][i], x["part"][i], x["bin"][i]))
-        to = {i: bins.put(x["used"][i]) for i in order}
-        yield pa.RecordBatch.from_pydict({"part": pa.array([x["part"][i] for i in order], pa.int64()), "bin": pa.array([x["bin"][i] for i in order], pa.int64()), "joint": pa.array([task * SMALL_TAIL * 4 + to[i] for i in order], pa.int64())})
-
-    moved = tails.repartition(tasks).mapInArrow(again, "part long, bin long, joint long")
-    own = F.concat_ws("-", F.col("part"), F.col("bin"))
-    named = used.join(moved, ["part", "bin"], "left").select("part", "bin", "used", F.when(F.col("joint").isNull(), own).otherwise(F.concat(F.lit("t-"), F.col("joint"))).alias("container_id"))
-    joint = named.where(F.startswith(F.col("container_id"), F.lit("t-"))).groupBy("container_id").agg(F.sum("used").alias("__all"))
-    filled = named.join(joint, "container_id", "left").select("part", "bin", "container_id", (F.coalesce("__all", "used") / F.lit(float(capacity))).alias("filled"))
-    return placed.join(filled, ["part", "bin"]).select("doc_id", "piece", "tokens", "container_id", "filled")
+        by_group: dict[int, list[tuple[int, int, int]]] = {}
+        for batch in batches:
+            for g, p, k, used in zip(*(batch.column(c).to_pylist() for c in ("group", "part", "bin", "used"))):
+                by_group.setdefault(g, []).append((-used, p, k))
+        for g, held in by_group.items():
+            bins, total = OpenBins(capacity, open_bins), {}
+            to = []
+            for used, *_ in sorted(held):
+                to.append(bins.put(-used))
+                total[to[-1]] = total.get(to[-1], 0) - used
+            _, parts, ks = zip(*sorted(held))
+            yield pa.RecordBatch.from_pydict({"part": pa.array(parts, pa.int64()), "bin": pa.array(ks, pa.int64()), "container_id": pa.array([f"t-{g}-{k}" for k in to]), "all_used": pa.array([total[k] for k in to], pa.int64())})
+
+    share = lambda c: (F.col(c) / F.lit(float(capacity))).alias("filled")
+    closed = placed.where(~F.col("still_open")).select("doc_id", "piece", "tokens", F.concat_ws("-", "part", "bin").alias("container_id"), share("used"))
+    open_rows = placed.where("still_open")
+    tails = open_rows.select(F.floor(F.col("part") / NEIGHBOURS).alias("group"), "part", "bin", "used").distinct()
+    moved = tails.repartition("group").mapInArrow(again, "part long, bin long, container_id string, all_used long")
+    return closed.unionByName(open_rows.join(moved, ["part", "bin"]).select("doc_id", "piece", "tokens", "container_id", share("all_used")))
