@@ -74,7 +74,6 @@ for _name, _words in CONCEPTS.items():
         _CLASS.setdefault(_w, _name)
 
 _CUT = re.compile(r"[.!?:;]+(?=\s|$)|\n+|\s[-–—]+\s")
-_TOKEN = re.compile(r"[^\s]+")
 _LETTERS = re.compile(r"[a-z]+")
 _SPREAD = re.compile(r"(?<![^\W_])(?<!')[a-z0-9@€$](?:[ .\-_]{1,2}[a-z0-9@€$!|+*#])+[ .\-_]{1,2}[a-z0-9@€$](?![^\W_])")
 _PLAIN = re.compile(r"(?<![^\s(\"'])[a-z]+(?=[\s.,;:!?)\"']|$)")
@@ -134,6 +133,7 @@ class PrefixModel:
             self.ends[at] += weight
         self.known: dict[str, str] = {}
         self.plains: dict[str, str] = {}
+        self.tokens: dict[str, list[str]] = {}
         self.sure = _most_misspelt(max(counts.values(), default=0) * SWAPPED)  # a more frequent word is no misspelling of any
 
     def word(self, token: str) -> str:
@@ -264,35 +264,47 @@ def join_spread(text: str, model: PrefixModel) -> str:
     return _SPREAD.sub(joined, text)
 
 
+def restored(token: str, model: PrefixModel) -> list[str]:
+    """The words behind a token between blanks; a figure is 0, mere signs are none."""
+    t = token.strip(".,;:!?\"'()[]{}<>~^`=/\\") if not token.isalpha() else token
+    if t.isalpha():
+        return [model.plain(t)]
+    if not t or t.isdigit():
+        return ["0"] if t else []
+    if any(c in LEET or c in WILD for c in t) and any(c.isalpha() or c in WILD for c in t):
+        return [model.word(t)]
+    return [model.plain(x) for x in _LETTERS.findall(t.replace("'", ""))]
+
+
 def passages(text: str | None, model: PrefixModel) -> list[list[str]]:
     """The passages of a text as restored words."""
     if not text:
         return []
-    flat = join_spread(fold(repair(text)), model)
-    out, cached = [], model.plains
-    for part in _CUT.split(flat):
-        if not part or not part.strip():
+    out, known = [], model.tokens
+    for part in _CUT.split(join_spread(fold(repair(text)), model)):
+        if not part:
             continue
-        ws = []
-        for m in _TOKEN.findall(part):
-            t = m.strip(".,;:!?\"'()[]{}<>~^`=/\\") if not m.isalpha() else m
-            if t.isalpha():
-                ws.append(cached.get(t) or model.plain(t))
-            elif t and not t.isdigit():
-                if any(c in LEET or c in WILD for c in t) and any(c.isalpha() or c in WILD for c in t):
-                    ws.append(model.word(t))
-                else:
-                    ws += [model.plain(x) for x in _LETTERS.findall(t.replace("'", ""))]
-            elif t:
-                ws.append("0")
+        ws: list[str] = []
+        for m in part.split():
+            got = known.get(m)
+            if got is None:
+                if len(known) > 200_000:
+                    known.clear()
+                got = known[m] = restored(m, model)
+            ws += got
         if ws:
             out.append(ws)
     return out
 
 
-def first_words(weights: dict[str, float], least: float = -math.inf) -> set[str]:
-    """The words that features of words of more than the least weight begin with."""
-    return {f.partition(" ")[0] for f, w in weights.items() if w > least and not f.startswith("<")}
+def first_words(weights: dict[str, float]) -> set[str]:
+    """The words that weighted features of words begin with."""
+    return {f.partition(" ")[0] for f in weights if not f.startswith("<")}
+
+
+def telling_words(weights: dict[str, float], counts: dict[str, int]) -> set[str]:
+    """Words without any of which no passage scores: the rarest of each feature that speaks for the objectionable, and the classes."""
+    return {min(f.split(" "), key=lambda w: counts.get(w, 0)) for f, w in weights.items() if w > 0 and not f.startswith("<")} | set(_CLASS)
 
 
 def features(ws: list[str], heads: set[str] | None = None) -> list[tuple[int, str]]:
@@ -331,13 +343,13 @@ class Judge:
     def __init__(self, model: PrefixModel, weights: dict[str, float], span: int = SPAN) -> None:
         self.model, self.weights, self.span = model, weights, span
         self.heads = first_words(weights)
-        self.speaking = first_words(weights, 0.0) | set(_CLASS)  # without one of these no passage scores
+        self.telling = telling_words(weights, model.counts)
 
     def best_passage(self, text: str | None) -> tuple[float, str]:
         """Score and words of the best passage of a text."""
         top, words = 0.0, ""
         for ws in passages(text, self.model):
-            if self.speaking.isdisjoint(ws):
+            if self.telling.isdisjoint(ws):
                 continue
             score, i = score_words(ws, features(ws, self.heads), self.weights, self.span)
             if score > top:
