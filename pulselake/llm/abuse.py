@@ -343,6 +343,8 @@ class Judge:
     def __init__(self, model: PrefixModel, weights: dict[str, float], span: int = SPAN) -> None:
         self.model, self.weights, self.span = model, weights, span
         self.heads = first_words(weights)
+        self.speaking = {f: w for f, w in weights.items() if w > 0}
+        self.speaking_heads = first_words(self.speaking)
         self.telling = telling_words(weights, model.counts)
 
     def best_passage(self, text: str | None) -> tuple[float, str]:
@@ -351,6 +353,8 @@ class Judge:
         for ws in passages(text, self.model):
             if self.telling.isdisjoint(ws):
                 continue
+            if sum(self.speaking.get(f, 0.0) for _, f in set(features(ws, self.speaking_heads))) <= top:
+                continue  # what speaks for it is no more than another passage's score
             score, i = score_words(ws, features(ws, self.heads), self.weights, self.span)
             if score > top:
                 top, words = score, " ".join(ws[i : i + self.span])

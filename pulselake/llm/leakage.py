@@ -20,7 +20,6 @@ from __future__ import annotations
 import difflib
 import html
 import re
-import sys
 import unicodedata
 import uuid
 from array import array
@@ -46,14 +45,13 @@ LOOKALIKES = {
     "α": "a", "β": "b", "γ": "y", "ε": "e", "η": "n", "ι": "i", "κ": "k", "μ": "u", "ν": "v", "ο": "o", "ρ": "p", "σ": "o", "τ": "t", "υ": "u", "χ": "x", "ω": "w",
     "ɑ": "a", "ɡ": "g", "ı": "i", "ɩ": "i", "ʟ": "l", "ᴏ": "o", "ʀ": "r", "ꜱ": "s", "ᴜ": "u", "ᴠ": "v", "ᴡ": "w", "ᴢ": "z", "ᴀ": "a", "ʙ": "b", "ᴄ": "c", "ᴅ": "d", "ᴇ": "e", "ɢ": "g", "ʜ": "h", "ɪ": "i", "ᴊ": "j", "ᴋ": "k", "ᴍ": "m", "ɴ": "n", "ᴘ": "p", "ᴛ": "t", "ʏ": "y", "ø": "o", "đ": "d", "ł": "l", "ß": "ss",
 }
-_COMBINING = re.compile("[" + "".join(chr(c) for c in range(sys.maxunicode + 1) if unicodedata.combining(chr(c))) + "]")
-_TABLE = {ord(k): v for k, v in LOOKALIKES.items()}
+_TABLE = {c: None for c in range(0x20000) if unicodedata.combining(chr(c))} | {ord(k): v for k, v in LOOKALIKES.items()}
 _TAG = re.compile(r"</?[A-Za-z][^<>]{0,200}>|<!--.*?-->|<br\s*/?>", re.S)
 _LINK = re.compile(r"\]\([^()\s]{0,300}\)")
 _UNIT = re.compile(r"\S+")
 _WORD = re.compile(r"[a-z0-9]+")
-_BROKEN = re.compile(r"(?<=[^\W\d_])[-‐‑][ \t]*\r?\n[>\s]*(?=[^\W\d_])")
-_POINT = re.compile(r"(?<=\d) ?[.,](?=\d)")
+_BROKEN = re.compile(r"[-‐‑](?<=[^\W\d_][-‐‑])[ \t]*\r?\n[>\s]*(?=[^\W\d_])")
+_POINT = re.compile(r"(\d) ?[.,](?=\d)")
 _INVISIBLE = re.compile("[­͏؜ᅟᅠ឴឵᠋-᠎​-‏‪-‮⁠-⁯︀-️﻿]")
 
 
@@ -71,12 +69,12 @@ def fold(text: str) -> str:
         text = _LINK.sub(" ", text)
     text = text.casefold()
     if not text.isascii():
-        text = _COMBINING.sub("", unicodedata.normalize("NFKD", text).translate(_TABLE))
+        text = unicodedata.normalize("NFKD", text).translate(_TABLE)
     return text
 
 
 def words(text: str | None) -> list[str]:
-    return _WORD.findall(_POINT.sub("", fold(text))) if text else []
+    return _WORD.findall(_POINT.sub(r"\1", fold(text))) if text else []
 
 
 def common_wording(items: list[tuple[int, list[str]]]) -> set[tuple[str, ...]]:
