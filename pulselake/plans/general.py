@@ -28,6 +28,24 @@ def weather_with_station(spark: SparkSession, d: str, *columns: str) -> DataFram
     return w.join(stations_of(spark, d), clean_station(w["wbanno"]) == F.col("__station"), "left")
 
 
+def weather_days(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    """Weather rows with ``day``: the calendar day their local day denotes, null where it cannot be read."""
+    w = weather_with_station(spark, d, *columns, "obs_date_local")
+    w = instants.add_day(w, "day", F.col("obs_date_local"), F.col("__mdy"), F.col("__tz")).withColumn("__fence", F.spark_partition_id())
+    return w.select(F.when(F.col("__fence") >= 0, F.col("day")).alias("day"), *columns)  # filters on the day stay above its parsing
+
+
+# The same in SQL: the station id with stray characters and lost zeros mended, then every spelling of a day or instant.
+_STATION_SQL = "CASE WHEN regexp_replace(regexp_replace(wbanno, '\\.0*\\s*$', ''), '\\D', '', 'g') <> '' THEN lpad(regexp_replace(regexp_replace(wbanno, '\\.0*\\s*$', ''), '\\D', '', 'g'), CAST(greatest(5, length(regexp_replace(regexp_replace(wbanno, '\\.0*\\s*$', ''), '\\D', '', 'g'))) AS INTEGER), '0') END"
+_AT_SQL = "CASE WHEN regexp_full_match(t, '\\d{13}') THEN epoch_ms(CAST(t AS BIGINT)) WHEN regexp_full_match(t, '\\d{10}') THEN epoch_ms(CAST(t AS BIGINT) * 1000) WHEN regexp_matches(t, '^\\d{4}-\\d\\d-\\d\\dT.*(Z|[+-]\\d\\d:\\d\\d)$') THEN timezone('UTC', TRY_CAST(t AS TIMESTAMPTZ)) END"
+_DAY_SQL = """CASE WHEN regexp_full_match(t, '\\d{4}-\\d\\d-\\d\\d') THEN TRY_CAST(t AS DATE) WHEN moment IS NOT NULL THEN CAST(timezone(coalesce(tz_name, 'UTC'), timezone('UTC', moment)) AS DATE) WHEN regexp_full_match(t, '\\d{8}') THEN CAST(try_strptime(t, '%Y%m%d') AS DATE)
+WHEN regexp_full_match(t, '\\d\\d/\\d\\d/\\d{4}') THEN CAST(CASE WHEN mdy THEN try_strptime(t, '%m/%d/%Y') ELSE try_strptime(t, '%d/%m/%Y') END AS DATE) WHEN regexp_full_match(t, '\\d\\d/\\d\\d/\\d\\d') THEN CAST(CASE WHEN mdy THEN try_strptime(t, '%m/%d/%y') ELSE try_strptime(t, '%d/%m/%y') END AS DATE)
+WHEN regexp_full_match(t, '\\d{4}/\\d\\d/\\d\\d') THEN CAST(try_strptime(t, '%Y/%m/%d') AS DATE) WHEN regexp_full_match(t, '\\d{4}-\\d\\d-\\d\\d[T ]\\d\\d:\\d\\d:\\d\\d') THEN TRY_CAST(substr(t, 1, 10) AS DATE) WHEN regexp_full_match(t, '\\d{4}-\\d{3}') THEN CAST(try_strptime(t, '%Y-%j') AS DATE)
+ELSE CAST(coalesce(try_strptime(t, '%a, %d %b %Y'), try_strptime(t, '%b %d, %Y'), try_strptime(t, '%d %b %Y')) AS DATE) END"""
+LOCAL_DAY_SQL = f"""SELECT row_id, logger_no, station, obs_seq, fetched_ms, obs_date_local, {_DAY_SQL} AS day FROM (SELECT *, {_AT_SQL} AS moment FROM (SELECT w.row_id, w.logger_no, w.obs_seq, w.fetched_ms, w.obs_date_local, trim(w.obs_date_local) AS t, {_STATION_SQL} AS station, tz_name, date_order = 'MDY' AS mdy
+FROM silver_weather w LEFT JOIN stations s ON s.wbanno = {_STATION_SQL.replace('wbanno', 'w.wbanno')}))""".replace(f"{_STATION_SQL} AS station", f"{_STATION_SQL.replace('wbanno', 'w.wbanno')} AS station")
+
+
 def us_locale() -> Column:
     return F.col("locale") == "en-US"
 

@@ -439,18 +439,6 @@ def coverage_check(s: SparkSession, d: str) -> DataFrame:
 
 # Marts and tables on the domain's own rows
 
-_F = lambda x: f"({x}) * 9.0 / 5.0 + 32.0"
-_WEATHER_DAY = f"""SELECT logger_no, TRY_CAST(obs_date_local AS DATE) AS day, round({_F('max(air_temp_max_c)')}, 4) AS air_temp_max_f, round({_F('min(air_temp_min_c)')}, 4) AS air_temp_min_f, round({_F('avg(air_temp_c)')}, 4) AS air_temp_avg_f,
-round(greatest(0.0, ({_F('max(air_temp_max_c)')} + {_F('min(air_temp_min_c)')}) / 2.0 - 50), 4) AS gdd50, {_F('min(air_temp_min_c)')} <= 32 AS frost, round(sum(precip_mm) / 25.4, 4) AS precip_total_in, count(*) AS hours FROM silver_weather WHERE regexp_full_match(obs_date_local, '\\d{{4}}-\\d{{2}}-\\d{{2}}') AND TRY_CAST(obs_date_local AS DATE) IS NOT NULL GROUP BY 1, 2"""
-
-
-@query(f"WITH a AS ({_WEATHER_DAY}), s AS (SELECT logger_no, CAST(unnest(generate_series(min(day)::TIMESTAMP, max(day)::TIMESTAMP, INTERVAL 1 DAY)) AS DATE) AS day FROM a GROUP BY logger_no) SELECT logger_no, day, air_temp_max_f, air_temp_min_f, air_temp_avg_f, gdd50, frost, precip_total_in, coalesce(hours, 0) AS hours_observed, hours IS NOT NULL AS has_weather FROM s LEFT JOIN a USING (logger_no, day)")
-def mart_daily_weather(s: SparkSession, d: str) -> DataFrame:
-    w = table(s, d, "silver_weather").withColumn("obs_date_local", F.when(F.col("obs_date_local").rlike(r"^\d{4}-\d{2}-\d{2}$"), F.col("obs_date_local").try_cast("date")))
-    m = gold.daily_weather(w, ["logger_no"])
-    return m.select("logger_no", "day", *[r4(c).alias(c) for c in ("air_temp_max_f", "air_temp_min_f", "air_temp_avg_f", "gdd50", "precip_total_in")], "frost", "hours_observed", "has_weather")
-
-
 @query("SELECT wearer_id, day, row_id, steps FROM gold_daily_wellness QUALIFY row_number() OVER (PARTITION BY wearer_id, day ORDER BY built_at DESC NULLS LAST, row_id DESC) = 1")
 def latest_wellness_build(s: SparkSession, d: str) -> DataFrame:
     return R.dedup_latest(table(s, d, "gold_daily_wellness").select("wearer_id", "day", "row_id", "steps", "built_at"), ["wearer_id", "day"], ["built_at", "row_id"]).drop("built_at")

@@ -215,7 +215,8 @@ WEATHER_FIELDS = [
 ]
 
 
-def weather(lines: DataFrame, zone: str = "America/New_York") -> DataFrame:
+def weather(lines: DataFrame, zone: str = "America/New_York", keys: list[str] | None = None) -> DataFrame:
+    """One row per instant of a station's lines, or per ``keys`` where lines of several stations come together."""
     f = lambda i: F.get("f", F.lit(i - 1))
     split = lines.select("filename", F.split(F.trim(F.replace(F.col("line"), F.lit("\0"), F.lit(""))), r"\s+").alias("f"))
     utc = E.compact_ntz(f(2), f(3))
@@ -227,4 +228,4 @@ def weather(lines: DataFrame, zone: str = "America/New_York") -> DataFrame:
     typed = split.withColumn("obs_ts_utc", utc).where(F.col("obs_ts_utc").isNotNull()).select(
         "obs_ts_utc", F.to_date("obs_ts_utc").alias("obs_date_utc"), local.alias("obs_ts_local"), F.to_date(local).alias("obs_date_local"), f(1).alias("wbanno"), *measured, E.fetched_ms(F.col("filename")).alias("__fetched"), F.col("filename").alias("__file")
     )
-    return _latest(typed, ["obs_ts_utc"], "__fetched")
+    return _latest(typed, keys or ["obs_ts_utc"], "__fetched")

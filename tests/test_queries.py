@@ -25,7 +25,8 @@ def plain(v):
     if isinstance(v, (list, tuple)):
         return tuple(plain(x) for x in v)
     if isinstance(v, float):
-        return round(v, 6)
+        v = round(v, 6)
+        return int(v) if v.is_integer() else v
     return v.isoformat().removesuffix("T00:00:00") if hasattr(v, "isoformat") else v
 
 
