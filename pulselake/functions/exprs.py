@@ -6,8 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Keys under which payloads keep their records, page on, or report errors.
-DATA_KEYS = ("records", "data", "items", "results")
-PAGING_KEYS = ("next_token", "nextToken", "paging", "page", "total", "count")
+DATA_KEYS = ("records", "data", "items", "results", "activities")
+PAGING_KEYS = ("next_token", "nextToken", "next", "paging")
 ERROR_KEYS = ("error", "errors", "fault", "exception")
 
 
@@ -123,6 +123,58 @@ def event_date(value: Column) -> Column:
     return F.coalesce(F.when(s.rlike(r"^\d{4}-\d{2}-\d{2}"), F.substring(s, 1, 10).try_cast("date")), ymd, epoch)
 
 
+def unwrapped(json: Column) -> Column:
+    """A JSON text that was written once more as a JSON string, as itself; anything else as it is."""
+    return F.when(F.startswith(F.trim(json), F.lit('"')), F.get_json_object(F.concat(F.lit("["), json, F.lit("]")), "$[0]")).otherwise(json)
+
+
+def record_list(json: Column, *paths: str) -> Column:
+    """The records of a readable payload: an array itself, or what stands at the first of the paths that is one; a lone object is one record."""
+    body = unwrapped(json)
+    readable = F.json_object_keys(body).isNotNull() | F.json_array_length(body).isNotNull()
+    found = [F.when(F.json_array_length(body).isNotNull(), json_array(body))]
+    for path in paths:
+        at = F.get_json_object(body, f"$.{path}")
+        found += [F.when(F.json_array_length(at).isNotNull(), json_array(at)), F.when(F.json_object_keys(at).isNotNull(), F.array(at))]
+    return F.when(readable, F.coalesce(*found))
+
+
+def csv_cells(line: Column, mark: str = ",") -> Column:
+    """The cells of a CSV line, quotes around a cell removed and doubled ones inside it single."""
+    cells = F.split(line, mark + r'(?=(?:[^"]*"[^"]*")*[^"]*$)')
+    return F.transform(cells, lambda c: F.replace(F.regexp_replace(F.trim(c), r'^"(.*)"$', "$1"), F.lit('""'), F.lit('"')))
+
+
+def text_lines(body: Column) -> Column:
+    """The lines of a text that are not blank."""
+    return F.filter(F.split(body, r"\r?\n"), lambda x: F.trim(x) != "")
+
+
+def payload_signature(json: Column, reader: Column, unnest: Column) -> Column:
+    """Sorted keys of an object or the first record; sorted column names of a CSV but ``dt``; the field count of the first text line."""
+    records = F.get_json_object(json, "$.records")
+    is_object = F.json_object_keys(json).isNotNull()
+    target = F.when(unnest & is_object, F.coalesce(F.get_json_object(records, "$[0]"), F.lit("{}"))).when(F.json_array_length(json) >= 0, F.coalesce(F.get_json_object(json, "$[0]"), F.lit("{}"))).when(is_object, json)
+    first = F.get(text_lines(json), F.lit(0))
+    fields = F.coalesce(F.size(F.split(F.trim(first), r"\s+")), F.lit(0))
+    return (
+        F.when(reader == "json", F.array_sort(F.json_object_keys(target)))
+        .when(reader == "csv", F.array_sort(F.filter(csv_cells(F.coalesce(F.get(F.split(json, r"\r?\n"), F.lit(0)), F.lit(""))), lambda c: (c != "dt") & (c != ""))))
+        .otherwise(F.array(F.concat(F.lit("fields="), fields.cast("string"))))
+    )
+
+
+def payload_event_values(json: Column, reader: Column, unnest: Column, field: Column) -> Column:
+    """What a payload writes in its event field, once per record: a JSON field by dotted path, or a CSV column by its header."""
+    is_object = F.json_object_keys(json).isNotNull()
+    records = F.when(unnest & is_object, json_array(json, "records")).when(F.json_array_length(json) >= 0, json_array(json)).when(is_object, F.array(json))
+    from_json = F.transform(records, lambda r: F.call_function("get_json_object", r, F.concat(F.lit("$."), field)))
+    lines = text_lines(json)
+    at = F.array_position(csv_cells(F.get(lines, F.lit(0))), field).cast("int") - 1
+    from_csv = F.when(at >= 0, F.transform(F.slice(lines, F.lit(2), F.greatest(F.size(lines), F.lit(1))), lambda r: F.get(csv_cells(r), at)))
+    return F.when(reader == "csv", from_csv).when(reader == "json", from_json)
+
+
 def key_signature(json: Column) -> Column:
     """Sorted top-level keys of an object, or of the first record of an array."""
     return F.array_sort(F.json_object_keys(F.coalesce(F.when(F.substring(F.trim(json), 1, 1) == "[", F.get_json_object(json, "$[0]")), json)))
@@ -142,9 +194,9 @@ def classify_json(json: Column) -> Column:
         alone = alone | F.coalesce((n == 0) & (others == 0), F.lit(False))
         full = full | F.coalesce(n > 0, F.lit(False))
     error = F.arrays_overlap(lower, F.array(*[F.lit(x) for x in ERROR_KEYS]))
-    scalar = body.rlike(r'^(-?\d+(\.\d+)?([eE][+-]?\d+)?|true|false|"([^"\\]|\\.)*")$')
+    scalar = F.json_array_length(F.concat(F.lit("["), body, F.lit("]"))) == 1  # a number, a text or a truth value
     return (
-        F.when((body == "") | (body == "null"), "EMPTY_FILE")
+        F.when((F.coalesce(json, F.lit("")) == "") | (body == "null"), "EMPTY_FILE")
         .when(items.isNotNull(), F.when(items == 0, "EMPTY_LIST").otherwise("DATA"))
         .when(keys.isNotNull(), F.when(F.size(keys) == 0, "EMPTY_OBJECT").when(alone, "EMPTY_WRAPPER").when(error & ~full, "ERROR_LIKE").otherwise("DATA"))
         .when(scalar, "DATA")

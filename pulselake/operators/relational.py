@@ -105,5 +105,20 @@ def date_gaps(df: DataFrame, day: str, groups: list[str], cadence: int = 1) -> D
     return days.withColumn("before", F.lag("after").over(w)).where(delta > cadence).select(*groups, "before", "after", (delta - 1).alias("missing"))
 
 
-def newest_per(df: DataFrame, keys: list[str], value: str, order: str) -> DataFrame:
-    return df.groupBy(*keys).agg(F.max_by(value, order).alias(value))
+def trailing_count(df: DataFrame, keys: list[str], ts: str, seconds: int, name: str = "n", bucket_seconds: int = 86_400) -> DataFrame:
+    """Rows with the number of rows of their key in the ``seconds`` up to and including their own time.
+
+    Time is cut into buckets; a bucket also holds the rows before it that its
+    windows still reach, so a hot key is spread over its buckets. A null time
+    counts nothing and is counted by nothing (0); null keys are a key.
+    """
+    if bucket_seconds < seconds:
+        raise ValueError("a bucket must be longer than the window")
+    us = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(ts).cast("timestamp_ntz"))
+    size, reach = bucket_seconds * 1_000_000, seconds * 1_000_000
+    own = F.floor(F.col("__us") / size)
+    rows = df.withColumn("__us", us)
+    spread = rows.withColumn("__b", F.explode(F.array_distinct(F.array(own, F.floor((F.col("__us") + reach) / size)))))
+    inside = Window.partitionBy(*keys, "__b").orderBy("__us").rangeBetween(-reach, 0)
+    counted = spread.withColumn(name, F.when(F.col("__us").isNull(), 0).otherwise(F.count("__us").over(inside)))
+    return counted.where(F.col("__us").isNull() | (own == F.col("__b"))).drop("__us", "__b")

@@ -11,6 +11,7 @@ from ..functions import exprs as E
 from ..marts import gold
 from ..operators import relational as R
 from ..quality import checks as Q
+from ..sources import files
 from .general import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,10 +83,11 @@ def json_extract_missing(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.count(E.json_str(F.col("props"), "none.at.all")).alias("present"))
 
 
-@query("SELECT event_id, TRY_CAST(CAST(value AS VARCHAR) AS INTEGER) AS whole FROM events WHERE abs(value - floor(value) - 0.5) > 0.001")
+@query("SELECT event_id, CAST(sign(value) * floor(abs(value) + 0.5) AS INTEGER) AS whole, CAST(event_id // 4 + CASE WHEN event_id % 4 >= 2 THEN 1 ELSE 0 END AS INTEGER) AS quarter FROM events")
 def json_int_rounding(s: SparkSession, d: str) -> DataFrame:
-    rows = table(s, d, "events").where(F.abs(F.col("value") - F.floor("value") - 0.5) > 0.001)
-    return rows.select("event_id", E.json_int(F.to_json(F.struct("value")), "value").alias("whole"))
+    """Fractions of every kind, exact halves among them, round away from zero."""
+    e = table(s, d, "events")
+    return e.select("event_id", E.json_int(F.to_json(F.struct("value")), "value").alias("whole"), E.json_int(F.to_json(F.struct((F.col("event_id") / 4).alias("q"))), "q").alias("quarter"))
 
 
 @query("SELECT event_id, coalesce(TRY_CAST(CASE WHEN event_id % 3 = 0 THEN 'true' WHEN event_id % 3 = 1 THEN 'false' END AS BOOLEAN), false) AS flag FROM events")
@@ -100,9 +102,11 @@ def json_array_explode(s: SparkSession, d: str) -> DataFrame:
     return R.explode_records(per, E.json_array(F.col("j")), "a").select("o_custkey", E.exact_int(F.col("a"), "bigint").alias("o_orderkey"))
 
 
-@query("SELECT event_id FROM events WHERE false")
+@query("SELECT payload_id, a->>'$.id' AS id FROM (SELECT payload_id, unnest(CAST(body AS JSON[])) AS a FROM bronze_payloads WHERE json_valid(body) AND json_type(body) = 'ARRAY')")
 def json_array_explode_guarded(s: SparkSession, d: str) -> DataFrame:
-    return R.explode_records(table(s, d, "events"), E.json_array(F.col("props")), "a").select("event_id")
+    """Elements of payloads that are an array; objects, strings and broken bodies give none."""
+    p = table(s, d, "bronze_payloads").select("payload_id", "body")
+    return R.explode_records(p, E.json_array(F.when(F.json_array_length("body").isNotNull(), F.col("body"))), "a").select("payload_id", E.json_str(F.col("a"), "id").alias("id"))
 
 
 @query("SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem")
@@ -123,22 +127,40 @@ def json_keys_signature(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "events").groupBy(F.array_join(E.key_signature(F.col("props")), ",").alias("signature")).agg(F.count(F.lit(1)).alias("n"))
 
 
-_BODIES = ["'[]'", "'[1]'", "'{}'", "'{\"records\":[],\"next_token\":null}'", "'{\"records\":[],\"user\":1}'", "'{\"error\":\"x\"}'", "''", "'{\"a\":'"]
-_VERDICTS = ["EMPTY_LIST", "DATA", "EMPTY_OBJECT", "EMPTY_WRAPPER", "DATA", "ERROR_LIKE", "EMPTY_FILE", "UNPARSEABLE"]
+def _classified_bodies() -> list[tuple[str, str]]:
+    """Bodies and what they are, with every key that tells data, paging or an error."""
+    made = [("[]", "EMPTY_LIST"), ("[1]", "DATA"), ("{}", "EMPTY_OBJECT"), ("", "EMPTY_FILE"), ("null", "EMPTY_FILE"), ('{"a":', "UNPARSEABLE"), ("  ", "UNPARSEABLE"), ("12.5", "DATA"), ("true", "DATA"), ('"text"', "DATA"), ('{"message":"x","status_code":500}', "DATA"), ('{"total":0}', "DATA")]
+    for k in ("records", "data", "items", "results", "activities"):
+        made += [(f'{{"{k}":[]}}', "EMPTY_WRAPPER"), (f'{{"{k}":[],"user":1}}', "DATA"), (f'{{"{k}":[],"total":0}}', "DATA"), (f'{{"{k}":[1],"error":"x"}}', "DATA"), (f'{{"{k}":null}}', "DATA")]
+        made += [(f'{{"{k}":[],"{p}":null}}', "EMPTY_WRAPPER") for p in ("next_token", "nextToken", "next", "paging")]
+    for k in ("error", "errors", "fault", "exception"):
+        made += [(f'{{"{k}":"x"}}', "ERROR_LIKE"), (f'{{"{k.upper()}":"x","records":[]}}', "ERROR_LIKE"), (f'{{"{k}s_of":"x"}}', "DATA")]
+    return made
 
 
-def _bodies(s: SparkSession, d: str) -> DataFrame:
-    return table(s, d, "events").select("event_id", F.get(F.array(*[F.expr(b) for b in _BODIES]), (F.col("event_id") % 8).cast("int")).alias("j"))
+_CASES = _classified_bodies()
 
 
-@query(f"SELECT event_id, (CAST({_VERDICTS} AS VARCHAR[]))[CAST(event_id % 8 AS INTEGER) + 1] AS verdict FROM events")
+@query(f"SELECT event_id, (CAST({[v for _, v in _CASES]} AS VARCHAR[]))[CAST(event_id % {len(_CASES)} AS INTEGER) + 1] AS verdict FROM events")
 def payload_classify(s: SparkSession, d: str) -> DataFrame:
-    return _bodies(s, d).select("event_id", E.classify_json(F.col("j")).alias("verdict"))
+    body = F.get(F.array(*[F.lit(b) for b, _ in _CASES]), (F.col("event_id") % len(_CASES)).cast("int"))
+    return table(s, d, "events").select("event_id", body.alias("j")).select("event_id", E.classify_json(F.col("j")).alias("verdict"))
+
+
+_CLASS_SQL = f"""CASE WHEN coalesce(body, '') = '' OR trim(body) = 'null' THEN 'EMPTY_FILE' WHEN NOT json_valid(body) THEN 'UNPARSEABLE' WHEN json_type(body) = 'ARRAY' THEN CASE WHEN json_array_length(body) = 0 THEN 'EMPTY_LIST' ELSE 'DATA' END WHEN json_type(body) <> 'OBJECT' THEN 'DATA'
+WHEN len(json_keys(body)) = 0 THEN 'EMPTY_OBJECT' WHEN {' OR '.join(f"(json_type(body, '$.{k}') = 'ARRAY' AND json_array_length(body, '$.{k}') = 0 AND len(list_filter(json_keys(body), lambda x: x NOT IN ('{k}', 'next_token', 'nextToken', 'next', 'paging'))) = 0)" for k in E.DATA_KEYS)} THEN 'EMPTY_WRAPPER'
+WHEN len(list_filter(json_keys(body), lambda x: lower(x) IN ('error', 'errors', 'fault', 'exception'))) > 0 AND NOT ({' OR '.join(f"coalesce(json_type(body, '$.{k}') = 'ARRAY' AND json_array_length(body, '$.{k}') > 0, false)" for k in E.DATA_KEYS)}) THEN 'ERROR_LIKE' ELSE 'DATA' END"""
 
 
-@query(f"SELECT (CAST({_VERDICTS} AS VARCHAR[]))[CAST(event_id % 8 AS INTEGER) + 1] AS verdict, count(*) AS n FROM events GROUP BY 1")
+@query(f"SELECT source_name, collection_name, {_CLASS_SQL} AS verdict, count(*) AS n FROM bronze_payloads GROUP BY ALL")
 def verdict_histogram(s: SparkSession, d: str) -> DataFrame:
-    return Q.verdicts(_bodies(s, d).select(F.lit("x.json").alias("file_name"), "j", F.lit(None).cast("int").alias("http_status")), [])
+    return Q.verdicts(_payloads(s, d), Q.STREAM)
+
+
+def _payloads(s: SparkSession, d: str) -> DataFrame:
+    """The raw captures as checks read them; nothing is known of their transport or bytes."""
+    p = table(s, d, "bronze_payloads")
+    return p.select("payload_id", *Q.STREAM, "dt", "fetched_ms", "file_name", F.col("body").alias("j"), F.lit(None).cast("int").alias("http_status"), F.lit(0).alias("issues"))
 
 
 # Text
@@ -264,35 +286,35 @@ def spine_left_join_daily_agg(s: SparkSession, d: str) -> DataFrame:
     return _spine(o, "o_orderdate").join(a, "day", "left").select("day", F.coalesce("n", F.lit(0)).alias("n_orders"), "total", F.col("n").isNotNull().alias("has_orders"))
 
 
-@query("""WITH t AS (SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n FROM events WHERE value > 99 GROUP BY 1, 2), d AS (SELECT day FROM t WHERE event_type='view' UNION SELECT day FROM t WHERE event_type='click' UNION SELECT day FROM t WHERE event_type='purchase')
-SELECT d.day, v.n AS views, c.n AS clicks, p.n AS purchases FROM d LEFT JOIN t v ON v.day=d.day AND v.event_type='view' LEFT JOIN t c ON c.day=d.day AND c.event_type='click' LEFT JOIN t p ON p.day=d.day AND p.event_type='purchase'""")
+@query("""WITH t AS (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY 1, 2), d AS (SELECT user_id FROM t WHERE event_type='view' UNION SELECT user_id FROM t WHERE event_type='click' UNION SELECT user_id FROM t WHERE event_type='purchase')
+SELECT d.user_id, v.n AS views, c.n AS clicks, p.n AS purchases FROM d LEFT JOIN t v ON v.user_id=d.user_id AND v.event_type='view' LEFT JOIN t c ON c.user_id=d.user_id AND c.event_type='click' LEFT JOIN t p ON p.user_id=d.user_id AND p.event_type='purchase'""")
 def union_distinct_spine_multi_join(s: SparkSession, d: str) -> DataFrame:
-    t = table(s, d, "events").where(F.col("value") > 99).groupBy(day_of(), "event_type").agg(F.count(F.lit(1)).alias("n"))
-    part = {k: t.where(F.col("event_type") == k).select("day", F.col("n").alias(a)) for k, a in (("view", "views"), ("click", "clicks"), ("purchase", "purchases"))}
-    out = part["view"].select("day").union(part["click"].select("day")).union(part["purchase"].select("day")).distinct()
+    t = table(s, d, "events").groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
+    part = {k: t.where(F.col("event_type") == k).select("user_id", F.col("n").alias(a)) for k, a in (("view", "views"), ("click", "clicks"), ("purchase", "purchases"))}
+    out = part["view"].select("user_id").union(part["click"].select("user_id")).union(part["purchase"].select("user_id")).distinct()
     for p in part.values():
-        out = out.join(p, "day", "left")
+        out = out.join(p, "user_id", "left")
     return out
 
 
-_TWO = "(SELECT CAST(ts AS DATE) AS day, count(*) AS views FROM events WHERE event_type='view' AND value > 95 GROUP BY 1) a FULL OUTER JOIN (SELECT CAST(ts AS DATE) AS day, count(*) AS purchases FROM events WHERE event_type='purchase' AND value > 95 GROUP BY 1) b ON a.day=b.day"
+_TWO = "(SELECT user_id, count(*) AS signups FROM events WHERE event_type='signup' GROUP BY 1) a FULL OUTER JOIN (SELECT user_id, count(*) AS purchases FROM events WHERE event_type='purchase' GROUP BY 1) b ON a.user_id=b.user_id"
 
 
 def _two_sources(s: SparkSession, d: str) -> DataFrame:
-    e = table(s, d, "events").where(F.col("value") > 95)
-    a = e.where(F.col("event_type") == "view").groupBy(day_of()).agg(F.count(F.lit(1)).alias("views"))
-    b = e.where(F.col("event_type") == "purchase").groupBy(day_of()).agg(F.count(F.lit(1)).alias("purchases"))
-    return R.full_outer_sources(a, b, "day", "has_views", "has_purchases")
+    e = table(s, d, "events")
+    a = e.where(F.col("event_type") == "signup").groupBy("user_id").agg(F.count(F.lit(1)).alias("signups"))
+    b = e.where(F.col("event_type") == "purchase").groupBy("user_id").agg(F.count(F.lit(1)).alias("purchases"))
+    return R.full_outer_sources(a, b, "user_id", "has_signups", "has_purchases")
 
 
-@query(f"SELECT coalesce(a.day, b.day) AS day, views, purchases, a.day IS NOT NULL AS has_views, b.day IS NOT NULL AS has_purchases FROM {_TWO}")
+@query(f"SELECT coalesce(a.user_id, b.user_id) AS user_id, signups, purchases, a.user_id IS NOT NULL AS has_signups, b.user_id IS NOT NULL AS has_purchases FROM {_TWO}")
 def full_outer_two_sources(s: SparkSession, d: str) -> DataFrame:
     return _two_sources(s, d)
 
 
-@query(f"SELECT count(*) FILTER (WHERE a.day IS NOT NULL AND b.day IS NOT NULL) AS both, count(*) FILTER (WHERE b.day IS NULL) AS only_first, count(*) FILTER (WHERE a.day IS NULL) AS only_second FROM {_TWO}")
+@query(f"SELECT count(*) FILTER (WHERE a.user_id IS NOT NULL AND b.user_id IS NOT NULL) AS both, count(*) FILTER (WHERE b.user_id IS NULL) AS only_first, count(*) FILTER (WHERE a.user_id IS NULL) AS only_second FROM {_TWO}")
 def coverage_split(s: SparkSession, d: str) -> DataFrame:
-    return Q.source_split(_two_sources(s, d), "has_views", "has_purchases")
+    return Q.source_split(_two_sources(s, d), "has_signups", "has_purchases")
 
 
 _LARGE = "SELECT CAST(o_orderdate AS DATE) AS big_day, o_orderkey, o_totalprice FROM orders WHERE o_totalprice > 400000 QUALIFY row_number() OVER (PARTITION BY CAST(o_orderdate AS DATE) ORDER BY o_orderkey DESC) = 1"
@@ -413,11 +435,79 @@ def completeness_gaps(s: SparkSession, d: str) -> DataFrame:
     return g.withColumn("longest", big("longest"))
 
 
-@query("SELECT 'a' AS stream, ['x'] AS added, ['c'] AS removed, false AS passed")
+_SPLIT = "2023-01-01"  # captures before it are the baseline
+_RICHEST = "SELECT collection_name, list_sort(json_keys(body)) AS sig FROM bronze_payloads WHERE json_valid(body) AND json_type(body) = 'OBJECT' AND dt {op} '{d}' QUALIFY row_number() OVER (PARTITION BY collection_name ORDER BY len(json_keys(body)) DESC, payload_id DESC) = 1"
+
+
+@query(f"""SELECT collection_name, coalesce(list_sort(list_filter(n.sig, lambda x: NOT list_contains(o.sig, x))), []) AS added, coalesce(list_sort(list_filter(o.sig, lambda x: NOT list_contains(n.sig, x))), []) AS removed, coalesce(list_sort(o.sig) = list_sort(n.sig), true) AS passed
+FROM ({_RICHEST.format(op='>=', d=_SPLIT)}) n LEFT JOIN ({_RICHEST.format(op='<', d=_SPLIT)}) o USING (collection_name)""")
 def schema_drift_added_removed(s: SparkSession, d: str) -> DataFrame:
-    now = s.createDataFrame([("a", ["a", "b", "x"])], "stream string, signature array<string>")
-    then = s.createDataFrame([("a", ["a", "b", "c"])], "stream string, signature array<string>")
-    return Q.drift_between(now, then, ["stream"]).select("stream", "added", "removed", "passed")
+    """The richest signature of the newer captures against that of the older ones."""
+    p = _payloads(s, d)
+    p = p.where(F.json_object_keys("j").isNotNull())
+    now, then = (Q.richest_signature(p.where(part), ["collection_name"], "payload_id") for part in (F.col("dt") >= _SPLIT, F.col("dt") < _SPLIT))
+    return Q.drift_between(now, then, ["collection_name"]).select("collection_name", F.array_sort("added").alias("added"), F.array_sort("removed").alias("removed"), "passed")
+
+
+_RECENT = "SELECT p.*, coalesce(nullif(regexp_extract(lower(file_name), '\\.(json|csv|txt)$', 1), ''), 'json') AS rd FROM bronze_payloads p SEMI JOIN (SELECT source_name, collection_name, dt FROM (SELECT DISTINCT source_name, collection_name, dt FROM bronze_payloads) QUALIFY row_number() OVER (PARTITION BY source_name, collection_name ORDER BY dt DESC) <= 14) USING (source_name, collection_name, dt)"
+_CONFIGURED = f"SELECT r.*, c.* EXCLUDE (source_name, collection_name) FROM ({_RECENT}) r JOIN collection_check_config c ON c.source_name = r.source_name AND c.collection_name = r.collection_name AND c.reader = r.rd"
+_VALUE_SQL = "CASE event_date_source WHEN 'partition' THEN [dt] WHEN 'payload' THEN CASE WHEN NOT json_valid(body) THEN [] WHEN unnest_records AND json_type(body) = 'OBJECT' THEN CASE WHEN json_type(body, '$.records') = 'ARRAY' THEN list_transform(CAST(json_extract(body, '$.records') AS JSON[]), lambda x: x->>('$.' || event_date_field)) ELSE [] END WHEN json_type(body) = 'ARRAY' THEN list_transform(CAST(body AS JSON[]), lambda x: x->>('$.' || event_date_field)) WHEN json_type(body) = 'OBJECT' THEN [body->>('$.' || event_date_field)] ELSE [] END END"
+_EVENT_DAYS = f"SELECT DISTINCT source_name, collection_name, reader, TRY_CAST(substr(v, 1, 10) AS DATE) AS day FROM (SELECT source_name, collection_name, reader, unnest({_VALUE_SQL}) AS v FROM ({_CONFIGURED})) WHERE TRY_CAST(substr(v, 1, 10) AS DATE) IS NOT NULL"
+
+
+@query(_EVENT_DAYS)
+def event_days(s: SparkSession, d: str) -> DataFrame:
+    """The days events of the recent captures fall on, by each stream's own source of the day."""
+    return Q.event_dates(_payloads(s, d), table(s, d, "collection_check_config"))
+
+
+@query(f"""SELECT source_name, collection_name, reader, count(*) AS days, count(*) FILTER (WHERE gap > cadence_days) AS gaps, CAST(coalesce(sum(gap - 1) FILTER (WHERE gap > cadence_days), 0) AS BIGINT) AS missing, CAST(coalesce(max(gap - 1) FILTER (WHERE gap > cadence_days), 0) AS BIGINT) AS longest, count(*) FILTER (WHERE gap > cadence_days) = 0 AS passed
+FROM (SELECT *, date_diff('day', lag(day) OVER (PARTITION BY source_name, collection_name, reader ORDER BY day), day) AS gap FROM ({_EVENT_DAYS})) JOIN collection_check_config USING (source_name, collection_name, reader) GROUP BY ALL""")
+def event_completeness(s: SparkSession, d: str) -> DataFrame:
+    """Gaps between event days beyond each stream's cadence."""
+    return Q.event_completeness(_payloads(s, d), table(s, d, "collection_check_config"))
+
+
+_SIG_SQL = "CASE WHEN NOT json_valid(body) THEN NULL WHEN unnest_records AND json_type(body) = 'OBJECT' THEN CASE WHEN json_type(body, '$.records[0]') = 'OBJECT' THEN json_keys(body, '$.records[0]') END WHEN json_type(body) = 'ARRAY' THEN CASE WHEN json_type(body, '$[0]') = 'OBJECT' THEN json_keys(body, '$[0]') END WHEN json_type(body) = 'OBJECT' THEN json_keys(body) END"
+
+
+@query(f"""WITH newest AS (SELECT * FROM ({_CONFIGURED}) QUALIFY row_number() OVER (PARTITION BY source_name, collection_name, reader, dt ORDER BY fetched_ms DESC, file_name DESC) = 1), s AS (SELECT source_name, collection_name, reader, dt, list_sort({_SIG_SQL}) AS signature FROM newest)
+SELECT source_name, collection_name, reader, signature FROM s WHERE len(signature) > 0 QUALIFY row_number() OVER (PARTITION BY source_name, collection_name, reader ORDER BY len(signature) DESC, dt DESC) = 1""")
+def payload_signatures(s: SparkSession, d: str) -> DataFrame:
+    """The richest signature of the newest capture of each recent day."""
+    return Q.signatures(_payloads(s, d), table(s, d, "collection_check_config"))
+
+
+_SAMPLED = f"SELECT * FROM (SELECT *, row_number() OVER w - 1 AS k, count(*) OVER (PARTITION BY source_name, collection_name, rd) AS n FROM ({_RECENT}) WINDOW w AS (PARTITION BY source_name, collection_name, rd ORDER BY dt, fetched_ms, file_name)) WHERE n <= 5 OR k IN (SELECT CAST(floor(i * (n - 1) / 4.0) AS BIGINT) FROM (VALUES (0), (1), (2), (3), (4)) t(i))"
+_HEALTH = f"""SELECT source_name, collection_name, c.reader, expected_empty, coalesce(seen, 0) AS seen, coalesce(data, 0) AS data, coalesce(empty, 0) AS empty, coalesce(errors, 0) AS errors, 0::BIGINT AS issues, CASE WHEN coalesce(seen, 0) = 0 THEN 'NO_PAYLOADS' WHEN errors > 0 THEN 'ERRORS' WHEN empty > 0 AND NOT expected_empty THEN 'EMPTY' WHEN empty > 0 THEN 'EXPECTED_EMPTY' ELSE 'DATA' END AS state
+FROM collection_check_config c LEFT JOIN (SELECT source_name, collection_name, rd AS reader, count(*) AS seen, count(*) FILTER (WHERE verdict = 'DATA') AS data, count(*) FILTER (WHERE verdict LIKE 'EMPTY%') AS empty, count(*) FILTER (WHERE verdict IN ('ERROR_LIKE', 'UNPARSEABLE')) AS errors FROM (SELECT source_name, collection_name, rd, {_CLASS_SQL} AS verdict FROM ({_SAMPLED})) GROUP BY ALL) h USING (source_name, collection_name, reader)"""
+
+
+@query(f"SELECT *, state IN ('NO_PAYLOADS', 'EXPECTED_EMPTY', 'DATA') AS passed, 'WARN' AS severity FROM ({_HEALTH})")
+def content_health(s: SparkSession, d: str) -> DataFrame:
+    """Verdict of every configured stream on an even spread of its recent captures."""
+    return Q.content_health(_payloads(s, d), table(s, d, "collection_check_config"))
+
+
+def checks_run(s: SparkSession, d: str) -> DataFrame:
+    """All check families of every configured stream; the baseline is the first half of the captures."""
+    p, config = _payloads(s, d), table(s, d, "collection_check_config")
+    baseline = Q.signatures(p.where(F.col("dt") < _SPLIT), config)
+    return Q.run_checks(p, config, baseline, _NOW)
+
+
+QUERIES["checks_run"] = checks_run
+
+
+@query("SELECT check_name, found = 0 AS passed, 'WARN' AS severity, found, single_source FROM (SELECT 'sleep_join_sanity' AS check_name, count(*) FILTER (WHERE NOT has_sleep AND NOT has_recovery) AS found, count(*) FILTER (WHERE day >= DATE '2023-01-01' AND has_sleep <> has_recovery) AS single_source FROM gold_daily_wellness)")
+def join_sanity(s: SparkSession, d: str) -> DataFrame:
+    g = table(s, d, "gold_daily_wellness").select(F.col("day").alias("night_date"), F.col("has_sleep").alias("has_garmin"), F.col("has_recovery").alias("has_whoop"))
+    return Q.join_sanity(g, "2023-01-01")
+
+
+@query("SELECT row_id, day FROM gold_daily_wellness WHERE NOT has_sleep ORDER BY day, row_id LIMIT 5")
+def first_details(s: SparkSession, d: str) -> DataFrame:
+    return Q.first_details(table(s, d, "gold_daily_wellness").where(~F.col("has_sleep")).select("row_id", "day"), ["day", "row_id"], 5)
 
 
 @query("SELECT 'lines_' || k AS check_name, found = 0 AS passed, 'ERROR' AS severity, found FROM (SELECT unnest(['repeated', 'null_keys', 'out_of_range']) AS k, unnest([(SELECT count(*) - count(DISTINCT (l_orderkey, l_linenumber)) FROM lineitem), (SELECT count(*) FROM lineitem WHERE l_orderkey IS NULL OR l_linenumber IS NULL), (SELECT count(*) FROM lineitem WHERE l_quantity > 45 OR l_quantity < 0)]) AS found)")
@@ -444,11 +534,45 @@ def latest_wellness_build(s: SparkSession, d: str) -> DataFrame:
     return R.dedup_latest(table(s, d, "gold_daily_wellness").select("wearer_id", "day", "row_id", "steps", "built_at"), ["wearer_id", "day"], ["built_at", "row_id"]).drop("built_at")
 
 
-@query("""WITH j AS (SELECT payload_id, CASE WHEN json_valid(body) THEN body::JSON END AS b FROM bronze_payloads WHERE collection_name = 'sleep'), r AS (SELECT payload_id, unnest(CAST(b->'$.records' AS JSON[])) AS a FROM j WHERE json_type(b, '$.records') = 'ARRAY')
-SELECT a->>'$.id' AS whoop_sleep_id, count(*) AS copies, count(a->>'$.score.sleep_performance_percentage') AS scored FROM r WHERE a->>'$.id' IS NOT NULL GROUP BY 1""")
+_BODY_SQL = "SELECT payload_id, CASE WHEN json_valid(body) THEN CASE WHEN json_type(body) = 'VARCHAR' THEN TRY_CAST(body::JSON->>'$' AS JSON) ELSE body::JSON END END AS b FROM bronze_payloads WHERE collection_name = '{c}'"
+_LIST_SQL = "CASE json_type({x}) WHEN 'ARRAY' THEN CAST({x} AS JSON[]) WHEN 'OBJECT' THEN [{x}] END"
+_SLEEPS_SQL = f"SELECT payload_id, unnest(CASE WHEN json_type(b) = 'ARRAY' THEN CAST(b AS JSON[]) ELSE coalesce({_LIST_SQL.format(x="json_extract(b, '$.records')")}, {_LIST_SQL.format(x="json_extract(b, '$.data.records')")}) END) AS a FROM ({_BODY_SQL.format(c='sleep')})"
+
+
+@query(f"SELECT a->>'$.id' AS whoop_sleep_id, count(*) AS copies, count(a->>'$.score.sleep_performance_percentage') AS scored FROM ({_SLEEPS_SQL}) WHERE a->>'$.id' IS NOT NULL GROUP BY 1")
 def bronze_sleep_records(s: SparkSession, d: str) -> DataFrame:
+    """The sleeps of every readable page, whatever its shape: wrapped once more, bare, one level down, or a lone record."""
     p = table(s, d, "bronze_payloads").where(F.col("collection_name") == "sleep")
-    whole = p.where(F.json_object_keys("body").isNotNull())
     a = F.col("a")
-    r = whole.select(F.explode(E.json_array(F.col("body"), "records")).alias("a")).where(E.json_str(a, "id").isNotNull())
+    r = p.select(F.explode(E.record_list(F.col("body"), "records", "data.records")).alias("a")).where(E.json_str(a, "id").isNotNull())
     return r.groupBy(E.json_str(a, "id").alias("whoop_sleep_id")).agg(F.count(F.lit(1)).alias("copies"), F.count(E.json_str(a, "score.sleep_performance_percentage")).alias("scored"))
+
+
+# Lines, rates, late corrections
+
+
+@query("SELECT 'E' || event_id || '  ' || strftime(ts, '%Y%m%d') || ' ' || event_type AS line FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-15'")
+def rows_for_date(s: SparkSession, d: str) -> DataFrame:
+    """Lines of a fixed-column file whose second field is the day, as they were written."""
+    e = table(s, d, "events")
+    lines = e.select(F.concat(F.lit("E"), "event_id", F.lit("  "), F.date_format("ts", "yyyyMMdd"), F.lit(" "), "event_type").alias("line"))
+    return files.rows_of_day(lines, "20240115")
+
+
+@query("SELECT event_id, count(*) OVER (PARTITION BY event_type ORDER BY ts RANGE BETWEEN INTERVAL 60 SECOND PRECEDING AND CURRENT ROW) AS n FROM events")
+def sliding_count_60s(s: SparkSession, d: str) -> DataFrame:
+    """Requests of the last 60 seconds at each request."""
+    return R.trailing_count(table(s, d, "events").select("event_id", "event_type", "ts"), ["event_type"], "ts", 60, bucket_seconds=3600).select("event_id", "n")
+
+
+_BATCHES = "SELECT user_id, CAST(ts AS DATE) AS day, event_id, value, 1 AS batch FROM events UNION ALL SELECT user_id, CAST(ts AS DATE), event_id, value + 1000, 2 FROM events WHERE CAST(ts AS DATE) >= (SELECT CAST(max(ts) AS DATE) - 6 FROM events)"
+
+
+@query(f"SELECT user_id, day, event_id, value, CAST(batch AS INTEGER) AS batch FROM ({_BATCHES}) QUALIFY row_number() OVER (PARTITION BY user_id, day ORDER BY batch DESC, event_id DESC) = 1")
+def trailing_recapture_merge(s: SparkSession, d: str) -> DataFrame:
+    """A second batch fetches the last seven days again; its corrected records win, older days stay."""
+    first = table(s, d, "events").select("user_id", day_of(), "event_id", "value", "ts")
+    last = R.trailing_n(_spine(first, "ts"), "day", 7)
+    again = first.join(last, "day", "left_semi").withColumn("value", F.col("value") + 1000)
+    both = first.withColumn("batch", F.lit(1)).unionByName(again.withColumn("batch", F.lit(2))).drop("ts")
+    return R.dedup_latest(both, ["user_id", "day"], ["batch", "event_id"])

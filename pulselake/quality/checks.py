@@ -1,6 +1,6 @@
 """Data-quality checks; every result is a row of one shape.
 
-``RESULT``: check, passed, severity, found, description. Checks of one table
+A result has check_name, passed, severity and found. Checks of one table
 are computed in a single aggregation over it.
 """
 
@@ -10,14 +10,13 @@ import json
 from functools import reduce
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import classify_payload, key_signature
-from ..operators.relational import date_gaps, spread_sample
+from ..functions.exprs import classify_payload, event_date, key_signature, payload_event_values, payload_signature
+from ..operators.relational import date_gaps, dedup_latest, spread_sample
 
 ERROR, WARN = "ERROR", "WARN"
-RESULT = "check_name string, passed boolean, severity string, found bigint, description string"
 
 
 def outside(name: str, low: float | None = None, high: float | None = None, below: float | None = None) -> Column:
@@ -44,7 +43,7 @@ BOUNDS: dict[str, dict[str, tuple]] = {
     "whoop_workouts": {"strain": (0, 21, None), "avg_heart_rate": _HR, "max_heart_rate": _HR, "kilojoules": _NONNEG, "distance_m": _NONNEG},
     "daily": {"total_steps": (0, 200_000, None), "total_distance_m": _NONNEG, "active_kilocalories": (0, 30_000, None), "resting_heart_rate": (20, 150, None), "max_heart_rate": _HR, "avg_stress_level": _PCT, "avg_spo2": (50, 100, None), "body_battery_high": _PCT},
     "body": {"weight_kg": (20, 300, None), "bmi": (10, 80, None), "body_fat_pct": (0, 70, None), "body_water_pct": _PCT, "muscle_mass_kg": (0, 200, None)},
-    "fitness": {"vo2max_running": (10, 90, None), "vo2max_cycling": (10, 90, None), "weekly_training_load": _NONNEG},
+    "fitness": {"vo2max_running": (10, 90, None), "vo2max_cycling": (10, 90, None), "weekly_training_load": _NONNEG, **{f"race_{r}_sec": (1, None, None) for r in ("5k", "10k", "half_marathon", "marathon")}},
     "weather": {**{c: (-60, 60, None) for c in ("air_temp_c", "air_temp_max_c", "air_temp_min_c", "surface_temp_c", "surface_temp_max_c", "surface_temp_min_c", *_SOIL)}, **{f"soil_moisture_{d}": (0, 1, None) for d in (5, 10, 20, 50, 100)}, "rh_pct": _PCT, "precip_mm": _NONNEG, "solar_rad_wm2": (0, 2000, None)},
     "daily_wellness": {"glucose_tir_pct": _PCT, "glucose_mean": (10, 600, None), "recovery_score": _PCT, "workout_count": _NONNEG, "workout_total_min": _NONNEG, "day_strain": (0, 21, None), "strain_kilocalories": _NONNEG, "steps": (0, 200_000, None), "active_calories": _NONNEG, "avg_stress": _PCT, "weight_lb": (44, 660, None), "body_fat_pct": (0, 70, None)},
     "daily_weather": {**{c: (-60, 200, None) for c in ("air_temp_max_f", "air_temp_min_f", "air_temp_avg_f", "surface_temp_max_f", "surface_temp_min_f")}, **{f"soil_temp_{d}_f_mean": (-40, 140, None) for d in (5, 10, 20, 50, 100)}, **{f"soil_moisture_{d}_mean": (0, 1, None) for d in (5, 10, 20, 50, 100)}, "rh_mean_pct": _PCT, "precip_total_in": _NONNEG, "gdd50": _NONNEG, "solar_rad_mean_wm2": _NONNEG, "solar_rad_max_wm2": _NONNEG, "hours_observed": (0, 26, None)},
@@ -133,25 +132,172 @@ def verdicts(payloads: DataFrame, groups: list[str]) -> DataFrame:
     return payloads.withColumn("verdict", classify_payload(F.col("file_name"), F.col("j"), F.col("http_status"))).groupBy(*groups, "verdict").agg(F.count(F.lit(1)).alias("n"))
 
 
-def content_health(payloads: DataFrame, groups: list[str], order: list[str], n: int = 5) -> DataFrame:
-    """Verdicts of an even spread of ``n`` captures per group; any error or unreadable one fails."""
-    v = verdicts(spread_sample(payloads.withColumn("__group", F.struct(*groups)), "__group", order, n), groups)
-    bad = F.col("verdict").isin("HTTP_ERROR", "ERROR_LIKE", "UNPARSEABLE", "EMPTY_FILE")
-    return v.groupBy(*groups).agg(F.sum("n").cast("bigint").alias("seen"), F.coalesce(F.sum(F.when(bad, F.col("n"))), F.lit(0)).cast("bigint").alias("bad"), F.coalesce(F.sum(F.when(F.col("verdict") == "DATA", F.col("n"))), F.lit(0)).cast("bigint").alias("good")).withColumn("passed", F.col("bad") == 0).withColumn("state", F.when(F.col("good") == 0, "NO_DATA").when(F.col("good") == F.col("seen"), "HEALTHY").otherwise("MIXED"))
+# Which classes are data, absence of it, or an error; the check families; trailing partitions looked at.
+DATA_CLASSES = ("DATA", "CSV_DATA", "TXT_DATA")
+EMPTY_CLASSES = ("EMPTY_LIST", "EMPTY_OBJECT", "EMPTY_WRAPPER", "EMPTY_FILE")
+ERROR_CLASSES = ("HTTP_ERROR", "ERROR_LIKE", "UNPARSEABLE")
+FAMILIES = ("freshness", "completeness", "schema", "content")
+RECENT = 14
+STREAM = ["source_name", "collection_name"]
+
+
+def with_reader(payloads: DataFrame) -> DataFrame:
+    """Payloads with ``reader`` as the file's ending tells, or else as recorded, or json."""
+    ending = F.regexp_extract(F.lower("file_name"), r"\.(json|csv|txt)$", 1)
+    recorded = F.col("reader") if "reader" in payloads.columns else F.lit(None).cast("string")
+    return payloads.withColumn("reader", F.coalesce(F.nullif(ending, F.lit("")), recorded, F.lit("json")))
+
+
+def recent(payloads: DataFrame, n: int = RECENT, groups: list[str] | None = None) -> DataFrame:
+    """Payloads of the ``n`` newest partitions of their stream: the window checks look at.
+
+    Partitions are counted from the distinct days of a stream, never its rows.
+    """
+    groups = groups or STREAM
+    days = payloads.where(F.col("dt").isNotNull()).select(*groups, "dt").distinct()
+    rank = F.row_number().over(Window.partitionBy(*groups).orderBy(F.desc("dt")))
+    kept = days.withColumn("__rank", rank).where(F.col("__rank") <= n).drop("__rank")
+    return payloads.join(kept, [*groups, "dt"], "left_semi")
+
+
+def _configured(payloads: DataFrame, config: DataFrame) -> DataFrame:
+    """Payloads beside the configuration of their stream and reader."""
+    return with_reader(payloads).join(config, [*STREAM, "reader"])
+
+
+def event_dates(payloads: DataFrame, config: DataFrame, n: int = RECENT) -> DataFrame:
+    """``(source_name, collection_name, reader, day)``: the distinct days of events, of the trailing partitions.
+
+    By configuration the day is that of the partition, or stands in the payload:
+    in a field of each JSON record, or in a CSV column. Values that are no day,
+    payloads that cannot be read and other sources of the day give none.
+    """
+    rows = _configured(recent(payloads, n), config)
+    written = F.when(F.col("event_date_source") == "partition", F.array("dt")).when(F.col("event_date_source") == "payload", payload_event_values(F.col("j"), F.col("reader"), F.col("unnest_records"), F.col("event_date_field")))
+    days = rows.select(*STREAM, "reader", F.explode(F.array_distinct(written)).alias("__v")).select(*STREAM, "reader", event_date(F.col("__v")).alias("day"))
+    return days.where(F.col("day").isNotNull()).distinct()
+
+
+def event_completeness(payloads: DataFrame, config: DataFrame, n: int = RECENT) -> DataFrame:
+    """Gaps between successive event days beyond each stream's own cadence: count, missing days, longest; streams without a gap pass."""
+    days = event_dates(payloads, config, n)
+    by = Window.partitionBy(*STREAM, "reader").orderBy("day")
+    gap = F.date_diff("day", F.lag("day").over(by))
+    joined = days.withColumn("__gap", gap).join(config.select(*STREAM, "reader", "cadence_days"), [*STREAM, "reader"])
+    wide = F.when(F.col("__gap") > F.col("cadence_days"), F.col("__gap") - 1)
+    return joined.groupBy(*STREAM, "reader").agg(F.count(F.lit(1)).alias("days"), F.count(wide).alias("gaps"), F.coalesce(F.sum(wide), F.lit(0)).cast("bigint").alias("missing"), F.coalesce(F.max(wide), F.lit(0)).cast("bigint").alias("longest")).withColumn("passed", F.col("gaps") == 0)
+
+
+def signatures(payloads: DataFrame, config: DataFrame, n: int = RECENT) -> DataFrame:
+    """Per stream and reader the richest signature among the newest payload of each trailing partition, the newest on ties; empty ones tell nothing."""
+    rows = _configured(recent(payloads, n), config)
+    newest = dedup_latest(rows.select(*STREAM, "reader", "dt", "fetched_ms", "file_name", "unnest_records", "j"), [*STREAM, "reader", "dt"], ["fetched_ms", "file_name"])
+    sig = newest.withColumn("__sig", payload_signature(F.col("j"), F.col("reader"), F.col("unnest_records"))).where(F.size("__sig") > 0)
+    return sig.groupBy(*STREAM, "reader").agg(F.max_by("__sig", F.struct(F.size("__sig"), F.col("dt"))).alias("signature"))
+
+
+def content_health(payloads: DataFrame, config: DataFrame, n_samples: int = 5, n: int = RECENT) -> DataFrame:
+    """Verdict on an even spread of a stream's recent payloads.
+
+    ``payloads`` has source_name, collection_name, dt, file_name, fetched_ms, j,
+    http_status and ``issues`` (integrity findings per payload). Integrity
+    outranks all else and is an error; error-like or unreadable payloads warn;
+    empty ones warn unless the stream may be empty; no payload at all passes, as
+    freshness tells absence.
+    """
+    rows = with_reader(recent(payloads, n)).withColumn("__group", F.struct(*STREAM, "reader"))
+    sample = spread_sample(rows, "__group", ["dt", "fetched_ms", "file_name"], n_samples, F.datediff(F.col("dt").cast("date"), F.lit("1970-01-01").cast("date")))
+    verdict = classify_payload(F.col("file_name"), F.col("j"), F.col("http_status"))
+    share = lambda *kinds: F.count_if(F.col("verdict").isin(*kinds))
+    seen = sample.withColumn("verdict", verdict).groupBy(*STREAM, "reader").agg(F.count(F.lit(1)).alias("seen"), share(*DATA_CLASSES).alias("data"), share(*EMPTY_CLASSES).alias("empty"), share(*ERROR_CLASSES).alias("errors"), F.sum("issues").cast("bigint").alias("issues"))
+    out = config.select(*STREAM, "reader", "expected_empty").join(seen, [*STREAM, "reader"], "left").fillna(0, ["seen", "data", "empty", "errors", "issues"])
+    state = F.when(F.col("seen") == 0, "NO_PAYLOADS").when(F.col("issues") > 0, "CORRUPT").when(F.col("errors") > 0, "ERRORS").when((F.col("empty") > 0) & ~F.col("expected_empty"), "EMPTY").when(F.col("empty") > 0, "EXPECTED_EMPTY").otherwise("DATA")
+    return out.withColumn("state", state).withColumn("passed", F.col("state").isin("NO_PAYLOADS", "EXPECTED_EMPTY", "DATA")).withColumn("severity", F.when(F.col("state") == "CORRUPT", ERROR).otherwise(WARN))
+
+
+def sweep(payloads: DataFrame, groups: list[str], order: list[str], n: int = 5, bucket: Column | None = None) -> DataFrame:
+    """State of each stream by an even spread of ``n`` payloads: HEALTHY, MIXED or NO_DATA."""
+    v = verdicts(spread_sample(payloads.withColumn("__group", F.struct(*groups)), "__group", order, n, bucket), groups)
+    good = F.coalesce(F.sum(F.when(F.col("verdict").isin(*DATA_CLASSES), F.col("n"))), F.lit(0)).cast("bigint").alias("good")
+    return v.groupBy(*groups).agg(F.sum("n").cast("bigint").alias("seen"), good).withColumn("state", F.when(F.col("good") == 0, "NO_DATA").when(F.col("good") == F.col("seen"), "HEALTHY").otherwise("MIXED"))
+
+
+def run_checks(payloads: DataFrame, config: DataFrame, baseline: DataFrame, now_ms: int, families: tuple[str, ...] = FAMILIES) -> DataFrame:
+    """The checks of every configured stream as rows ``(check_name, passed, severity, found)``; none materialises a table.
+
+    ``config`` may have ``enabled_checks`` (an array of families); a stream
+    whose event day is told by nothing has no completeness check.
+    """
+    unknown = set(families) - set(FAMILIES)
+    if unknown:
+        raise ValueError(f"unknown checks {sorted(unknown)}")
+    named = lambda family: F.concat_ws("_", *STREAM, "reader", F.lit(family)).alias("check_name")
+    row = lambda family, found, severity=WARN: [named(family), "passed", (F.lit(severity) if severity in (ERROR, WARN) else F.col(severity)).alias("severity"), found.cast("bigint").alias("found")]
+    wants = lambda family: config.where(F.array_contains("enabled_checks", family)) if "enabled_checks" in config.columns else config
+    parts = []
+    if "freshness" in families:
+        fresh = freshness(payloads, wants("freshness"), now_ms).join(wants("freshness").select(*STREAM, "reader"), STREAM)
+        parts.append(fresh.select(*row("freshness", F.ceil("lag_hours"), ERROR)))
+    if "completeness" in families:
+        timed = wants("completeness").where(F.col("event_date_source") != "none")
+        whole = timed.select(*STREAM, "reader").join(event_completeness(payloads, timed), [*STREAM, "reader"], "left").fillna(True, ["passed"]).fillna(0, ["missing"])
+        parts.append(whole.select(*row("completeness", F.col("missing"))))
+    if "schema" in families:
+        drift = drift_between(signatures(payloads, wants("schema")), baseline, [*STREAM, "reader"])
+        parts.append(drift.select(*row("schema", F.size("added") + F.size("removed"), ERROR)))
+    if "content" in families:
+        parts.append(content_health(payloads, wants("content")).select(*row("content_health", F.col("issues") + F.col("errors") + F.col("empty"), "severity")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def first_details(df: DataFrame, by: list[str], n: int = 5) -> DataFrame:
+    """The first ``n`` findings in order, for a message: a top-k, its size is the feature."""
+    return df.orderBy(*by).limit(n)
+
+
+def join_sanity(nights: DataFrame, since: str = "2025-12-18") -> DataFrame:
+    """Nights of neither source (they fail the check), and nights from ``since`` on that only one source has (a hint)."""
+    lone = (F.col("night_date") >= F.lit(since).cast("date")) & (F.col("has_garmin") != F.col("has_whoop"))
+    got = nights.agg(F.count_if(~(F.col("has_garmin") | F.col("has_whoop"))).alias("found"), F.count_if(lone).alias("single_source"))
+    return got.select(F.lit("sleep_join_sanity").alias("check_name"), (F.col("found") == 0).alias("passed"), F.lit(WARN).alias("severity"), "found", "single_source")
+
+
+# What kind of fault each finding is.
+KINDS = {"HASH_MISMATCH": "INTEGRITY", "ZERO_BYTES": "VALIDITY", "NOT_JSON": "VALIDITY", "MISSING_SIDECAR": "CONSISTENCY", "NO_HASH": "CONSISTENCY", "SIZE_MISMATCH": "CONSISTENCY", "REDACTED": "INFORMATION"}
 
 
 def integrity(captures: DataFrame) -> DataFrame:
-    """Captures whose bytes do not agree with their sidecar, or that lack one or are no JSON."""
+    """``(path, source_name, collection_name, dt, issue, kind)`` of captures whose bytes do not agree with their sidecar, that lack one, are empty or no JSON; a redaction is information only."""
     text = F.col("content").cast("string")
+    as_json = F.coalesce(F.lower("stored_encoding") == "identity", F.lit(True)) & (F.endswith("path", F.lit(".json")) | F.coalesce(F.contains(F.lower("content_type"), F.lit("json")), F.lit(False)))
+    redacted = F.size("redacted_fields") > 0 if "redacted_fields" in captures.columns else F.lit(False)
     issue = F.array_compact(
         F.array(
             F.when(~F.col("has_sidecar"), "MISSING_SIDECAR"),
+            F.when(F.octet_length("content") == 0, "ZERO_BYTES"),
             F.when(F.col("sha256").isNotNull() & (F.col("sha256") != F.sha2("content", 256)), "HASH_MISMATCH"),
+            F.when(F.col("has_sidecar") & F.col("sha256").isNull(), "NO_HASH"),
             F.when(F.col("byte_size").isNotNull() & (F.col("byte_size") != F.octet_length("content")), "SIZE_MISMATCH"),
-            F.when(F.endswith("path", F.lit(".json")) & F.json_object_keys(text).isNull() & F.json_array_length(text).isNull(), "NOT_JSON"),
+            F.when(as_json & (F.octet_length("content") > 0) & F.json_object_keys(text).isNull() & F.json_array_length(text).isNull(), "NOT_JSON"),
+            F.when(redacted, "REDACTED"),
         )
     )
-    return captures.select("path", "source_name", "collection_name", "dt", F.explode(issue).alias("issue"))
+    kinds = F.create_map(*[F.lit(x) for pair in KINDS.items() for x in pair])
+    return captures.select("path", *STREAM, "dt", F.explode(issue).alias("issue")).withColumn("kind", F.try_element_at(kinds, "issue"))
+
+
+def verify_tree(captures: DataFrame, report: str, max_gap: int = 0) -> int:
+    """Write the inventory, the findings and the gaps of all streams below ``report``; 1 if any finding is more than information, else 0.
+
+    The report is three tables of JSON lines; findings may be as many as files
+    and are never gathered on the driver. A gap is more than ``max_gap`` absent
+    days between two partitions.
+    """
+    inventory(captures).write.mode("overwrite").json(f"{report}/inventory")
+    found = integrity(captures)
+    found.write.mode("overwrite").json(f"{report}/findings")
+    date_gaps(captures, "dt", STREAM, max_gap + 1).write.mode("overwrite").json(f"{report}/gaps")
+    return 0 if found.where(F.col("kind") != "INFORMATION").isEmpty() else 1
 
 
 def inventory(captures: DataFrame) -> DataFrame:
@@ -177,7 +323,3 @@ def select_allowed(df: DataFrame, name: str, allow: DataFrame | None, deny: Data
     if allow is not None and not allow.isEmpty():
         out = out.join(allow.select(name).distinct(), name, "left_semi")
     return out
-
-
-def empty_results(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], RESULT)
