@@ -29,7 +29,7 @@ def build_session(app: str = "pulselake", master: str | None = None, shuffle_par
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder all executors can reach, under ``spark.checkpoint.dir``.
+    """A fresh folder all executors can reach, under ``spark.checkpoint.dir``, removed when the driver ends.
 
     The cluster names the shared folder in ``spark.checkpoint.dir``. Only where
     it is unset (tests, one machine) a temporary folder of this machine is used;
@@ -44,10 +44,9 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         spark.conf.set("spark.checkpoint.dir", root)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint`` usable with the cluster's shared folder."""
-    if not spark.sparkContext.getCheckpointDir():
-        shared_dir(spark, "unused")
+    home = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(home)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path)
+    fs.deleteOnExit(path)
+    return f"{home}/data"

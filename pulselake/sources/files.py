@@ -10,6 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.exprs import csv_cells
+from ..functions.exprs import text_lines as text_lines_of
+
 PAYLOAD = "filename string, j string"
 SIDECAR = "source string, collection string, fetched_at string, fetched_at_unix_ms bigint, byte_size bigint, sha256 string, stored_encoding string, schema_version string, http_status int, content_type string"
 
@@ -44,22 +47,19 @@ def malformed(df: DataFrame) -> DataFrame:
 def csv_rows(spark: SparkSession, root: str, source: str, collection: str, columns: dict[str, str]) -> DataFrame:
     """Named columns of CSV files by header, all text, with ``filename``.
 
-    Files are grouped by their header line, since one scan over files of
-    different headers would assign values by place. Headers are as many as
-    schemas, not as files; a column a file lacks is null.
+    One scan of whole files, each read by its own header in its own task, so
+    neither files nor headers are listed on the driver and files of different
+    headers need no passes of their own. A column a file lacks and an empty cell
+    are null; a line break inside quotes ends the line.
     """
     schema = T.StructType([T.StructField(a, T.StringType()) for a in columns] + [T.StructField("filename", T.StringType())])
     path = _pattern(root, source, collection)
     if not exists(spark, path):
         return spark.createDataFrame([], schema)
-    lines = spark.read.text(path).where(_payload_file()).select("value", F.col("_metadata.file_path").alias("filename"), F.col("_metadata.file_block_start").alias("at"))
-    heads = lines.where(F.col("at") == 0).groupBy("filename").agg(F.first("value").alias("head"))
-    whole = spark.createDataFrame([], schema)
-    for row in heads.groupBy("head").agg(F.collect_set("filename").alias("files")).toLocalIterator():
-        part = spark.read.option("header", True).csv(sorted(row["files"])).select("*", F.col("_metadata.file_path").alias("filename"))
-        picked = [F.col(f"`{h}`").cast("string").alias(a) if h in part.columns else F.lit(None).cast("string").alias(a) for a, h in columns.items()]
-        whole = whole.unionByName(part.select(*picked, "filename"))
-    return whole
+    whole = spark.read.text(path, wholetext=True).where(_payload_file()).select(text_lines_of(F.regexp_replace("value", "^\ufeff", "")).alias("lines"), F.col("_metadata.file_path").alias("filename"))
+    headed = whole.withColumn("head", csv_cells(F.get("lines", F.lit(0))))
+    rows = headed.select("filename", "head", F.explode(F.slice("lines", F.lit(2), F.greatest(F.size("lines"), F.lit(1)))).alias("line")).withColumn("cells", csv_cells(F.col("line")))
+    return rows.select(*[F.nullif(F.get("cells", F.array_position("head", F.lit(h)).cast("int") - 1), F.lit("")).alias(a) for a, h in columns.items()], "filename")
 
 
 def text_lines(spark: SparkSession, root: str, source: str, collection: str) -> DataFrame:
@@ -90,19 +90,25 @@ def sidecars(spark: SparkSession, root: str, source: str = "*", collection: str
 
 
 def captures(spark: SparkSession, root: str, source: str = "*", collection: str = "*") -> DataFrame:
-    """Payload bytes with their sidecar: path, source, collection, day, stem, content and provenance."""
+    """Payload bytes with their sidecar: path, source, collection, day, stem, content and provenance.
+
+    Spark does not read files of no bytes. Such a payload, or one that is gone,
+    shows as its sidecar with empty content and the path without ending.
+    """
     path = _pattern(root, source, collection)
     if not exists(spark, path):
         return spark.createDataFrame([], f"path string, source_name string, collection_name string, dt date, file_fetched_ms bigint, content binary, stem string, {SIDECAR}, has_sidecar boolean")
-    raw = spark.read.format("binaryFile").load(path).where(~F.endswith("path", F.lit(".meta.json")))
     place = r"/([^/]+)/([^/]+)/dt=(\d{4}-\d{2}-\d{2})/[^/]+$"
-    raw = raw.select(
+    raw = spark.read.format("binaryFile").load(path).where(~F.endswith("path", F.lit(".meta.json"))).select("path", "content", F.regexp_replace("path", r"\.[A-Za-z0-9]+(\.gz)?$", "").alias("stem"))
+    side = sidecars(spark, root, source, collection).withColumn("has_sidecar", F.lit(True))
+    both = raw.join(side, "stem", "full_outer").withColumns({"path": F.coalesce("path", "stem"), "content": F.coalesce("content", F.lit(b"")), "has_sidecar": F.coalesce("has_sidecar", F.lit(False))})
+    return both.select(
         "path",
         F.regexp_extract("path", place, 1).alias("source_name"),
         F.regexp_extract("path", place, 2).alias("collection_name"),
         F.regexp_extract("path", place, 3).try_cast("date").alias("dt"),
         F.regexp_extract("path", r"_([0-9]{13})_", 1).try_cast("bigint").alias("file_fetched_ms"),
         "content",
-        F.regexp_replace("path", r"\.[A-Za-z0-9]+$", "").alias("stem"),
+        "stem",
+        *[c for c in side.columns if c != "stem"],
     )
-    return raw.join(sidecars(spark, root, source, collection).withColumn("has_sidecar", F.lit(True)), "stem", "left").withColumn("has_sidecar", F.coalesce("has_sidecar", F.lit(False)))

@@ -7,11 +7,13 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from pyspark.sql import SparkSession
 
+    folder = tmp_path_factory.mktemp("spark")
+
     s = (
-        SparkSession.builder.master("local[4]").appName("tests").config("spark.sql.shuffle.partitions", "4").config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.sql.warehouse.dir", "/tmp/pulselake-warehouse").getOrCreate()
+        SparkSession.builder.master("local[4]").appName("tests").config("spark.sql.shuffle.partitions", "4").config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.sql.warehouse.dir", str(folder / "warehouse")).config("spark.checkpoint.dir", f"file://{folder}/shared").getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
     yield s

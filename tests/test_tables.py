@@ -137,7 +137,7 @@ def test_checks_fail_when_a_value_is_corrupted(spark):
 
 def test_tree_sources_and_integrity(spark, tmp_path):
     root = str(tmp_path / "bronze")
-    put = lambda coll, body, day, ms, **kw: sinks.capture(root, "src", coll, body, day=day, now_ms=ms, **kw)
+    put = lambda coll, body, day, ms, **kw: sinks.capture(root, "src", coll, body, day=day, now_ms=ms, **({"ending": "json"} | kw))
     a = put("sleep", b'{"a":1}', "2026-01-01", 1_700_000_000_001)
     assert put("sleep", b'{"a":1}', "2026-01-01", 1_700_000_000_002) is None and put("sleep", b'{"a":1}', "2026-01-01", 1_700_000_000_003, dedupe=False)
     assert put("sleep", b"x", "2026-01-01", 1_700_000_000_004, meta={"http_status": 500}) is None
@@ -159,19 +159,50 @@ def test_tree_sources_and_integrity(spark, tmp_path):
     assert {r["issue"] for r in Q.integrity(files.captures(spark, root)).collect()} == {"HASH_MISMATCH", "SIZE_MISMATCH", "NOT_JSON", "MISSING_SIDECAR"}
     same = spark.createDataFrame([("s", "c", "d", 1, "x"), ("s", "c", "d", 2, "x"), ("s", "c", "d", 3, "y")], "source_name string, collection_name string, dt string, fetched_ms long, content string")
     old = spark.createDataFrame([("s", "c", "d", 0, "y")], same.schema)
-    assert [(r["fetched_ms"], r["content"]) for r in sinks.new_captures(same, old).collect()] == [(1, "x")]
+    assert sorted((r["fetched_ms"], r["content"]) for r in sinks.new_captures(same, old).collect()) == [(1, "x"), (3, "y")]
+    again = spark.createDataFrame([("s", "c", "d", k, c) for k, c in enumerate("yxyyx", 1)], same.schema)
+    assert sorted(r["fetched_ms"] for r in sinks.new_captures(again, old).collect()) == [2, 3, 5]
+    assert sorted(r["fetched_ms"] for r in sinks.new_captures(again, old.limit(0)).collect()) == [1, 2, 3, 5]
+
+
+def test_captures_never_raise_and_tell_endings(tmp_path):
+    root = str(tmp_path)
+    one_ = sinks.capture(root, "s", "c", b"a", day="2026-01-01", now_ms=1_700_000_000_001, meta={"content_type": "text/html", "stored_encoding": "gzip"})
+    side = json.loads(next(one_.parent.glob("*.meta.json")).read_text())
+    assert one_.name.endswith(".bin.gz") and (side["stored_encoding"], side["schema_version"], side["fetched_at"]) == ("gzip", "v1", "2023-11-14T22:13:20.001Z")
+    assert sinks.capture(root, "s", "c", "text", day="2026-01-01") is None and sinks.capture(root, "s", "c", b"a", day="2026-01-01", meta={"content_type": "text/html"}) is None
+    assert sinks.capture(root, "s", "c", b"b", day="2026-01-01", now_ms=1_700_000_000_002) and sinks.capture(root, "s", "c", b"a", day="2026-01-01", now_ms=1_700_000_000_003)  # A, B, A
+    (one_.parent / "odd.meta.json").write_text("no json")
+    assert sinks.capture(root, "s", "c", b"a", day="2026-01-01", now_ms=1_700_000_000_004) is None  # an odd name counts as the oldest
+    (tmp_path / "blocked").write_text("a file, no folder")
+    assert sinks.capture(str(tmp_path / "blocked"), "s", "c", b"a") is None
+    assert sinks.capture_lines(root, "s", "l", [], "2026-01-01") is None and sinks.capture_lines(root, "s", "l", ["1 20260101 x"], "2026-01-01").read_bytes() == b"1 20260101 x\n"
+    assert sinks.capture_parsed(root, "s", "p", []) is None
+    kept = sinks.capture_parsed(root, "s", "p", {"a": 1, "myToken": 2}, day="2026-01-01", screen=True)
+    assert kept.read_bytes() == b'{"a":1}' and json.loads(next(kept.parent.glob("*.meta.json")).read_text())["redacted_fields"] == ["myToken"]
+    assert [sinks.ending_of(t) for t in ("application/json; charset=utf-8", "TEXT/CSV", "text/xml", "text/plain", None)] == ["json", "csv", "xml", "txt", "bin"]
 
 
 def test_atomic_write(spark, tmp_path):
     dest = str(tmp_path / "silver" / "t.parquet")
     assert sinks.write_parquet_atomic(spark.range(7), dest) == 7
     assert sinks.write_parquet_atomic(spark.range(3), dest, str(tmp_path / "bronze")) == 3
-    assert spark.read.parquet(dest).count() == 3 and not [p for p in (tmp_path / "silver").iterdir() if p.name != "t.parquet"]
+    assert sinks.read_published(spark, dest).count() == 3
+    reader = sinks.read_published(spark, dest)
+    assert sinks.write_parquet_atomic(spark.range(5), dest) == 5 and reader.count() == 3 and sinks.read_published(spark, dest).count() == 5
+    assert len([p for p in (tmp_path / "silver" / "t.parquet").iterdir() if p.is_dir()]) == 2
+    assert sinks.read_published(spark, str(tmp_path / "none"), "a int").count() == 0
     with pytest.raises(ValueError):
         sinks.write_parquet_atomic(spark.range(1), str(tmp_path / "bronze" / "x"), str(tmp_path / "bronze"))
     assert files.parquet_or_empty(spark, str(tmp_path / "no"), "a int").count() == 0
 
 
+def test_secrets_in_a_column(spark):
+    df = spark.createDataFrame([(1, '{"a":{"apiKey":1,"b":[{"token":2,"c":3}]}}'), (2, '{"a":"token"}'), (3, "token no json"), (4, None)], "k int, j string")
+    got = {r["k"]: (r["j"], r["redacted_fields"]) for r in sinks.screened(df, "j").collect()}
+    assert got == {1: ('{"a":{"b":[{"c":3}]}}', ["a.apiKey", "a.b[0].token"]), 2: ('{"a":"token"}', []), 3: ("token no json", []), 4: (None, [])}
+
+
 def test_secrets_and_bytes():
     kept, gone = sinks.screen_secrets({"a": [{"accessToken": 1, "b": 2}], "PASSWORD": "x", "next": {"session_id": 3}})
     assert kept == {"a": [{"b": 2}], "next": {}} and sorted(gone) == ["PASSWORD", "a[0].accessToken", "next.session_id"]
@@ -204,7 +235,12 @@ def test_streams(spark, tmp_path):
     ingest.upsert_latest(s, dest, str(tmp_path / "chk2"), ["k"], ["v"]).awaitTermination(60)
     (src / "c.json").write_text('{"k":1,"v":0}')
     ingest.upsert_latest(s, dest, str(tmp_path / "chk2"), ["k"], ["v"]).awaitTermination(60)
-    assert [tuple(r) for r in spark.read.parquet(ingest.current_version(spark, dest)).collect()] == [("1", "2")]
+    assert [tuple(r) for r in ingest.current_table(spark, dest).collect()] == [("1", "2")]
+    for i in range(3):
+        (src / f"d{i}.json").write_text(f'{{"k":"{i}","v":9}}')
+        ingest.upsert_latest(s, dest, str(tmp_path / "chk2"), ["k"], ["v"]).awaitTermination(60)
+    assert sorted(tuple(r) for r in ingest.current_table(spark, dest).collect()) == [("0", "9"), ("1", "9"), ("2", "9")]
+    assert len(list((tmp_path / "latest").glob("manifest-*.json"))) == 2
     assert ingest.day_partitions(D(2026, 1, 1), D(2026, 1, 4), 1) == ["2026-01-01", "2026-01-02", "2026-01-03", "2026-01-04"] and ingest.trailing_partitions(["a", "b", "c"], 2) == ["b", "c"]
 
 
@@ -227,8 +263,66 @@ def test_small_relational(spark):
         assert sorted(map(str, whole)) == sorted(map(str, cut)) and len(whole) == min(97, 3 * n if n < 30 else 97)
 
 
-def test_content_health(spark):
+def test_sweep(spark):
     rows = [(g, k, f"f{k}.json", b, st) for g, bodies in (("good", [("[1]", 200)] * 9), ("bad", [("[1]", 200), ("{cut", 200), ("[1]", 503)]), ("none", [("[]", None)])) for k, (b, st) in enumerate(bodies)]
     df = spark.createDataFrame(rows, "stream string, k int, file_name string, j string, http_status int").withColumn("source", F.lit("s"))
-    got = {r["stream"]: (r["seen"], r["passed"], r["state"]) for r in Q.content_health(df, ["source", "stream"], ["k"]).collect()}
-    assert got == {"good": (5, True, "HEALTHY"), "bad": (3, False, "MIXED"), "none": (1, True, "NO_DATA")}
+    got = {r["stream"]: (r["seen"], r["state"]) for r in Q.sweep(df, ["source", "stream"], ["k"]).collect()}
+    assert got == {"good": (5, "HEALTHY"), "bad": (3, "MIXED"), "none": (1, "NO_DATA")}
+
+
+CONFIG = "source_name string, collection_name string, reader string, unnest_records boolean, event_date_source string, event_date_field string, cadence_hours double, grace_hours double, cadence_days int, expected_empty boolean"
+PAYLOADS = "source_name string, collection_name string, dt string, fetched_ms long, file_name string, j string, http_status int, issues int"
+
+
+def test_configured_checks(spark):
+    stream = lambda c, reader, source="partition", field=None, empty=False: ("s", c, reader, c == "pages", source, field, 24.0, 2.0, 1, empty)
+    config = spark.createDataFrame([stream("pages", "json", "payload", "score.start"), stream("table", "csv", "payload", "Day"), stream("lines", "txt"), stream("sparse", "json", empty=True), stream("bad", "json"), stream("rotten", "json"), stream("void", "json", "none")], CONFIG)
+    row = lambda c, dt, ms, end, j, status=200, issues=0: ("s", c, dt, ms, f"f_{ms}.{end}", j, status, issues)
+    payloads = spark.createDataFrame(
+        [
+            row("pages", "2026-01-05", 5, "json", '{"records":[{"id":1,"score":{"start":"2026-01-01T10:00:00Z"}},{"id":2,"score":{"start":"2026-01-04"}},{"score":null}]}'), row("pages", "2026-01-06", 6, "json", '{"records":[]}'), row("pages", "2026-01-07", 7, "json", "{cut"),
+            row("table", "2026-01-05", 5, "csv", 'A,Day,dt\n"x, y",2026-01-01,1\n\n2,01/02/2026,3\n'), row("lines", "2026-01-01", 1, "txt", ""), row("lines", "2026-01-04", 4, "txt", "\n 1 20260101  x\n"),
+            row("sparse", "2026-01-01", 1, "json", "[]"), row("bad", "2026-01-01", 1, "json", "[1]", 503), row("rotten", "2026-01-01", 1, "json", "[1]", 200, 1),
+        ],
+        PAYLOADS,
+    )
+    days = {(r["collection_name"], r["day"].isoformat()) for r in Q.event_dates(payloads, config).collect()}
+    assert days == {("pages", "2026-01-01"), ("pages", "2026-01-04"), ("table", "2026-01-01"), ("table", "2026-01-02"), ("lines", "2026-01-01"), ("lines", "2026-01-04"), ("sparse", "2026-01-01"), ("bad", "2026-01-01"), ("rotten", "2026-01-01")}
+    gaps = {r["collection_name"]: (r["passed"], r["missing"]) for r in Q.event_completeness(payloads, config).collect()}
+    assert gaps["pages"] == (False, 2) and gaps["table"] == (True, 0) and gaps["lines"] == (False, 2)
+    sigs = {r["collection_name"]: r["signature"] for r in Q.signatures(payloads, config).collect()}
+    assert sigs == {"pages": ["id", "score"], "table": ["A", "Day"], "lines": ["fields=3"]}
+    health = {r["collection_name"]: (r["state"], r["passed"], r["severity"]) for r in Q.content_health(payloads, config).collect()}
+    assert health == {"pages": ("ERRORS", False, "WARN"), "table": ("DATA", True, "WARN"), "lines": ("EMPTY", False, "WARN"), "sparse": ("EXPECTED_EMPTY", True, "WARN"), "bad": ("ERRORS", False, "WARN"), "rotten": ("CORRUPT", False, "ERROR"), "void": ("NO_PAYLOADS", True, "WARN")}
+    base = spark.createDataFrame([("s", "table", "csv", ["A", "Old"])], "source_name string, collection_name string, reader string, signature array<string>")
+    ran = {r["check_name"]: (r["passed"], r["found"]) for r in Q.run_checks(payloads, config, base, 3_600_000 * 24).collect()}
+    assert ran["s_table_csv_schema"] == (False, 2) and ran["s_pages_json_schema"] == (True, 0) and ran["s_lines_txt_completeness"] == (False, 2) and "s_void_json_completeness" not in ran and ran["s_rotten_json_content_health"][0] is False and ran["s_sparse_json_freshness"][0]
+    only = config.withColumn("enabled_checks", F.array(F.lit("content")))
+    assert Q.run_checks(payloads, only, base, 0).count() == 7 and Q.run_checks(payloads.limit(0), config, base, 0).count() > 0
+    with pytest.raises(ValueError):
+        Q.run_checks(payloads, config, base, 0, ("colour",))
+
+
+def test_join_sanity_and_details(spark):
+    nights = spark.createDataFrame([(D(2025, 12, 17), True, False), (D(2025, 12, 18), True, False), (D(2026, 1, 1), False, False)], "night_date date, has_garmin boolean, has_whoop boolean")
+    assert tuple(one(Q.join_sanity(nights)))[1:] == (False, "WARN", 1, 1) and tuple(one(Q.join_sanity(nights.limit(0))))[1:] == (True, "WARN", 0, 0)
+    assert [r["night_date"].day for r in Q.first_details(nights, ["night_date"], 2).collect()] == [17, 18]
+
+
+def test_verifier(spark, tmp_path):
+    root, report = str(tmp_path / "bronze"), str(tmp_path / "report")
+    sinks.capture(root, "s", "c", b'{"a":1}', day="2026-01-01", meta={"content_type": "application/json"})
+    kept = sinks.capture(root, "s", "c", b'{"a":2}', day="2026-01-04", meta={"content_type": "application/json", "redacted_fields": ["x"]})
+    assert Q.verify_tree(files.captures(spark, root), report) == 0
+    assert spark.read.json(f"{report}/gaps").collect()[0]["missing"] == 2 and spark.read.json(f"{report}/inventory").collect()[0]["files"] == 2
+    kept.write_bytes(b"")
+    assert Q.verify_tree(files.captures(spark, root), report, 2) == 1
+    assert {r["issue"] for r in spark.read.json(f"{report}/findings").collect()} == {"ZERO_BYTES", "HASH_MISMATCH", "SIZE_MISMATCH"}
+
+
+def test_trailing_count(spark):
+    rows = [("a", T(2024, 1, 1, 23, 59, 30)), ("a", T(2024, 1, 2, 0, 0, 20)), ("a", T(2024, 1, 2, 0, 0, 30)), ("a", T(2024, 1, 2, 0, 0, 31)), (None, T(2024, 1, 2)), ("a", None)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz")
+    want = [1, 2, 3, 3, 1, 0]
+    for size in (60, 3600, 86_400):
+        assert {(r["k"], r["ts"]): r["n"] for r in R.trailing_count(df, ["k"], "ts", 60, bucket_seconds=size).collect()} == dict(zip(rows, want))
