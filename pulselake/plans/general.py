@@ -203,10 +203,40 @@ totals AS (SELECT wearer_id, day, {', '.join(f'sum({v}) OVER (PARTITION BY weare
 row_number() OVER (PARTITION BY wearer_id ORDER BY day) AS k FROM filled)"""
 
 
+# Sleeps as SQL reads them: the end's instant, or its wall clock by the row's zone, the earlier of two and none that the clock leaves out.
+_END_T = "regexp_replace(regexp_replace(regexp_replace(trim(garmin_end_gmt), '\\[[^\\]]*\\]$', ''), ' ?(GMT|UTC)$', 'Z'), '^(\\d{4}-.*[+-]\\d\\d)(\\d\\d)$', '\\1:\\2')"
+_END_AT = """CASE WHEN regexp_full_match(t, '\\d{13}') THEN make_timestamp(CAST(t AS BIGINT) * 1000) WHEN regexp_full_match(t, '\\d{10}') THEN make_timestamp(CAST(t AS BIGINT) * 1000000) WHEN regexp_full_match(t, '\\d{16}') THEN make_timestamp(CAST(t AS BIGINT)) WHEN regexp_full_match(t, '\\d\\.\\d+E\\d+') THEN make_timestamp(CAST(CAST(t AS DOUBLE) AS BIGINT) * 1000)
+WHEN regexp_matches(t, '^\\d{4}-\\d\\d-\\d\\d[T ].*(Z|[+-]\\d\\d:\\d\\d)$') THEN timezone('UTC', TRY_CAST(t AS TIMESTAMPTZ)) WHEN regexp_full_match(t, '\\d{8}T\\d{6}Z') THEN try_strptime(t, '%Y%m%dT%H%M%SZ') WHEN regexp_matches(t, '^[A-Z][a-z]{2}, .*[+-]\\d{4}$') THEN timezone('UTC', try_strptime(t, '%a, %d %b %Y %H:%M:%S %z')) END"""
+_END_WALL = """CASE WHEN regexp_matches(t, '^\\d{4}-\\d\\d-\\d\\d[T ]\\d\\d:\\d\\d(:\\d\\d)?$') THEN coalesce(try_strptime(t, '%Y-%m-%d %H:%M:%S'), try_strptime(t, '%Y-%m-%dT%H:%M:%S'), try_strptime(t, '%Y-%m-%dT%H:%M')) WHEN regexp_matches(t, '^\\d\\d/') THEN CASE WHEN us THEN coalesce(try_strptime(t, '%m/%d/%Y %H:%M:%S'), try_strptime(t, '%m/%d/%Y %I:%M %p')) ELSE coalesce(try_strptime(t, '%d/%m/%Y %H:%M:%S'), try_strptime(t, '%d/%m/%Y %I:%M %p')) END
+WHEN regexp_matches(t, '^\\d{1,2}\\.\\d{1,2}\\.\\d{4} ') THEN CASE WHEN us THEN try_strptime(t, '%m.%d.%Y %H:%M') ELSE try_strptime(t, '%d.%m.%Y %H:%M') END WHEN regexp_matches(t, '^[A-Z][a-z]{2} \\d') THEN try_strptime(t, '%b %d, %Y %I:%M:%S %p') END"""
+_SLEEPS = f"""SELECT wearer_id, epoch_us(garmin_start_gmt) // 1000 AS b, epoch_us(coalesce(moment, CASE WHEN timezone(zone, timezone('UTC', late - INTERVAL 1 HOUR)) = wall THEN late - INTERVAL 1 HOUR WHEN timezone(zone, timezone('UTC', late)) = wall THEN late END)) // 1000 AS f, false AS nap
+FROM (SELECT *, timezone('UTC', timezone(zone, wall)) AS late FROM (SELECT *, {_END_AT} AS moment, {_END_WALL} AS wall, coalesce(tz_name, 'UTC') AS zone FROM (SELECT *, {_END_T} AS t, coalesce(locale = 'en-US', false) AS us FROM silver_sleep)))
+UNION ALL SELECT wearer_id, epoch_us(whoop_start) // 1000, epoch_us(whoop_end) // 1000, coalesce(is_nap, false) FROM silver_sleep_whoop"""
+_P7 = f"""WITH i AS (SELECT wearer_id, b, f, bool_and(nap) AS nap FROM ({_SLEEPS}) WHERE wearer_id IS NOT NULL AND f > b GROUP BY 1, 2, 3), m AS (SELECT *, max(f) OVER (PARTITION BY wearer_id ORDER BY b, f ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM i), g AS (SELECT *, sum(CASE WHEN reach IS NULL OR b > reach THEN 1 ELSE 0 END) OVER (PARTITION BY wearer_id ORDER BY b, f ROWS UNBOUNDED PRECEDING) AS k FROM m),
+p AS (SELECT wearer_id, min(b) AS b, max(f) AS f, bool_and(nap) AS nap FROM g GROUP BY wearer_id, k), n AS (SELECT *, lead(b) OVER (PARTITION BY wearer_id ORDER BY b) AS nb FROM p)
+SELECT wearer_id, CASE WHEN nap THEN 'nap' ELSE 'sleep' END AS period_kind, b AS begin_utc_ms, f AS finish_utc_ms FROM p UNION ALL SELECT wearer_id, 'gap', f, nb FROM n WHERE nb IS NOT NULL"""
+
+_UUID_SQL = "regexp_replace(lower(regexp_replace(trim(whoop_sleep_id), '^(?i)urn:uuid:', '')), '[{}\\s-]', '', 'g')"
+_SURPLUS = "QUALIFY row_number() OVER (PARTITION BY {k} ORDER BY fetched_ms DESC NULLS LAST, row_id) > 1"
+_P5 = f"""SELECT 'silver_sleep_whoop' AS table_name, row_id FROM (SELECT row_id, fetched_ms, {_UUID_SQL} AS u FROM silver_sleep_whoop) WHERE regexp_full_match(u, '[0-9a-f]{{32}}') {_SURPLUS.format(k='u')}
+UNION ALL SELECT 'silver_weather', row_id FROM ({LOCAL_DAY_SQL}) WHERE station IS NOT NULL AND logger_no IS NOT NULL AND day IS NOT NULL AND obs_seq IS NOT NULL {_SURPLUS.format(k='station, logger_no, day, obs_seq')}"""
+
+_JSON_LIST = "CASE json_type({x}) WHEN 'ARRAY' THEN CAST({x} AS JSON[]) WHEN 'OBJECT' THEN [{x}] END"
+_READABLE = "SELECT payload_id, CASE WHEN json_type(body) = 'VARCHAR' THEN TRY_CAST(body::JSON->>'$' AS JSON) ELSE body::JSON END AS b FROM bronze_payloads WHERE collection_name = '{c}' AND json_valid(body)"
+_P4 = f"""WITH pages AS ({_READABLE.format(c='sleep')}), recs AS (SELECT payload_id, unnest(CASE WHEN json_type(b) = 'ARRAY' THEN CAST(b AS JSON[]) WHEN json_type(b, '$.id') IS NOT NULL AND json_type(b, '$.records') IS NULL THEN [b] ELSE coalesce({_JSON_LIST.format(x="json_extract(b, '$.records')")}, {_JSON_LIST.format(x="json_extract(b, '$.data.records')")}) END) AS a FROM pages),
+r AS (SELECT payload_id, a, a->>'$.id' AS id FROM recs WHERE a->>'$.id' IS NOT NULL), seg AS (SELECT payload_id, id, len({_JSON_LIST.format(x="json_extract(a, '$.score.stage_summary.segments')")}) AS n FROM r),
+stat AS (SELECT payload_id, coalesce(json_extract(b, '$.mostRecentTrainingStatus.latestTrainingStatusData'), json_extract(b, '$.latestTrainingStatusData')) AS d FROM ({_READABLE.format(c='training_status')})),
+dev AS (SELECT payload_id, CASE WHEN json_type(d) = 'ARRAY' THEN list_transform(CAST(d AS JSON[]), lambda x: {{'k': NULL::VARCHAR, 'v': x}}) WHEN json_type(d) = 'OBJECT' AND len(list_intersect(json_keys(d), ['deviceId', 'trainingStatus', 'loadDays', 'acuteTrainingLoadDTO', 'calendarDate'])) > 0 THEN [{{'k': NULL::VARCHAR, 'v': d}}] WHEN json_type(d) = 'OBJECT' THEN list_transform(json_keys(d), lambda x: {{'k': x, 'v': json_extract(d, '$."' || x || '"')}}) END AS l FROM stat),
+dv AS (SELECT payload_id, u.v AS v, coalesce(u.v->>'$.deviceId', u.k) AS id FROM (SELECT payload_id, unnest(l) AS u FROM dev)), dk AS (SELECT * FROM dv WHERE id IS NOT NULL AND json_type(v) = 'OBJECT'),
+days AS (SELECT payload_id, id, unnest(coalesce({_JSON_LIST.format(x="json_extract(v, '$.acuteTrainingLoadDTO.loadDays')")}, {_JSON_LIST.format(x="json_extract(v, '$.loadDays')")})) AS y FROM dk)
+SELECT DISTINCT * FROM (SELECT payload_id, 'sleep' AS link_kind, payload_id::VARCHAR AS parent_key, id AS child_key FROM r UNION ALL SELECT payload_id, 'scored_sleep', payload_id::VARCHAR, id FROM r WHERE coalesce(a->>'$.score.sleep_performance_percentage', a->>'$.score.performance.percentage') IS NOT NULL
+UNION ALL SELECT payload_id, 'segment', id, unnest(generate_series(0, n - 1))::VARCHAR FROM seg WHERE n > 0 UNION ALL SELECT payload_id, 'device', payload_id::VARCHAR, id FROM dk UNION ALL SELECT payload_id, 'coded_device', payload_id::VARCHAR, id FROM dk WHERE v->>'$.trainingStatus' IS NOT NULL UNION ALL SELECT payload_id, 'load_day', id, y->>'$.calendarDate' FROM days WHERE y->>'$.calendarDate' IS NOT NULL)"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL for the queries that SQL can express; the others are tested against brute force."""
     best = " UNION ALL ".join(
         f"SELECT wearer_id, strftime(day, '%Y-%m-%d') AS day_iso, '{v}' AS field_name, {w} AS window_days FROM totals WHERE {v}_{w}_total > 0 QUALIFY {v}_{w}_total = max({v}_{w}_total) OVER (PARTITION BY wearer_id, date_trunc('month', day))" for v in ACTIVITY for w in WINDOWS
     )
     wide = ", ".join(f"{v}_{w}_total, {v}_{w}_total / least(k, {w}) AS {v}_{w}_avg" for v in ACTIVITY for w in WINDOWS)
-    return {"p2_found": f"{_DAYS} {best}", "p2_rolling_totals": f"{_DAYS} SELECT wearer_id AS entity, day, CAST(date_trunc('month', day) AS DATE) AS month, {wide} FROM totals"}
+    return {"p4_found": _P4, "p5_found": _P5, "p7_found": _P7, "p2_found": f"{_DAYS} {best}", "p2_rolling_totals": f"{_DAYS} SELECT wearer_id AS entity, day, CAST(date_trunc('month', day) AS DATE) AS month, {wide} FROM totals"}
