@@ -1,14 +1,16 @@
 """Problem 6: schemas that drift between files.
 
-Every file becomes a *summary*: its fields in order, the type each shows, and
-its figures per night. A feed's schema is a state (field to last known type)
-that a file moves to the next version by explicit steps: ``renamed``, ``added``,
+Every file becomes a *state*: its fields in order, the type each shows, and its
+values per night. A feed's schema is a version (field to last known type) that a
+file moves to the next one by explicit steps: ``renamed``, ``added``,
 ``removed``, ``retyped`` and ``reader``. The steps of a file are found against
-the file before it and recorded; routing a file to the consistent table chains
-the renames so far, fills fields it lacks with null and casts.
+the file before it and recorded. Routing a file to the consistent table chains
+the renames its own feed records after it, gives defaults for fields it lacks,
+casts every value to the one declared type of its field, and notes the version
+and its fingerprint.
 
-A feed is cut into chunks of its files by time; chunks are worked through on
-their own and only their ends (one row per feed and chunk) are gathered per
+A feed is cut into chunks of its files by time; chunks are streamed file by file
+on their own, and only their ends (one row per feed and chunk) are gathered per
 feed to find the steps between them, so a feed with a third of all files is
 spread over its chunks.
 """
@@ -20,12 +22,17 @@ import hashlib
 import io
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
+
 NIGHT = "calendarDate"
 CHUNK_MS = 90 * 86_400_000
 _WHOLE, _NUMBER = re.compile(r"[+-]?\d+"), re.compile(r"[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?")
@@ -107,8 +114,37 @@ def _figure(value: object) -> str:
         return str(value).lower() if str(value).lower() in ("true", "false") else str(value)
 
 
-def summarise(file_name: str | None, reader: str | None, body: str | None) -> dict:
-    """``{"reader", "fields": {name: type or None}, "nights": {name: {night: figure}}}`` of one file.
+class FileState:
+    """Reader, fields with the type each shows (None without a value), nights, and the values per field and night of one file."""
+
+    __slots__ = ("dates", "fields", "reader", "_figures", "_seen")
+
+    def __init__(self, reader: str, fields: dict[str, str | None], dates: set[str], seen: dict[str, list], figures: dict[str, dict[str, str]] | None = None) -> None:
+        self.reader, self.fields, self.dates, self._seen = reader, fields, dates, seen
+        self._figures = figures or {}
+
+    def figures(self, name: str) -> dict[str, str]:
+        """Night to figure of a field; only fields that come or go are ever asked for."""
+        got = self._figures.get(name)
+        if got is None:
+            got = self._figures[name] = {d: _figure(v) for d, v in self._seen[name]}
+        return got
+
+    def dump(self) -> str:
+        return json.dumps([self.reader, self.fields, sorted(self.dates), {n: self.figures(n) for n in self.fields}])
+
+    @staticmethod
+    def load(text: str) -> FileState:
+        reader, fields, dates, figures = json.loads(text)
+        return FileState(reader, fields, set(dates), {}, figures)
+
+    def fingerprint(self) -> str:
+        """Of the reader, the fields and their types: the same for every file of one schema."""
+        return hashlib.md5(json.dumps([self.reader, sorted(self.fields.items())]).encode()).hexdigest()
+
+
+def summarise(file_name: str | None, reader: str | None, body: str | None) -> FileState:
+    """The state of one file.
 
     The reader is told by the file name's ending, else by ``reader``. A null or
     unreadable body has no fields.
@@ -116,31 +152,32 @@ def summarise(file_name: str | None, reader: str | None, body: str | None) -> di
     ending = (file_name or "").rpartition(".")[2].lower()
     kind = ending if ending in ("json", "csv", "txt") else (reader or "json")
     names, records = (_read_json if kind == "json" else lambda b: _read_rows(b, kind))((body or "").lstrip("﻿"))
-    fields, nights = {}, {}
+    nights = [str(r.get(NIGHT)) for r in records]
+    fields, seen = {}, {}
     for n in names:
-        if n == NIGHT:
-            continue
-        seen = [(str(r.get(NIGHT)), r[n]) for r in records if n in r and not _missing(r[n], kind)]
-        fields[n] = _joint_type({_type_of(v, kind) for _, v in seen})
-        nights[n] = {d: _figure(v) for d, v in seen}
-    return {"reader": kind, "fields": fields, "nights": nights, "dates": sorted({str(r[NIGHT]) for r in records if r.get(NIGHT)})}
+        if n != NIGHT:
+            seen[n] = [(d, r[n]) for d, r in zip(nights, records) if n in r and not _missing(r[n], kind)]
+            fields[n] = _joint_type({_type_of(v, kind) for _, v in seen[n]})
+    return FileState(kind, fields, {d for d, r in zip(nights, records) if r.get(NIGHT)}, seen)
 
 
-def renames(before: dict, after: dict) -> dict[str, str]:
+def renames(before: FileState, after: FileState) -> dict[str, str]:
     """Fields that go on under another name: the same figures on the nights both files have one for.
 
     Each field goes to at most one other, the pair with most equal figures
     first; a pair without any night with both figures is none.
     """
-    common = set(before["dates"]) & set(after["dates"])
-    gone = [n for n in before["fields"] if n not in after["fields"]]
-    new = [n for n in after["fields"] if n not in before["fields"]]
-    before_at, after_at = ({n: i for i, n in enumerate(s["fields"])} for s in (before, after))
+    gone = [n for n in before.fields if n not in after.fields]
+    new = [n for n in after.fields if n not in before.fields]
+    if not gone or not new:
+        return {}
+    common = before.dates & after.dates
+    before_at, after_at = ({n: i for i, n in enumerate(s.fields)} for s in (before, after))
     pairs = []
     for a in gone:
-        x = {d: v for d, v in before["nights"][a].items() if d in common}
+        x = {d: v for d, v in before.figures(a).items() if d in common}
         for b in new:
-            y = after["nights"][b]
+            y = after.figures(b)
             both = [d for d in x if d in y]
             if both and all(x[d] == y[d] for d in both):
                 pairs.append((-len(both), -len({x[d] for d in both}), before_at[a], after_at[b], a, b))
@@ -151,7 +188,7 @@ def renames(before: dict, after: dict) -> dict[str, str]:
     return found
 
 
-def steps(before: dict, after: dict, types: dict[str, str]) -> tuple[list[tuple[str, str, str]], dict[str, str]]:
+def steps(before: FileState, after: FileState, types: dict[str, str]) -> tuple[list[tuple[str, str, str]], dict[str, str]]:
     """The changes from one file to the next, and the types known after it.
 
     ``types``: last known type per field before. A field without a value does
@@ -159,68 +196,102 @@ def steps(before: dict, after: dict, types: dict[str, str]) -> tuple[list[tuple[
     shows a type; a removed field is forgotten.
     """
     changes = []
-    if before["reader"] != after["reader"]:
-        changes.append(("reader", before["reader"], after["reader"]))
+    if before.reader != after.reader:
+        changes.append(("reader", before.reader, after.reader))
     moved = renames(before, after)
     back = {b: a for a, b in moved.items()}
     changes += [("renamed", a, b) for a, b in moved.items()]
-    changes += [("removed", n, "") for n in before["fields"] if n not in after["fields"] and n not in moved]
-    changes += [("added", "", n) for n in after["fields"] if n not in before["fields"] and n not in back]
+    changes += [("removed", n, "") for n in before.fields if n not in after.fields and n not in moved]
+    changes += [("added", "", n) for n in after.fields if n not in before.fields and n not in back]
     known = {}
-    for n, kind in after["fields"].items():
-        last = types.get(n) if n in before["fields"] else types.get(back[n]) if n in back else None
-        if kind and last and kind != last and n in before["fields"]:
+    for n, kind in after.fields.items():
+        last = types.get(n) if n in before.fields else types.get(back[n]) if n in back else None
+        if kind and last and kind != last and n in before.fields:
             changes.append(("retyped", n, n))
         if kind or last:
             known[n] = kind or last
     return changes, known
 
 
-def _summaries(files: DataFrame) -> DataFrame:
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            made = [json.dumps(summarise(*x)) for x in zip(f["file_name"], f["reader"], f["body"])]
-            yield pd.DataFrame({"feed_id": f["feed_id"], "file_id": f["file_id"], "fetched_ms": f["fetched_ms"], "summary": made})
+ROWS = "feed_id long, file_id long, fetched_ms long"
+CHANGE = "feed_id long, file_id long, change_kind string, old_field string, new_field string"
+PART = f"{CHANGE}, at long, head string, tail string, pending string, passed string, known string"
+
+
+def _schema(ddl: str) -> list[str]:
+    return [x.split()[0] for x in ddl.split(", ")]
 
-    rows = files.where(F.col("feed_id").isNotNull()).select("feed_id", "file_id", F.coalesce("fetched_ms", F.lit(0)).alias("fetched_ms"), "file_name", "reader", "body")
-    return rows.mapInPandas(run, "feed_id long, file_id long, fetched_ms long, summary string")
 
+def _ordered(files: DataFrame) -> DataFrame:
+    """Files with a feed, the chunks of feeds apart and each in order of time."""
+    rows = files.where(F.col("feed_id").isNotNull()).withColumn("fetched_ms", F.coalesce("fetched_ms", F.lit(0))).withColumn("__chunk", F.floor(F.col("fetched_ms") / CHUNK_MS))
+    return rows.repartition("feed_id", "__chunk").sortWithinPartitions("feed_id", "__chunk", "fetched_ms", "file_id")
 
-CHANGE = "feed_id long, file_id long, change_kind string, old_field string, new_field string"
-PART = f"{CHANGE}, at long, head string, tail string, pending string, passed string, known string"
+
+def _states(batch: pa.RecordBatch) -> Iterator[FileState]:
+    """The state of each file of a batch, read from its body or as it was kept."""
+    if "state" in batch.schema.names:
+        return map(FileState.load, batch.column("state").to_pylist())
+    return (summarise(*x) for x in zip(*(batch.column(c).to_pylist() for c in ("file_name", "reader", "body"))))
 
 
-def _chunk(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Changes inside a chunk, and one row with its ends.
+class _Chunk:
+    """The files of a chunk one after the other: their changes, and one row with the chunk's ends.
 
     ``pending``: fields present from the first file on without a value, with
     the first type each later shows and where; whether that is a retyping is
     known only from the chunk before. ``passed``: of those, what name each has
     at the end, still without a type. ``known``: types at the end.
     """
-    pdf = pdf.sort_values(["fetched_ms", "file_id"])
-    made = [json.loads(s) for s in pdf["summary"]]
-    ids, feed = pdf["file_id"].tolist(), int(pdf["feed_id"].iloc[0])
-    first = made[0]
-    types = {n: k for n, k in first["fields"].items() if k}
-    unknown = {n: n for n, k in first["fields"].items() if not k}  # name now -> name in the first file
-    pending, rows = [], []
-    for before, after, i in zip(made, made[1:], ids[1:]):
-        changes, known = steps(before, after, types)
+
+    def __init__(self, feed: int, file_id: int, at: int, first: FileState) -> None:
+        self.feed, self.file_id, self.at, self.first, self.last = feed, file_id, at, first.dump(), first
+        self.types = {n: k for n, k in first.fields.items() if k}
+        self.unknown = {n: n for n, k in first.fields.items() if not k}  # name now -> name in the first file
+        self.pending: list[list] = []
+
+    def take(self, file_id: int, after: FileState) -> list[tuple]:
+        changes, known = steps(self.last, after, self.types)
         moved = {a: b for kind, a, b in changes if kind == "renamed"}
         still = {}
-        for now, start in unknown.items():
-            name = now if now in after["fields"] else moved.get(now)
+        for now, start in self.unknown.items():
+            name = now if now in after.fields else moved.get(now)
             if name is None:
                 continue
-            if after["fields"][name]:
-                pending.append([start, after["fields"][name], i, name if name == now else None])
+            if after.fields[name]:
+                self.pending.append([start, after.fields[name], file_id, name if name == now else None])
             else:
                 still[name] = start
-        unknown, types = still, known
-        rows += [(feed, i, *c, None, None, None, None, None, None) for c in changes]
-    rows.append((feed, ids[0], None, None, None, int(pdf["fetched_ms"].iloc[0]), json.dumps(first), json.dumps(made[-1]), json.dumps(pending), json.dumps(unknown), json.dumps(types)))
-    return pd.DataFrame(rows, columns=[x.split()[0] for x in PART.split(", ")])
+        self.unknown, self.types, self.last = still, known, after
+        return [(self.feed, file_id, *c, None, None, None, None, None, None) for c in changes]
+
+    def ends(self) -> tuple:
+        return (self.feed, self.file_id, None, None, None, self.at, self.first, self.last.dump(), json.dumps(self.pending), json.dumps(self.unknown), json.dumps(self.types))
+
+
+def _part_batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int64() if x.endswith(" long") else pa.string() for x in PART.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], _schema(PART))
+
+
+def _changes_within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Changes and ends of every chunk of a sorted partition; no more than the file before is held."""
+    chunk, key, rows = None, None, []
+    for batch in batches:
+        feeds, ids, times, parts = (batch.column(c).to_pylist() for c in ("feed_id", "file_id", "fetched_ms", "__chunk"))
+        for feed, i, at, part, state in zip(feeds, ids, times, parts, _states(batch)):
+            if (feed, part) == key:
+                rows += chunk.take(i, state)
+            else:
+                if chunk is not None:
+                    rows.append(chunk.ends())
+                chunk, key = _Chunk(feed, i, at, state), (feed, part)
+        if len(rows) > 5_000:
+            yield _part_batch(rows)
+            rows = []
+    if chunk is not None:
+        rows.append(chunk.ends())
+        yield _part_batch(rows)
 
 
 def _ends(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -228,7 +299,7 @@ def _ends(pdf: pd.DataFrame) -> pd.DataFrame:
     pdf = pdf.sort_values(["at", "file_id"])
     rows, tail, types = [], None, {}
     for r in pdf.itertuples():
-        head, start = json.loads(r.head), {}
+        head, start = FileState.load(r.head), {}
         if tail is not None:
             changes, start = steps(tail, head, types)
             rows += [(int(r.feed_id), int(r.file_id), *c) for c in changes]
@@ -237,8 +308,8 @@ def _ends(pdf: pd.DataFrame) -> pd.DataFrame:
                 rows.append((int(r.feed_id), int(file_id), "retyped", same, same))
         types = json.loads(r.known)
         types |= {now: start[name] for now, name in json.loads(r.passed).items() if start.get(name)}
-        tail = json.loads(r.tail)
-    return pd.DataFrame(rows, columns=[x.split()[0] for x in CHANGE.split(", ")])
+        tail = FileState.load(r.tail)
+    return pd.DataFrame(rows, columns=_schema(CHANGE))
 
 
 def schema_changes(files: DataFrame) -> DataFrame:
@@ -250,152 +321,193 @@ def schema_changes(files: DataFrame) -> DataFrame:
     removed and added again. No files give no rows. The summaries' changes are
     kept as a table in the shared folder, as two results are read from it.
     """
-    from ..session import shared_dir
-
     spark = files.sparkSession
-    parts = _summaries(files).groupBy("feed_id", F.floor(F.col("fetched_ms") / CHUNK_MS)).applyInPandas(lambda pdf: _chunk(pdf), PART)
+    what = ["state"] if "state" in files.columns else ["file_name", "reader", "body"]
+    ordered = _ordered(files.select("feed_id", "file_id", "fetched_ms", *what)).select(*_schema(ROWS), "__chunk", *what)
     path = shared_dir(spark, "schema-changes")
-    parts.write.parquet(path)
+    ordered.mapInArrow(_changes_within, PART).write.parquet(path)
     kept = spark.read.schema(PART).parquet(path)
     inside = kept.where(F.col("change_kind").isNotNull()).select("feed_id", "file_id", "change_kind", "old_field", "new_field")
     between = kept.where(F.col("at").isNotNull()).groupBy("feed_id").applyInPandas(_ends, CHANGE)
     return inside.unionByName(between)
 
 
-def canonical_names(changes: DataFrame) -> dict[str, str]:
-    """Each field name to the one that stands for all names it was renamed from or to.
+def canonical_names(changes: DataFrame, states: DataFrame) -> dict[str, str]:
+    """Each renamed field to the one name for all it was renamed from or to, in any feed.
 
-    The distinct renames are pairs of *field names*, as many as schemas have
-    fields and not as files; more than 10,000 are refused.
+    Pairs are joined in order of how many files record them, but never so that
+    two names come together which stand side by side in one file: those are two
+    fields, whatever another feed calls them. Only names that take part in a
+    rename are looked at, so what comes to the driver is bounded by the number
+    of *field names* squared, not by files.
     """
-    pairs = changes.where(F.col("change_kind") == "renamed").groupBy("old_field", "new_field").agg(F.count(F.lit(1)).alias("n")).limit(10_001).collect()
-    if len(pairs) > 10_000:
-        raise ValueError("more distinct renames than field names can explain")
-    root: dict[str, str] = {}
-
-    def find(x: str) -> str:
-        while root.setdefault(x, x) != x:
-            x = root[x]
-        return x
-
-    for p in sorted(pairs, key=lambda p: (p["old_field"], p["new_field"])):
-        a, b = sorted((find(p["old_field"]), find(p["new_field"])))
-        root[b] = a
-    return {x: find(x) for x in root}
-
-
-def consistent_table(files: DataFrame, names: dict[str, str]) -> DataFrame:
-    """``(feed_id, file_id, night, field, type, figure)``: all files in one shape.
+    pairs = changes.where(F.col("change_kind") == "renamed").groupBy("old_field", "new_field").agg(F.count(F.lit(1)).alias("n")).collect()
+    names = sorted({n for p in pairs for n in (p["old_field"], p["new_field"])})
+    root = {n: {n} for n in names}
+    if not pairs:
+        return {}
+
+    def beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, seen = set(names), set()
+        for batch in batches:
+            for state in _states(batch):
+                seen.add(tuple(sorted(known.intersection(state.fields))))
+        two = sorted({(a, b) for group in seen for i, a in enumerate(group) for b in group[i + 1 :]})
+        yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in two], pa.string()) for k in (0, 1)], ["a", "b"])
+
+    apart = {(r["a"], r["b"]) for r in states.select("state").mapInArrow(beside, "a string, b string").distinct().collect()}
+    for p in sorted(pairs, key=lambda p: (-p["n"], p["old_field"], p["new_field"])):
+        x, y = root[p["old_field"]], root[p["new_field"]]
+        if x is not y and not any((min(a, b), max(a, b)) in apart for a in x for b in y):
+            x |= y
+            for n in y:
+                root[n] = x
+    return {n: min(group) for n, group in root.items()}
+
+
+def _routed(name: str, at: int, file_id: int, recorded: list) -> str:
+    """The last name of a file's field in its feed: the later renames one after the other, until it is removed."""
+    for when, i, kind, old, new in recorded:
+        if old == name and kind in ("renamed", "removed") and (when, i) > (at, file_id):
+            if kind == "removed":
+                break
+            name = new
+    return name
 
-    Each figure stands under its canonical field; a field a file lacks has no
-    row, which is null once pivoted.
-    """
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            rows = [
-                (feed, file, night, names.get(n, n), s["fields"][n], v)
-                for feed, file, s in zip(f["feed_id"], f["file_id"], map(json.loads, f["summary"]))
-                for n, by_night in s["nights"].items()
-                for night, v in by_night.items()
-            ]
-            yield pd.DataFrame(rows, columns=["feed_id", "file_id", "night", "field", "type", "figure"])
+_UNIT = re.compile(r"\s*([+-]?\d+(?:\.\d+)?)\s*(?:/\S*)?")
+NUMERIC, ARROW = ("whole number", "decimal"), {"whole number": pa.int64(), "decimal": pa.float64(), "true/false": pa.bool_(), "text": pa.string()}
+SPARK = {"whole number": "long", "decimal": "double", "true/false": "boolean", "text": "string"}
 
-    return _summaries(files).mapInPandas(run, "feed_id long, file_id long, night string, field string, type string, figure string")
 
+def declared_type(shown: Counter) -> str:
+    """One type for a field from how many files show each: what most of them show, numbers counted together; decimal if any number is; an object counts for what it holds."""
+    groups = Counter({"number": sum(shown[k] for k in NUMERIC), "true/false": shown["true/false"], "text": shown["text"]})
+    kind = max(("number", "true/false", "text"), key=lambda k: groups[k])
+    return kind if kind != "number" else "decimal" if shown["decimal"] else "whole number"
 
-def _routed(name: str, at: int, file_id: int, recorded: list[dict]) -> str:
-    """The last name of a file's field in its feed: the later renames one after the other, until it is removed."""
-    for r in recorded:
-        if (r["at"], r["file_id"]) > (at, file_id) and r["old_field"] == name:
-            if r["change_kind"] == "removed":
-                break
-            name = r["new_field"]
-    return name
 
+def cast_figure(figure: str | None, shown: str | None, kind: str) -> object:
+    """A figure of a file that shows the type ``shown`` as a value of the declared type; None if it cannot be one.
 
-def _cast(figure: str | None, shown: str | None, kind: str | None) -> str | None:
-    """A figure of a file that shows the type ``shown``, as the joint type ``kind`` writes it."""
-    if figure is None or kind == "decimal":
-        return figure
+    An object stands for its ``value``; a number may have a unit behind a slash;
+    1 and 0 are true and false; a fraction is no whole number.
+    """
+    if figure is None:
+        return None
+    if shown == "object" and kind != "text":
+        inner = json.loads(figure)
+        inner = inner.get("value") if isinstance(inner, dict) else None
+        return None if inner is None else cast_figure(_figure(inner), None, kind)
+    if kind == "text":
+        return figure[:-2] if shown == "whole number" and figure.endswith(".0") else figure
+    if kind == "true/false":
+        return {"true": True, "1.0": True, "false": False, "0.0": False}.get(figure)
+    m = _UNIT.fullmatch(figure)
     try:
-        return str(int(float(figure))) if shown == "whole number" and kind in ("whole number", "text") else figure
-    except (ValueError, OverflowError):
-        return figure
+        number = float(m.group(1)) if m else float(figure)
+    except ValueError:
+        return {"true": 1, "false": 0}.get(figure)
+    if not np.isfinite(number):
+        return None
+    return number if kind == "decimal" else int(number) if number.is_integer() else None
 
 
-def routed_table(files: DataFrame, changes: DataFrame) -> DataFrame:
-    """``(feed_id, file_id, fingerprint, night, field, type, figure, number)``: all files in one shape.
+def routed_table(files: DataFrame) -> DataFrame:
+    """All files as one wide table: ``feed_id, file_id, version, fingerprint, night``, a typed column per field, and ``uncast``.
 
     A file is routed by the version of its own feed: the renames recorded for
     that feed after it are chained, and the feed's last name leads to the name
-    all feeds have in common. Where that puts two fields of one file under one
-    name, those fields keep their feed's own last names in the whole feed. Every
-    night of a file has a row for every field of the table, null where the file
-    has no value; ``type`` is the joint type over all files (null if no file has
-    a value), ``number`` the value of numeric fields. ``fingerprint`` is that of
-    the file's own reader, fields and types. Whole numbers beyond 2^53 lose
-    digits, and numbers in a text field lose leading zeros.
+    of all feeds (``canonical_names``). Where two fields of one file would still
+    come under one name, the feed keeps its own last names for them. A field has
+    one declared type over all files; a file that lacks it has null, the
+    default. ``version`` counts the files of the feed that changed its schema up
+    to this one, ``fingerprint`` is that of the file's reader, fields and types,
+    ``uncast`` tells how many of the night's values have no form in their
+    declared type. Every file is read once; its state is kept in the shared
+    folder. Whole numbers beyond 2^53 lose digits, numbers in a text field
+    leading zeros. No files give a table without fields.
     """
-    from ..session import shared_dir
-
-    spark, names = files.sparkSession, canonical_names(changes)
-    when = files.where(F.col("feed_id").isNotNull()).select("feed_id", "file_id", F.coalesce("fetched_ms", F.lit(0)).alias("at"))
-    step = F.struct("at", "file_id", "change_kind", "old_field", "new_field")
-    recorded = changes.where(F.col("change_kind").isin("renamed", "removed")).join(when, ["feed_id", "file_id"]).groupBy("feed_id").agg(F.to_json(F.sort_array(F.collect_list(step))).alias("recorded"))
-
-    def route(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            out = []
-            for file, at, text, steps_ in zip(f["file_id"], f["fetched_ms"], f["summary"], f["recorded"]):
-                s = json.loads(text)
-                s["last"] = {n: _routed(n, at, file, json.loads(steps_ or "[]")) for n in s["fields"]}
-                out.append(json.dumps(s))
-            yield pd.DataFrame({"feed_id": f["feed_id"], "file_id": f["file_id"], "summary": out})
-
-    path, kept = shared_dir(spark, "routed-files"), "feed_id long, file_id long, summary string"
-    _summaries(files).join(F.broadcast(recorded), "feed_id", "left").mapInPandas(route, kept).write.parquet(path)
-    routed = spark.read.schema(kept).parquet(path)
-
-    def clashes(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            rows = set()
-            for feed, s in zip(f["feed_id"], map(json.loads, f["summary"])):
-                common = [names.get(x, x) for x in s["last"].values()]
-                rows |= {(feed, x) for x in common if common.count(x) > 1}
-            yield pd.DataFrame(sorted(rows), columns=["feed_id", "field"])
-
-    split = {tuple(r) for r in routed.mapInPandas(clashes, "feed_id long, field string").distinct().collect()}
-
-    def field_of(feed: int, last: str) -> str:
-        common = names.get(last, last)
-        return last if (feed, common) in split else common
-
-    def kinds(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            rows = {(field_of(feed, s["last"][n]), kind or "") for feed, s in zip(f["feed_id"], map(json.loads, f["summary"])) for n, kind in s["fields"].items()}
-            yield pd.DataFrame(sorted(rows), columns=["field", "kind"])
-
-    shown: dict[str, set[str]] = {}
-    for r in routed.mapInPandas(kinds, "field string, kind string").distinct().collect():
-        shown.setdefault(r["field"], set()).update({r["kind"]} - {""})
-    types = {n: _joint_type(k) for n, k in sorted(shown.items())}
-
-    def rows_of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            rows = []
-            for feed, file, s in zip(f["feed_id"], f["file_id"], map(json.loads, f["summary"])):
-                mark = hashlib.md5(json.dumps([s["reader"], sorted(s["fields"].items())]).encode()).hexdigest()
-                source = {field_of(feed, s["last"][n]): n for n in s["fields"]}
-                for night in sorted({*s["dates"], *(d for x in s["nights"].values() for d in x)}):
-                    for field, kind in types.items():
-                        n = source.get(field)
-                        rows.append((feed, file, mark, night, field, kind, _cast(s["nights"][n].get(night), s["fields"][n], kind) if n is not None else None))
-            yield pd.DataFrame(rows, columns=["feed_id", "file_id", "fingerprint", "night", "field", "type", "figure"])
-
-    made = routed.mapInPandas(rows_of, "feed_id long, file_id long, fingerprint string, night string, field string, type string, figure string")
-    return made.withColumn("number", F.when(F.col("type").isin("whole number", "decimal"), typed_figure(F.col("figure"))))
+    spark = files.sparkSession
+    kept, keep = shared_dir(spark, "file-states"), f"{ROWS}, state string"
 
+    def state_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in _schema(ROWS)), pa.array([s.dump() for s in _states(batch)], pa.string())], _schema(keep))
 
-def typed_figure(figure: Column) -> Column:
-    return figure.try_cast("double")
+    rows = files.where(F.col("feed_id").isNotNull()).select("feed_id", "file_id", F.coalesce("fetched_ms", F.lit(0)).alias("fetched_ms"), "file_name", "reader", "body")
+    rows.mapInArrow(state_of, keep).write.parquet(kept)
+    states = spark.read.schema(keep).parquet(kept)
+    changes = schema_changes(states)
+    names = canonical_names(changes, states)
+    at = states.select("feed_id", "file_id", F.col("fetched_ms").alias("at"))
+    # a feed's record grows with its changes, not its files; joined by size, and split by the engine where a feed is hot
+    recorded = changes.join(at, ["feed_id", "file_id"]).groupBy("feed_id").agg(F.sort_array(F.collect_list(F.struct("at", "file_id", "change_kind", "old_field", "new_field"))).alias("steps")).select("feed_id", F.to_json(F.transform("steps", lambda x: F.array(x["at"].cast("string"), x["file_id"].cast("string"), x["change_kind"], x["old_field"], x["new_field"]))).alias("recorded"))
+    path, shape = shared_dir(spark, "routed-files"), f"{keep}, version int, last string"
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        record, of = [], None
+        for batch in batches:
+            versions, last = [], []
+            for feed, i, when, state, text in zip(*(batch.column(c).to_pylist() for c in (*_schema(ROWS), "state", "recorded"))):
+                if (feed, text) != of:
+                    of, record = (feed, text), [(int(a), int(b), *rest) for a, b, *rest in json.loads(text or "[]")]
+                versions.append(len({(a, b) for a, b, *_ in record if (a, b) <= (when, i)}))
+                last.append(json.dumps({n: _routed(n, when, i, record) for n in FileState.load(state).fields}))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in _schema(keep)), pa.array(versions, pa.int32()), pa.array(last, pa.string())], _schema(shape))
+
+    states.join(recorded, "feed_id", "left").select(*_schema(keep), "recorded").mapInArrow(route, shape).write.parquet(path)
+    routed = spark.read.schema(shape).parquet(path)
+
+    def shown(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        clash, seen = set(), Counter()
+        for batch in batches:
+            for feed, text, last in zip(*(batch.column(c).to_pylist() for c in ("feed_id", "state", "last"))):
+                fields, last = FileState.load(text).fields, json.loads(last)
+                common = Counter(names.get(x, x) for x in last.values())
+                clash |= {(feed, x) for x, n in common.items() if n > 1}
+                for n, kind in fields.items():
+                    seen[last[n], kind or ""] += 1
+        out = [(None, n, k, c) for (n, k), c in seen.items()] + [(f, x, None, None) for f, x in clash]
+        cols = list(zip(*out)) or [()] * 4
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.string(), pa.string(), pa.int64()))], ["feed_id", "field", "kind", "n"])
+
+    told = routed.select("feed_id", "state", "last").mapInArrow(shown, "feed_id long, field string, kind string, n long").groupBy("feed_id", "field", "kind").agg(F.sum("n").alias("n")).collect()
+    split = {(r["feed_id"], r["field"]) for r in told if r["kind"] is None}
+    parted = {field for _, field in split}
+    counted: dict[str, Counter] = {}
+    for r in told:
+        if r["kind"] is not None:
+            common = names.get(r["field"], r["field"])
+            for name in {common, r["field"]} if common in parted else {common}:
+                counted.setdefault(name, Counter())[r["kind"]] += r["n"]
+    types = {n: declared_type(c) for n, c in sorted(counted.items())}
+    order = {n.lower(): n for n in types}
+    column = {n: n if order[n.lower()] == n and n.lower() not in ("feed_id", "file_id", "version", "fingerprint", "night", "uncast") else f"{n}_{k}" for k, n in enumerate(types)}
+
+    def wide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            head: list[tuple] = []
+            values: dict[str, list] = {n: [] for n in types}
+            for feed, i, version, text, last in zip(*(batch.column(c).to_pylist() for c in ("feed_id", "file_id", "version", "state", "last"))):
+                state, last = FileState.load(text), json.loads(last)
+                mark, source = state.fingerprint(), {}
+                for n in state.fields:
+                    common = names.get(last[n], last[n])
+                    source[last[n] if (feed, common) in split else common] = n
+                nights = sorted({*state.dates, *(d for n in state.fields for d in state.figures(n))})
+                lost = dict.fromkeys(nights, 0)
+                for field, kind in types.items():
+                    n = source.get(field)
+                    figures = state.figures(n) if n is not None else {}
+                    for d in nights:
+                        v = cast_figure(figures.get(d), state.fields.get(n), kind) if figures else None
+                        lost[d] += v is None and d in figures
+                        values[field].append(v)
+                head += [(feed, i, version, mark, d, lost[d]) for d in nights]
+            cols = list(zip(*head)) or [()] * 6
+            arrays = [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.string(), pa.int32()))]
+            yield pa.RecordBatch.from_arrays([*arrays[:5], *(pa.array(values[n], ARROW[k]) for n, k in types.items()), arrays[5]], ["feed_id", "file_id", "version", "fingerprint", "night", *column.values(), "uncast"])
+
+    ddl = ["feed_id long", "file_id long", "version int", "fingerprint string", "night string", *(f"`{column[n]}` {SPARK[k]}" for n, k in types.items()), "uncast int"]
+    return routed.select("feed_id", "file_id", "version", "state", "last").mapInArrow(wide, ", ".join(ddl))

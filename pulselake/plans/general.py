@@ -174,8 +174,7 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p6_table(spark: SparkSession, d: str) -> DataFrame:
     """All export files read into one consistent table: each by its feed's version, with defaults and one type per field."""
-    files = table(spark, d, "capture_files")
-    return drift.routed_table(files, drift.schema_changes(files))
+    return drift.routed_table(table(spark, d, "capture_files"))
 
 
 def sleep_intervals(spark: SparkSession, d: str) -> DataFrame:
