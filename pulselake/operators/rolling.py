@@ -1,20 +1,20 @@
 """Problem 2: totals over trailing periods, days without activity included.
 
-Every entity's days are cut into calendar months; a month's chunk carries the
-days before it that its windows still reach, so chunks do not depend on each
-other and an entity with a third of all rows is spread over its months. Within
-a sorted partition a two-stack queue keeps each active window: pushing and
-dropping a day cost a constant number of combinations however long the window
-is, and only ``combine`` is needed, so maxima work as well as sums.
+Of every entity and day one row is left, so an entity has at most 366 rows a
+year however many rows it came with. A year is a chunk; it carries the days of
+the year before that its windows still reach, so chunks do not depend on each
+other. Within a chunk a two-stack queue keeps each active window: only
+``combine`` is needed, so maxima work as well as sums. ``TwoStackQueue`` is the
+queue for any monoid, item by item; ``trailing`` is the same queue turned over
+every ``w`` items, its stacks filled by array operations.
 """
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,49 +51,24 @@ class TwoStackQueue:
         return self.combine(self.front[-1], self.back_total) if self.front else self.back_total
 
 
-def _add(a: float, b: float) -> float:
-    return a + b
+COMBINERS: dict[str, tuple[np.ufunc, float]] = {"sum": (np.add, 0.0), "max": (np.maximum, float("-inf")), "min": (np.minimum, float("inf"))}
 
 
-COMBINERS: dict[str, tuple[Callable, float]] = {"sum": (_add, 0.0), "max": (max, float("-inf")), "min": (min, float("inf"))}
+def trailing(values: np.ndarray, w: int, first: int, how: str = "sum") -> np.ndarray:
+    """The combination of ``values`` over each window of ``w`` that ends at index ``first`` or later.
 
-
-def trailing(days: np.ndarray, windows: list[int], first: int, last: int, how: str = "sum") -> dict[int, list[float]]:
-    """The combination of ``days`` over each window ending on days ``first`` to ``last`` (indexes)."""
+    The queue is turned over at every multiple of ``w``: the front stack holds
+    the combinations from an item to the end of its block, the back stack those
+    from the begin of the block to an item, and a window is one of each.
+    """
     combine, identity = COMBINERS[how]
-    out: dict[int, list[float]] = {w: [] for w in windows}
-    values = days.tolist()
-    for w in windows:
-        queue, size, got = TwoStackQueue(combine, identity), 0, out[w]
-        for i in range(max(0, first - w + 1), last + 1):
-            queue.push(values[i])
-            size += 1
-            if size > w:
-                queue.pop()
-                size -= 1
-            if i >= first:
-                got.append(queue.total())
-    return out
-
-
-def _chunks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The rows of one (entity, month) at a time from sorted frames, however the frames are cut."""
-    held: list[pd.DataFrame] = []
-    key = None
-    for frame in frames:
-        if not len(frame):
-            continue
-        e, m = frame["entity"].to_numpy(), frame["month"].to_numpy()
-        cuts = np.flatnonzero((e[1:] != e[:-1]) | (m[1:] != m[:-1])) + 1
-        for a, b in zip([0, *cuts], [*cuts, len(frame)]):
-            now = (e[a], m[a])
-            if key is not None and now != key:
-                yield pd.concat(held) if len(held) > 1 else held[0]
-                held = []
-            key = now
-            held.append(frame.iloc[a:b])
-    if held:
-        yield pd.concat(held) if len(held) > 1 else held[0]
+    n = len(values)
+    padded = np.concatenate([np.full(w - 1, identity), values, np.full(-(n + w - 1) % w, identity)]).reshape(-1, w)
+    front = combine.accumulate(padded[:, ::-1], axis=1)[:, ::-1].ravel()
+    back = combine.accumulate(padded, axis=1).ravel()
+    at = np.arange(first, n)  # begin of the window in the padded row
+    whole = at % w == 0
+    return np.where(whole, back[at + w - 1], combine(front[at], back[at + w - 1]))
 
 
 def rolling_totals(df: DataFrame, entity: str, day: str, values: list[str], windows: list[int], latest_by: list[Column], how: str = "sum") -> DataFrame:
@@ -105,55 +80,68 @@ def rolling_totals(df: DataFrame, entity: str, day: str, values: list[str], wind
     days add nothing. The average is the total over the days of the window that
     lie within the entity's span. Rows with a null entity or day have no place
     and are left out; no rows give no rows. For ``max`` or ``min`` a window
-    without values is null.
+    without values is null. A window reaches back a year at most.
     """
     reach = max(windows)
+    if reach > 365:
+        raise ValueError("a window reaches back a year at most")
+    number = F.unix_date(F.col("day"))
     days = (
         df.where(F.col(entity).isNotNull() & F.col(day).isNotNull())
-        .groupBy(F.col(entity).alias("entity"), F.col(day).alias("day"))
+        .groupBy(F.col(entity).alias("entity"), F.col(day).cast("date").alias("day"))
         .agg(F.max_by(F.struct(*[F.col(v).cast("double").alias(v) for v in values]), F.struct(*latest_by)).alias("__v"))
     )
-    spans = df.where(F.col(entity).isNotNull()).groupBy(F.col(entity).alias("entity")).agg(F.min(day).alias("__first"), F.max(day).alias("__last"))
-    months = F.sequence(F.trunc("day", "MM"), F.trunc(F.least(F.date_add("day", reach - 1), F.col("__last")), "MM"), F.expr("interval 1 month"))
-    rows = days.join(spans, "entity").select("entity", F.explode(months).alias("month"), "day", "__first", "__last", *[F.col(f"__v.{v}").alias(v) for v in values])
-    filled = (  # a month without any row near it still has its days
-        spans.select("entity", F.explode(F.sequence(F.trunc("__first", "MM"), F.trunc("__last", "MM"), F.expr("interval 1 month"))).alias("month"), F.lit(None).cast("date").alias("day"), "__first", "__last", *[F.lit(None).cast("double").alias(v) for v in values])
-    )
-    chunks = rows.unionByName(filled).repartition("entity", "month").sortWithinPartitions("entity", "month")
+    held = F.collect_list(F.struct(number.alias("day"), *[F.col(f"__v.{v}").alias(v) for v in values])).alias("held")
+    years = days.groupBy("entity", F.year("day").alias("year")).agg(held, F.min(number).alias("lo"), F.max(number).alias("hi"))
+    by, whole = Window.partitionBy("entity").orderBy("year"), Window.partitionBy("entity")
+    none = F.array().cast(dict(years.dtypes)["held"])
+    spanned = years.select("entity", "year", "held", F.lead("year").over(by).alias("__next"), F.min("lo").over(whole).alias("first"), F.max("hi").over(whole).alias("last"), F.lag("year").over(by).alias("__before"), F.lag("held").over(by).alias("__old"))
+    # a year without any row between two others still has its days
+    filled = spanned.select("entity", F.explode(F.sequence("year", F.greatest(F.col("year"), F.coalesce(F.col("__next") - 1, F.col("year"))))).alias("chunk"), "year", "held", "first", "last", "__before", "__old")
+    tail = lambda rows: F.filter(rows, lambda r: r["day"] > F.unix_date(F.make_date(F.col("chunk"), F.lit(1), F.lit(1))) - reach)
+    own = F.col("chunk") == F.col("year")
+    inside = F.when(own, F.concat(F.when(F.col("__before") == F.col("year") - 1, tail(F.col("__old"))).otherwise(none), F.col("held"))).when(F.col("chunk") == F.col("year") + 1, tail(F.col("held"))).otherwise(none)
+    begin = F.greatest(F.unix_date(F.make_date(F.col("chunk"), F.lit(1), F.lit(1))), F.col("first"))
+    end = F.least(F.unix_date(F.make_date(F.col("chunk"), F.lit(12), F.lit(31))), F.col("last"))
+    chunks = filled.select("entity", begin.alias("begin"), end.alias("end"), "first", inside.alias("held"))
     names = [f"{v}_{w}_{x}" for v in values for w in windows for x in ("total", "avg")]
     kind = dict(df.dtypes)[entity]
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        got: list[pd.DataFrame] = []
-        _, identity = COMBINERS[how]
-        for chunk in _chunks(frames):
-            month, first, last = chunk["month"].iloc[0], chunk["__first"].iloc[0], chunk["__last"].iloc[0]
-            after = (month.replace(day=28) + dt.timedelta(days=4)).replace(day=1)
-            begin, end = max(month, first), min(after - dt.timedelta(days=1), last)
-            start = begin - dt.timedelta(days=reach - 1)
-            n = (end - start).days + 1
-            at = chunk["day"].notna().to_numpy()
-            index = np.array([(d - start).days for d in chunk["day"].to_numpy()[at]], np.int64)
-            inside = (index >= 0) & (index < n)
-            out = {"entity": chunk["entity"].iloc[0], "day": [begin + dt.timedelta(days=i) for i in range((end - begin).days + 1)], "month": month}
-            known = np.arange((begin - first).days + 1, (end - first).days + 2)
-            for v in values:
-                dense = np.full(n, identity)
-                x = chunk[v].to_numpy(dtype=float)[at][inside]
-                real = ~np.isnan(x)
-                dense[index[inside][real]] = x[real]
-                for w, totals in trailing(dense, windows, reach - 1, n - 1, how).items():
-                    t = np.array(totals, float)
-                    out[f"{v}_{w}_total"] = np.where(np.isinf(t), np.nan, t)
-                    out[f"{v}_{w}_avg"] = out[f"{v}_{w}_total"] / (np.minimum(known, w) if how == "sum" else 1)
-            got.append(pd.DataFrame(out))
-            if len(got) >= 200:
-                yield pd.concat(got)
-                got = []
-        if got:
-            yield pd.concat(got)
-
-    return chunks.mapInPandas(run, f"entity {kind}, day date, month date, " + ", ".join(f"{n} double" for n in names))
+    _, identity = COMBINERS[how]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            begin, end, first = (batch.column(c).to_numpy() for c in ("begin", "end", "first"))
+            lists = batch.column("held")
+            offsets, rows = lists.offsets.to_numpy(), lists.values
+            at = rows.field("day").to_numpy()
+            given = {v: rows.field(v).to_numpy(zero_copy_only=False) for v in values}
+            made: dict[str, list[np.ndarray]] = {n: [] for n in names}
+            span, out_days = end - begin + 1, []
+            for k in range(len(begin)):
+                a, b, start = offsets[k], offsets[k + 1], begin[k] - reach + 1
+                index = at[a:b] - start
+                here = np.arange(begin[k], end[k] + 1)
+                out_days.append(here)
+                known = here - first[k] + 1
+                for v in values:
+                    x = given[v][a:b]
+                    real = ~np.isnan(x)
+                    dense = np.full(end[k] - start + 1, identity)
+                    dense[index[real]] = x[real]
+                    for w in windows:
+                        t = trailing(dense, w, reach - 1, how)
+                        if how != "sum":
+                            t[np.isinf(t)] = np.nan
+                        made[f"{v}_{w}_total"].append(t)
+                        made[f"{v}_{w}_avg"].append(t / np.minimum(known, w) if how == "sum" else t)
+            if not out_days:
+                continue
+            day_of = pa.array(np.concatenate(out_days).astype(np.int32)).cast(pa.date32())
+            entity_of = batch.column("entity").take(pa.array(np.repeat(np.arange(len(begin)), span)))
+            yield pa.RecordBatch.from_arrays([entity_of, day_of, *(pa.array(np.concatenate(made[n]), from_pandas=True) for n in names)], ["entity", "day", *names])
+
+    made = chunks.mapInArrow(run, f"entity {kind}, day date, " + ", ".join(f"{n} double" for n in names))
+    return made.select("entity", "day", F.trunc("day", "MM").alias("month"), *names)
 
 
 def greatest_days(totals: DataFrame, values: list[str], windows: list[int]) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import operator
 import random
 
 import numpy as np
@@ -63,7 +64,14 @@ def test_zone_history(spark):
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(-5, 9), min_size=1, max_size=40), st.integers(1, 9), st.sampled_from(["sum", "max", "min"]))
 def test_two_stack_queue(values, window, how):
-    got = rolling.trailing(np.array(values, float), [window], 0, len(values) - 1, how)[window]
+    got = rolling.trailing(np.array(values, float), window, 0, how).tolist()
+    queue, seen = rolling.TwoStackQueue({"sum": operator.add, "max": max, "min": min}[how], rolling.COMBINERS[how][1]), []
+    for i, v in enumerate(values):
+        queue.push(v)
+        if i >= window:
+            queue.pop()
+        seen.append(queue.total())
+    assert seen == got
     fold = {"sum": sum, "max": max, "min": min}[how]
     assert got == [fold(values[max(0, i - window + 1) : i + 1]) for i in range(len(values))]
 
