@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,3 +31,26 @@ def apart(c: Column) -> Column:
     into small methods.
     """
     return F.get(F.transform(F.array(c), lambda x: x), F.lit(0))
+
+
+def key_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The rows of one key at a time from batches sorted by integer keys, however the batches are cut; no more than one group is held."""
+    held: list[pa.RecordBatch] = []
+    current: tuple | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cols = [batch.column(k).to_numpy() for k in keys]
+        new = np.zeros(batch.num_rows, bool)
+        for c in cols:
+            new[1:] |= c[1:] != c[:-1]
+        starts = [0, *np.flatnonzero(new).tolist(), batch.num_rows]
+        for a, b in zip(starts[:-1], starts[1:]):
+            key = tuple(c[a] for c in cols)
+            if current is not None and key != current:
+                yield pa.Table.from_batches(held)
+                held = []
+            current = key
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held)

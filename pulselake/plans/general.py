@@ -116,9 +116,9 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
 WEATHER_LIMITS = {
     # Physical bounds: no global radiation below zero or above the sun's own; no ground colder or hotter than ever measured; a share of volume.
-    "solar_rad_wm2": outliers.Limits(0.0, 1500.0, fence=(70.0, 0.2), idle=0.0),
-    "surface_temp_max_c": outliers.Limits(-75.0, 85.0, jump=13.0),
-    "soil_moisture_5": outliers.Limits(0.0, 1.0, jump=0.05),
+    "solar_rad_wm2": outliers.Limits(0.0, 1500.0, fence=(0.2, 0.15), idle=0.0),
+    "surface_temp_max_c": outliers.Limits(-75.0, 85.0, excursions=True),
+    "soil_moisture_5": outliers.Limits(0.0, 1.0, excursions=True),
 }
 
 

@@ -239,7 +239,7 @@ def test_chunking_of_feeds_changes_nothing(spark):
     assert sorted(tuple(r) for r in drift.schema_changes(files).collect()) == sorted(made)
 
 
-LIM = {"t": outliers.Limits(-75.0, 85.0, jump=13.0), "r": outliers.Limits(0.0, 1500.0, fence=(70.0, 0.2), idle=0.0)}
+LIM = {"t": outliers.Limits(-75.0, 85.0, excursions=True), "r": outliers.Limits(0.0, 1500.0, fence=(0.2, 0.15), idle=0.0)}
 
 
 def test_false_readings(spark):
@@ -267,10 +267,20 @@ def test_false_readings(spark):
     got = {tuple(r) for r in outliers.find_false_readings(df, LIM).collect()}
     assert got == want
     assert outliers.find_false_readings(df.limit(0), LIM).count() == 0
+    scaled = df.withColumns({"t": F.col("t") * 9 / 5 + 32, "r": F.col("r") * 3})  # limits go with the source, not with a unit
+    other = {"t": outliers.Limits(-103.0, 185.0, excursions=True), "r": outliers.Limits(0.0, 4500.0, fence=(0.2, 0.15), idle=0.0)}
+    assert {tuple(r) for r in outliers.find_false_readings(scaled, other).collect()} == want
+
+
+def test_a_sensor_stuck_for_months(spark):
+    rows = [(h, 7, 24 * 19_000 + h, 20.0 + (h * 7) % 11 if h < 1000 or h >= 5000 else 4.5, 0.0) for h in range(6000)]
+    df = spark.createDataFrame(rows, "row_id long, source long, hour long, t double, r double")
+    assert {r["row_id"] for r in outliers.find_false_readings(df, LIM).collect()} == set(range(1000, 5000))
 
 
 def test_coarse_resolution_is_no_standstill():
     v = np.repeat(np.arange(60) % 7 * 0.005, 7)
-    assert not outliers.standstills(v, None).any()
+    assert not outliers.standstills(v, None, True).any()
     stuck = np.concatenate((v, np.full(60, 0.9), v))
-    assert outliers.standstills(stuck, None).sum() == 60
+    assert outliers.standstills(stuck, None, True).sum() == 60
+    assert outliers.standstills(np.full(900, 0.3), None, True).all() and not outliers.standstills(np.full(900, 0.3), None, False).any()
