@@ -54,3 +54,25 @@ def key_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[p
             held.append(batch.slice(a, b - a))
     if held:
         yield pa.Table.from_batches(held)
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], rows: int = 200_000) -> Iterator[pa.Table]:
+    """Sorted batches as tables of about so many rows (or one larger group) that never cut a group of equal integer keys."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size < rows:
+            continue
+        table = pa.Table.from_batches(held)
+        cols = [table.column(k).to_numpy() for k in keys]
+        last = np.flatnonzero(np.logical_or.reduce([c[1:] != c[:-1] for c in cols]))
+        if not len(last):
+            continue  # one group so far
+        cut = int(last[-1]) + 1
+        yield table.slice(0, cut)
+        held = table.slice(cut).combine_chunks().to_batches()
+        size = table.num_rows - cut
+    if size:
+        yield pa.Table.from_batches(held)

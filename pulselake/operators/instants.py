@@ -80,12 +80,14 @@ def normalise_instants(df: DataFrame, row_id: str, text: str, field_name: str, m
     return where_computed(at, F.col("__i").isNotNull()).select(F.lit(field_name).alias("field_name"), "row_id", iso_instant(F.col("__i")).alias("norm"))
 
 
-def count_zone_violations(df: DataFrame, entity: str, period: Column, candidates: DataFrame, violation: Column) -> DataFrame:
+def count_zone_violations(df: DataFrame, entity: str, period: Column, candidates: DataFrame, violation: Column, weight: Column | None = None) -> DataFrame:
     """``(entity, period, zone, seen, bad)``: evidence against each candidate zone.
 
     ``candidates`` has one column ``zone`` and a few dozen rows (a list of zone
     names, not data). ``violation`` may refer to ``zone``; null is no evidence.
+    ``weight``: how many rows a row of ``df`` stands for.
     """
+    weight = F.lit(1) if weight is None else weight
     zones = [r["zone"] for r in candidates.limit(601).collect()]
     if len(zones) > 600:
         raise ValueError("candidate zones are a list of zone names; more than 600 cannot be")
@@ -94,7 +96,7 @@ def count_zone_violations(df: DataFrame, entity: str, period: Column, candidates
         rows.withColumn("__bad", violation)
         .where(F.col("__bad").isNotNull() & F.col(entity).isNotNull() & F.col("__period").isNotNull())
         .groupBy(F.col(entity).alias("entity"), F.col("__period").alias("period"), "zone")
-        .agg(F.count(F.lit(1)).alias("seen"), F.sum(F.col("__bad").cast("double")).alias("bad"))
+        .agg(F.sum(weight).cast("long").alias("seen"), F.sum(F.col("__bad").cast("double") * weight).alias("bad"))
     )
 
 

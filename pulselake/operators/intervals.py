@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.planning import whole_groups
 from ..session import shared_dir
 
 BUCKET_MS = 32 * 86_400_000  # below 2**32, which merge_lists relies on
@@ -49,8 +50,7 @@ def merge_lists(entity: np.ndarray, bucket: np.ndarray, begin: np.ndarray, finis
     return entity[first], bucket[first], begin[first], np.maximum.reduceat(finish, first), np.minimum.reduceat(kind, first)
 
 
-def _arrays(batches: list[pa.RecordBatch]) -> list[np.ndarray]:
-    t = pa.Table.from_batches(batches)
+def _arrays(t: pa.Table) -> list[np.ndarray]:
     return [t.column(c).to_numpy() for c in ("entity", "bucket", "begin_ms", "finish_ms")] + [t.column("only_kind").to_numpy(zero_copy_only=False).astype(np.int8)]
 
 
@@ -59,7 +59,7 @@ def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: list[pa.RecordBatch] = []
 
     def merged(held: list[pa.RecordBatch]) -> pa.RecordBatch:
-        e, b, s, f, k = merge_lists(*_arrays(held))
+        e, b, s, f, k = merge_lists(*_arrays(pa.Table.from_batches(held)))
         return pa.RecordBatch.from_arrays([pa.array(e), pa.array(b), pa.array(s), pa.array(f), pa.array(k.astype(bool))], ["entity", "bucket", "begin_ms", "finish_ms", "only_kind"])
 
     for batch in batches:
@@ -72,11 +72,12 @@ def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _bucket_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Level 1: one merged list per entity and bucket, as periods, gaps, open pieces and a summary."""
-    held = list(batches)
-    if not held:
-        return
-    e, b, s, f, k = merge_lists(*_arrays(held))
+    """Level 1: one merged list per entity and bucket, as periods, gaps, open pieces and a summary; sorted partitions are streamed some groups at a time."""
+    for groups in whole_groups(batches, ["entity", "bucket"]):
+        yield from _parts_of(*merge_lists(*_arrays(groups)))
+
+
+def _parts_of(e: np.ndarray, b: np.ndarray, s: np.ndarray, f: np.ndarray, k: np.ndarray) -> Iterator[pa.RecordBatch]:
     n = len(e)
     if not n:
         return
@@ -116,7 +117,7 @@ def periods_and_gaps(intervals: DataFrame, kind_name: str, other_name: str) -> D
         F.least("finish_ms", (F.col("bucket") + 1) * BUCKET_MS).alias("finish_ms"),
         "only_kind",
     )
-    lists = pieces.mapInArrow(_combine, PIECE).repartition("entity", "bucket").mapInArrow(_bucket_parts, PART)
+    lists = pieces.mapInArrow(_combine, PIECE).repartition("entity", "bucket").sortWithinPartitions("entity", "bucket").mapInArrow(_bucket_parts, PART)
     path = shared_dir(spark, "intervals")
     lists.write.parquet(path)
     parts = spark.read.schema(PART).parquet(path)

@@ -60,17 +60,20 @@ def logger_zone_history(spark: SparkSession, d: str, rows: DataFrame) -> DataFra
     """The zone of each logger's clock per month, from rows that have both an instant and a plain local day.
 
     ``rows`` has ``logger_no, obs_ts_utc, obs_date_local, obs_seq, fetched_ms``.
-    A zone is violated where it puts a known instant on another day or at
-    another place in the day's sequence of hours than the logger wrote (on the
-    two days a year the clock changes the true zone is too), or where the row
-    would have been fetched before it was observed.
+    A row tells an offset: from its instant to the hour its local day and place
+    in it make. Rows are counted per logger, month, UTC day and offset before
+    any zone is tried, and a zone is violated by those it puts into another hour
+    of that day (on the two days a year the clock changes the true zone is too),
+    and by rows fetched before they were observed.
     """
     zones = table(spark, d, "stations").select(valid_zone(F.col("tz_name")).alias("zone")).where(F.col("zone").isNotNull()).distinct()
-    known = rows.where(F.col("obs_ts_utc").isNotNull() & F.col("obs_date_local").rlike(instants.NORMAL_DAY)).withColumn("__day", F.col("obs_date_local").try_cast("date"))
-    shown = F.convert_timezone(F.lit("UTC"), F.col("zone"), F.col("obs_ts_utc"))
-    misplaced = (F.to_date(shown) != F.col("__day")) | F.coalesce(F.hour(shown) != F.col("obs_seq"), F.lit(False))
+    known = rows.where(F.col("obs_ts_utc").isNotNull() & F.col("obs_seq").isNotNull() & F.col("obs_date_local").rlike(instants.NORMAL_DAY)).withColumn("__day", F.col("obs_date_local").try_cast("date")).where(F.col("__day").isNotNull())
+    shift = F.timestamp_diff("MINUTE", F.col("obs_ts_utc"), F.col("__day").cast("timestamp_ntz")) + F.col("obs_seq") * 60
     early = F.coalesce(millis_of_ntz(F.col("obs_ts_utc")) > F.col("fetched_ms"), F.lit(False))
-    evidence = instants.count_zone_violations(known, "logger_no", ingestion_month(), zones, misplaced | early)
+    counted = known.groupBy("logger_no", ingestion_month().alias("__month"), F.to_date("obs_ts_utc").alias("__on"), F.when(~early, shift).alias("__shift")).agg(F.count(F.lit(1)).alias("__n"))
+    noon = F.col("__on").cast("timestamp_ntz") + F.expr("INTERVAL 12 HOUR")
+    has = F.timestamp_diff("MINUTE", noon, F.convert_timezone(F.lit("UTC"), F.col("zone"), noon))
+    evidence = instants.count_zone_violations(counted, "logger_no", F.col("__month"), zones, ~F.coalesce((has - F.col("__shift")).between(0, 59), F.lit(False)), F.col("__n"))
     return instants.estimate_zone_history(evidence)
 
 
@@ -162,8 +165,7 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     weather = weather.select("row_id", "fetched_ms", "batch_id", *message_index.identity_hashes(station, F.col("logger_no"), F.datediff("__day", F.lit("2000-01-01").cast("date")), F.col("obs_seq")))
     found = []
     for name, messages in (("silver_sleep_whoop", sleep), ("silver_weather", weather)):
-        rows = table(spark, d, name).count()
-        found.append(message_index.surplus_deliveries(messages, name, "batch_id", rows=rows).select(F.lit(name).alias("table_name"), "row_id"))
+        found.append(message_index.surplus_deliveries(messages, name, "batch_id").select(F.lit(name).alias("table_name"), "row_id"))
     return found[0].unionByName(found[1])
 
 

@@ -11,6 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from pulselake.plans import general
 from pulselake.operators import drift, instants, intervals, message_index, outliers, rolling, shredding
 
 US, UK = "en-US", "en-GB"
@@ -61,6 +62,16 @@ def test_zone_history(spark):
     assert instants.best_history(np.array([[0.0, 1], [1, 0], [0, 1]]), 3.0) == [0, 0, 0]
 
 
+def test_estimated_zones_against_the_stations(spark):
+    """The estimate knows no station: it must still show the station's own offset for nearly all rows and logger-months."""
+    d = "/root/testdata/sf0.1"
+    loggers = general.weather_with_station(spark, d, "logger_no").where("__tz IS NOT NULL").groupBy("logger_no").agg(F.mode("__tz").alias("tz"))
+    noon = F.make_timestamp_ntz(F.floor(F.col("month_no") / 12).cast("int") + 1970, F.col("month_no").cast("int") % 12 + 1, F.lit(15), F.lit(12), F.lit(0), F.lit(0))
+    same = F.coalesce(F.convert_timezone(F.lit("UTC"), F.col("zone"), noon) == F.convert_timezone(F.lit("UTC"), F.col("tz"), noon), F.lit(False))
+    r = general.p1_zone_history(spark, d).join(loggers, "logger_no").agg(F.avg(same.cast("int")).alias("months"), (F.sum(F.when(same, F.col("seen"))) / F.sum("seen")).alias("rows")).first()
+    assert r["rows"] >= 0.99 and r["months"] >= 0.95, r
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(-5, 9), min_size=1, max_size=40), st.integers(1, 9), st.sampled_from(["sum", "max", "min"]))
 def test_two_stack_queue(values, window, how):
@@ -118,7 +129,7 @@ def test_intervals(spark):
     assert intervals.periods_and_gaps(df.limit(0), "nap", "sleep").count() == 0
 
 
-@pytest.mark.parametrize("batches", [1, 3])
+@pytest.mark.parametrize("batches", [1, 3, 6])
 def test_message_index(spark, batches):
     rnd = random.Random(batches)
     rows = [(i, rnd.choice(["hot"] * 3 + [f"id{rnd.randrange(40)}"] * 5 + [None]), rnd.choice([rnd.randrange(50), None]), rnd.randrange(90)) for i in range(700)]
