@@ -40,6 +40,7 @@ class Repeated:
     """A repeated group; ``places`` as for leaves, ``""`` being the parent value itself.
 
     ``keyed``: an object without any of ``marks`` is a map of children by key.
+    ``key``: the leaf that names a row of the flat table; its position without one.
     """
 
     name: str
@@ -48,6 +49,7 @@ class Repeated:
     groups: tuple[Repeated, ...] = ()
     keyed: bool = False
     marks: tuple[str, ...] = ()
+    key: str | None = None
 
 
 @dataclass
@@ -180,67 +182,70 @@ SLEEP_PAGE = Repeated(
     (Leaf("id", ("id",)), Leaf("performance", ("score.sleep_performance_percentage", "score.performance.percentage")), Leaf("start", ("start",)), Leaf("nap", ("nap",))),
     (Repeated("segment", ("score.stage_summary.segments",), (Leaf("stage", ("stage",)), Leaf("milli", ("milli",))), marks=("stage", "milli")),),
     marks=("id", "start", "score"),
+    key="id",
 )
 TRAINING_STATUS = Repeated(
     "device",
     ("mostRecentTrainingStatus.latestTrainingStatusData", "latestTrainingStatusData"),
     (Leaf("device_id", ("deviceId", KEY)), Leaf("training_status", ("trainingStatus",)), Leaf("weekly_load", ("weeklyTrainingLoad",))),
-    (Repeated("load_day", ("acuteTrainingLoadDTO.loadDays", "loadDays"), (Leaf("calendar_date", ("calendarDate",)), Leaf("load", ("load",))), marks=("calendarDate", "load")),),
+    (Repeated("load_day", ("acuteTrainingLoadDTO.loadDays", "loadDays"), (Leaf("calendar_date", ("calendarDate",)), Leaf("load", ("load",))), marks=("calendarDate", "load"), key="calendar_date"),),
     keyed=True,
     marks=("deviceId", "trainingStatus", "loadDays", "acuteTrainingLoadDTO", "calendarDate"),
+    key="device_id",
 )
 
 LINK = "payload_id long, link_kind string, parent_key string, child_key string"
 ROW = "payload_id long, table_name string, parent_key string, position int, row_key string, fields map<string,string>"
 
 
-def _flat_tables(ids: list[int], bodies: list[str | None], root: Repeated) -> tuple[dict, dict, list[int]]:
-    shred = Shredder(root)
-    kept = []
+def _rows_of(ids: list[int], bodies: list[str | None], root: Repeated) -> Iterator[tuple]:
+    """Rows of the flat tables of every repeated group, of any depth, as (payload, table, parent key, position, key, leaves).
+
+    A row whose own key is null, and all below it, do not count.
+    """
+    shred, kept = Shredder(root), []
     for i, body in zip(ids, bodies):
         value = read_json(body)
         if isinstance(value, (dict, list)):
             shred.add(value)
             kept.append(i)
-    top = assemble(shred.columns, (root.name,))
-    below = assemble(shred.columns, (root.name, root.groups[0].name))
-    return top, below, kept
-
-
-def _rows_of(ids: list[int], bodies: list[str | None], root: Repeated, key: str, child_key: str | None) -> Iterator[tuple]:
-    """Rows of the two flat tables as (payload, table, parent key, position, key, leaves)."""
-    top, below, kept = _flat_tables(ids, bodies, root)
-    names = [x.name for x in root.leaves]
-    inner = [x.name for x in root.groups[0].leaves]
-    for k in range(len(top.get("record", ()))):
-        if top[key][k] is not None:
-            p = kept[top["record"][k]]
-            yield p, root.name, str(p), int(top["position"][k]), _text(top[key][k]), {n: top[n][k] for n in names}
-    for k in range(len(below.get("record", ()))):
-        owner = top[key][below["parent"][k]]
-        own = str(below["position"][k]) if child_key is None else below[child_key][k]
-        if owner is not None and own is not None:
-            yield kept[below["record"][k]], root.groups[0].name, _text(owner), int(below["position"][k]), _text(own), {n: below[n][k] for n in inner}
-
-
-def flat_rows(payloads: DataFrame) -> DataFrame:
-    """Rows of all four flat tables, each naming its parent.
-
-    ``payloads`` has ``payload_id``, ``collection_name`` and ``body``. Payloads
-    that are null, cut off or not JSON give no rows; records without id, and all
-    below them, do not count; neither do devices without id or daily loads
-    without a date. Equal rows of one payload stay (they differ in position).
-    Other collections give no rows.
+
+    def rows(node: Repeated, path: tuple[str, ...], above: list[str | None] | None) -> Iterator[tuple]:
+        here = (*path, node.name)
+        t = assemble(shred.columns, here)
+        n = len(t.get("record", ()))
+        own = t[node.key] if n and node.key else t.get("position", ())
+        keys: list[str | None] = []
+        for k in range(n):
+            payload = kept[t["record"][k]]
+            parent = str(payload) if above is None else above[t["parent"][k]]
+            keys.append(None if parent is None or own[k] is None else _text(own[k]) if node.key else str(own[k]))
+            if keys[-1] is not None:
+                yield payload, node.name, parent, int(t["position"][k]), keys[-1], {x.name: t[x.name][k] for x in node.leaves}
+        for g in node.groups:
+            yield from rows(g, here, keys)
+
+    yield from rows(root, (), None)
+
+
+def flat_rows(payloads: DataFrame, shapes: dict[str, Repeated] | None = None) -> DataFrame:
+    """Rows of the flat tables of all repeated groups, each naming its parent.
+
+    ``payloads`` has ``payload_id``, ``collection_name`` and ``body``; ``shapes``
+    gives the tree of each collection, by default the two of TESTDATA.md.
+    Payloads that are null, cut off or not JSON give no rows; records without
+    the leaf that names them, and all below them, do not count. Equal rows of
+    one payload stay (they differ in position). Other collections give no rows.
     """
-    shapes = {"sleep": (SLEEP_PAGE, "id", None), "training_status": (TRAINING_STATUS, "device_id", "calendar_date")}
+    shapes = shapes or {"sleep": SLEEP_PAGE, "training_status": TRAINING_STATUS}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = batch.to_pydict()
             got: list[tuple] = []
-            for name, (root, key, child) in shapes.items():
+            for name, root in shapes.items():
                 at = [k for k, c in enumerate(x["collection_name"]) if c == name]
-                got += _rows_of([x["payload_id"][k] for k in at], [x["body"][k] for k in at], root, key, child)
+                got += _rows_of([x["payload_id"][k] for k in at], [x["body"][k] for k in at], root)
             cols = list(zip(*got)) if got else [()] * 6
             fields = [[(n, None if v is None else _text(v)) for n, v in f.items()] for f in cols[5]]
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.string()), pa.array(cols[3], pa.int32()), pa.array(cols[4], pa.string()), pa.array(fields, pa.map_(pa.string(), pa.string()))], ["payload_id", "table_name", "parent_key", "position", "row_key", "fields"])

@@ -72,6 +72,32 @@ def test_estimated_zones_against_the_stations(spark):
     assert r["rows"] >= 0.99 and r["months"] >= 0.95, r
 
 
+def test_shredding_to_any_depth(spark):
+    """Four levels, two groups side by side, empty and missing parts: the flat tables against a plain walk."""
+    L, R_ = shredding.Leaf, shredding.Repeated
+    tree = R_("a", ("as",), (L("id", ("id",)),), (R_("b", ("bs",), (L("x", ("x",)),), (R_("c", ("cs",), (L("id", ("id",)),), (R_("d", ("ds",), (L("v", ("v",)),)),), key="id"),)), R_("e", ("es",), (L("id", ("id",)),), key="id")), key="id")
+    rnd = random.Random(4)
+    some = lambda make, p: [make() for _ in range(rnd.randrange(4))] if rnd.random() < p else rnd.choice([None, []])
+    name = lambda: rnd.choice([None, *"pqrstuv"])
+    c = lambda: {"id": name(), "ds": some(lambda: {"v": rnd.randrange(5)}, 0.8)}
+    docs = [{"as": some(lambda: {"id": name(), "bs": some(lambda: {"x": rnd.randrange(3), "cs": some(c, 0.7)}, 0.8), "es": some(lambda: {"id": name()}, 0.6)}, 0.9)} for _ in range(60)]
+    want = []
+
+    def walk(payload, node, value, parent):
+        for k, child in enumerate(value.get(node.places[0]) or []):
+            key = child["id"] if node.key else str(k)
+            if key is not None:
+                want.append((payload, node.name, parent, k, key))
+                for g in node.groups:
+                    walk(payload, g, child, key)
+
+    for i, doc in enumerate(docs):
+        walk(i, tree, doc, str(i))
+    df = spark.createDataFrame([(i, "t", json.dumps(d)) for i, d in enumerate(docs)], "payload_id long, collection_name string, body string")
+    got = [tuple(r)[:5] for r in shredding.flat_rows(df, {"t": tree}).collect()]
+    assert sorted(got) == sorted(want) and {g[1] for g in got} == set("abcde")
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(-5, 9), min_size=1, max_size=40), st.integers(1, 9), st.sampled_from(["sum", "max", "min"]))
 def test_two_stack_queue(values, window, how):
