@@ -310,11 +310,6 @@ def alerts(results: DataFrame) -> DataFrame:
     return results.where(~F.col("passed") & (F.col("severity") == ERROR))
 
 
-def config_of_catalog(catalog: DataFrame, important: list[str], sparse: list[str]) -> DataFrame:
-    """Check configuration of catalogued endpoints: important ones must have data, sparse ones may be empty."""
-    return catalog.withColumn("severity", F.when(F.col("collection_name").isin(important), ERROR).otherwise(WARN)).withColumn("expected_empty", F.when(F.col("collection_name").isin(important), False).otherwise(F.col("collection_name").isin(sparse)))
-
-
 def select_allowed(df: DataFrame, name: str, allow: DataFrame | None, deny: DataFrame | None) -> DataFrame:
     """Rows whose name is allowed (no or an empty list allows all) and not denied."""
     out = df

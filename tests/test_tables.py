@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pulselake.marts import gold
 from pulselake.operators import relational as R
+from pulselake.quality import catalog
 from pulselake.quality import checks as Q
 from pulselake.sources import files, sinks
 from pulselake.streaming import ingest
@@ -326,3 +327,24 @@ def test_trailing_count(spark):
     want = [1, 2, 3, 3, 1, 0]
     for size in (60, 3600, 86_400):
         assert {(r["k"], r["ts"]): r["n"] for r in R.trailing_count(df, ["k"], "ts", 60, bucket_seconds=size).collect()} == dict(zip(rows, want))
+
+
+def test_catalog(spark):
+    entries = [("sleep", "get_sleep", "daily"), ("weight", "get_weight", "range"), ("hill", "get_hill", "weekly"), ("badges", "get_badges", "static"), ("goals", "get_goals", "static_goals"), ("gear", "get_gear", "per_profile"), ("device", "get_device", "per_device"), ("solar", "get_solar", "per_device_range"), ("odd", "get_odd", "unknown")]
+    cat = spark.createDataFrame([(n, m, k, n) for n, m, k in entries], "name string, method string, kind string, collection string")
+    devices = spark.createDataFrame([(1,), (2,), (2,)], "device_id long")
+    got = sorted((r["name"], *r["arguments"]) for r in catalog.calls(cat, ["2026-01-01", "2026-01-02"], devices, "p9").collect())
+    assert got == sorted([("sleep", "2026-01-01"), ("sleep", "2026-01-02"), ("weight", "2026-01-01", "2026-01-02"), ("hill", "2026-01-02", "1"), ("badges",), *[("goals", x) for x in ("active", "past", "future")], ("gear", "p9"), ("device", "1"), ("device", "2"), ("solar", "1", "2026-01-01", "2026-01-02"), ("solar", "2", "2026-01-01", "2026-01-02")])
+    assert {r["name"] for r in catalog.calls(cat, [], devices.limit(0), "p9").collect()} == {"badges", "goals", "gear"}
+    methods = spark.createDataFrame([(m,) for m in ("get_sleep", "get_new", "download_activity", "set_goal", "login", "get_stats", "_get_x", "get_full_name")], "method string")
+    assert {r["method"] for r in catalog.uncatalogued(methods, cat).collect()} == {"get_new", "download_activity"}
+    assert catalog.forbidden(cat).count() == 0 and {r["method"] for r in catalog.forbidden(methods).collect()} == {"set_goal", "login", "get_full_name"}
+    conf = {r["collection"]: (r["severity"], r["expected_empty"]) for r in catalog.check_config(cat, ["sleep"], ["sleep", "hill"]).collect()}
+    assert conf["sleep"] == ("ERROR", False) and conf["hill"] == ("WARN", True) and conf["gear"] == ("WARN", False)
+    allow = spark.createDataFrame([("sleep",), ("gear",)], "name string")
+    deny = spark.createDataFrame([("gear",)], "name string")
+    assert [r["name"] for r in Q.select_allowed(cat, "name", allow, deny).collect()] == ["sleep"] and Q.select_allowed(cat, "name", allow.limit(0), deny).count() == 8
+    pages = spark.createDataFrame([("a", "t1"), ("a", "t1"), ("a", None), ("a", None), ("b", "t1")], "stream string, next_token string")
+    assert [tuple(r) for r in catalog.stuck_cursors(pages, ["stream"]).collect()] == [("a", "t1", 2)]
+    runs = spark.createDataFrame([("QUEUED",)] * 3 + [("DONE",)], "status string")
+    assert tuple(one(catalog.queue_too_deep(runs, 2))) == (3, False) and one(catalog.queue_too_deep(runs))["passed"]
