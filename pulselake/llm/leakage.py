@@ -46,8 +46,8 @@ LOOKALIKES = {
     "ɑ": "a", "ɡ": "g", "ı": "i", "ɩ": "i", "ʟ": "l", "ᴏ": "o", "ʀ": "r", "ꜱ": "s", "ᴜ": "u", "ᴠ": "v", "ᴡ": "w", "ᴢ": "z", "ᴀ": "a", "ʙ": "b", "ᴄ": "c", "ᴅ": "d", "ᴇ": "e", "ɢ": "g", "ʜ": "h", "ɪ": "i", "ᴊ": "j", "ᴋ": "k", "ᴍ": "m", "ɴ": "n", "ᴘ": "p", "ᴛ": "t", "ʏ": "y", "ø": "o", "đ": "d", "ł": "l", "ß": "ss",
 }
 _TABLE = {c: None for c in range(0x20000) if unicodedata.combining(chr(c))} | {ord(k): v for k, v in LOOKALIKES.items()}
-_TAG = re.compile(r"</?[A-Za-z][^<>]{0,200}>|<!--.*?-->|<br\s*/?>", re.S)
-_LINK = re.compile(r"\]\([^()\s]{0,300}\)")
+_TAG = re.compile(r"""</?[A-Za-z][\w:-]*(?:\s+[\w:.-]+(?:\s*=\s*(?:"[^"<>]*"|'[^'<>]*'|[^\s"'<>]+))?)*\s*/?>|<!--.*?-->""", re.S)
+_LINK = re.compile(r"\]\([^()\s]*\)")
 _UNIT = re.compile(r"\S+")
 _WORD = re.compile(r"[a-z0-9]+")
 _BROKEN = re.compile(r"[-‐‑](?<=[^\W\d_][-‐‑])[ \t]*\r?\n[>\s]*(?=[^\W\d_])")
