@@ -70,6 +70,7 @@ def add_when(df: DataFrame, out: str, text: Column, month_first: Column) -> Data
     t = {k: f"__{out}_{k}" for k in ("p", "n", "s", "z", "b", "d", "h", "x")}
     c = {k: F.col(v) for k, v in t.items()}
     plain, spread, zone, bare = c["p"], c["s"], c["z"], c["b"]
+    # no spelling of a day is shorter than 1.1.23
     df = df.withColumn(t["p"], apart(F.when(F.length(text) >= 6, F.trim(F.translate(text, "\u00a0\u202f", "  ")))))
     number = plain.rlike(r"^\d{9,19}$|^\d+\.\d+([Ee]\+?\d{1,2})?$|^\d+[Ee]\+?\d{1,2}$")
     exact = F.coalesce(plain.try_cast("decimal(38,9)"), plain.try_cast("double").try_cast("decimal(38,9)"))
