@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Keys under which payloads keep their records, page on, or report errors.
 DATA_KEYS = ("records", "data", "items", "results", "activities")
@@ -16,6 +19,24 @@ def json_str(json: Column, path: str) -> Column:
     return F.get_json_object(json, f"$.{path}" if not path.startswith(("$", "[")) else path)
 
 
+def with_fields(df: DataFrame, json: str, paths: list[str], name: str = "__f") -> tuple[DataFrame, Callable[[str], Column]]:
+    """``df`` with the fields of a JSON column read in one pass, and a getter of each field's text by its dotted path.
+
+    As ``json_str`` for every path, but a payload is parsed once however many
+    fields are read; one that is no object, or not readable to its end, has none.
+    """
+    tree: dict = {}
+    for p in paths:
+        at = tree
+        for step in p.split("."):
+            at = at.setdefault(step, {})
+
+    def shape(x: dict) -> T.DataType:
+        return T.StructType([T.StructField(k, shape(v) if v else T.StringType()) for k, v in x.items()])
+
+    return df.withColumn(name, F.from_json(F.col(json), shape(tree))), lambda p: F.col(".".join(f"`{x}`" for x in (name, *p.split("."))))
+
+
 def json_num(json: Column, path: str) -> Column:
     return json_str(json, path).try_cast("double")
 
@@ -31,8 +52,12 @@ def json_int(json: Column, path: str, kind: str = "int") -> Column:
     return exact_int(json_str(json, path), kind)
 
 
+def flag(text: Column, default: bool = False) -> Column:
+    return F.coalesce(text.try_cast("boolean"), F.lit(default))
+
+
 def json_bool(json: Column, path: str, default: bool = False) -> Column:
-    return F.coalesce(json_str(json, path).try_cast("boolean"), F.lit(default))
+    return flag(json_str(json, path), default)
 
 
 def iso_date(text: Column) -> Column:

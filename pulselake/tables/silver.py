@@ -6,68 +6,79 @@ lines) and gives a lazy DataFrame; columns are declared as data.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import exprs as E
+from ..functions.planning import where_computed
 from ..operators.relational import dedup_latest, full_outer_sources
 
-WHOLE, REAL, TEXT, LONG, DAY, TIME = "whole", "real", "text", "long", "day", "time"
+WHOLE, REAL, TEXT, LONG, DAY, TIME, FLAG, MINUTES, MILLI_MINUTES, KILO, EITHER, MILLIS, STRESS = "whole", "real", "text", "long", "day", "time", "flag", "minutes", "milli minutes", "kilo", "millis or text", "millis", "stress"
+
 
+KINDS = {
+    WHOLE: E.exact_int, REAL: lambda t: t.try_cast("double"), TEXT: lambda t: t, LONG: lambda t: E.exact_int(t, "bigint"), DAY: E.iso_date, TIME: E.ntz, FLAG: E.flag,
+    MINUTES: lambda t: t.try_cast("double") / 60.0, MILLI_MINUTES: lambda t: t.try_cast("double") / 60000.0, KILO: lambda t: t.try_cast("double") / 1000.0, EITHER: E.millis_or_iso, MILLIS: E.millis_ntz, STRESS: lambda t: E.without(E.exact_int(t), -1, -2),
+}
+Spec = dict[str, tuple[str, str]]  # output column: path and kind
 
-def _column(json: Column, path: str, kind: str) -> Column:
-    text = E.json_str(json, path)
-    return {WHOLE: lambda: E.exact_int(text), REAL: lambda: text.try_cast("double"), TEXT: lambda: text, LONG: lambda: E.exact_int(text, "bigint"), DAY: lambda: E.iso_date(text), TIME: lambda: E.ntz(text)}[kind]()
 
+def _typed(df: DataFrame, json: str, spec: Spec, needed: list[str], more: dict[str, Callable] | None = None, keep: list[str] | None = None, also: list[str] | None = None) -> DataFrame:
+    """The columns of a spec read from a JSON column in one pass, rows without one of the ``needed`` columns left out.
 
-def _columns(json: Column, spec: dict[str, tuple[str, str]]) -> list[Column]:
-    return [_column(json, path, kind).alias(name) for name, (path, kind) in spec.items()]
+    ``more``: columns made by a function of the field getter, of the paths in
+    ``also``; ``keep``: columns of ``df`` kept as they are.
+    """
+    parsed, get = E.with_fields(df, json, [p for p, _ in spec.values()] + (also or []))
+    columns = {n: KINDS[kind](get(p)) for n, (p, kind) in spec.items()} | {n: f(get) for n, f in (more or {}).items()}
+    typed = parsed.select(*[c.alias(n) for n, c in columns.items()], *(keep or []))
+    return where_computed(typed, reduce(lambda x, y: x & y, [F.col(n).isNotNull() for n in needed]))
 
 
 def _latest(df: DataFrame, keys: list[str], order: str, *helpers: str) -> DataFrame:
     return dedup_latest(df, keys, [order, "__file"]).drop(order, "__file", *helpers)
 
 
+def _captures(payloads: DataFrame) -> DataFrame:
+    return payloads.select("j", F.col("filename").alias("__file"), E.fetched_ms(F.col("filename")).alias("__fetched"))
+
+
 def _records(payloads: DataFrame, array: Column) -> DataFrame:
     return payloads.select(F.col("filename").alias("__file"), E.fetched_ms(F.col("filename")).alias("__fetched"), F.explode(array).alias("a"))
 
 
+_DTO = "dailySleepDTO"
+SLEEP_GARMIN: Spec = {
+    "night_date": (f"{_DTO}.calendarDate", DAY), "garmin_sleep_score": (f"{_DTO}.sleepScores.overall.value", WHOLE),
+    **{f"garmin_{n}_min": (f"{_DTO}.{k}Seconds", MINUTES) for n, k in (("total", "sleepTime"), ("deep", "deepSleep"), ("light", "lightSleep"), ("rem", "remSleep"), ("awake", "awakeSleep"))},
+    "garmin_avg_stress": (f"{_DTO}.avgSleepStress", REAL), "garmin_resp_avg": (f"{_DTO}.averageRespirationValue", REAL), "garmin_spo2_avg": (f"{_DTO}.averageSpO2Value", REAL), "garmin_rhr": ("restingHeartRate", WHOLE),
+    "garmin_start_gmt": (f"{_DTO}.sleepStartTimestampGMT", EITHER), "garmin_end_gmt": (f"{_DTO}.sleepEndTimestampGMT", EITHER),
+}
+
+
 def sleep_garmin(payloads: DataFrame) -> DataFrame:
-    j, dto = F.col("j"), "dailySleepDTO"
-    day = E.json_date(j, f"{dto}.calendarDate")
-    minutes = {"garmin_total_min": "sleepTime", "garmin_deep_min": "deepSleep", "garmin_light_min": "lightSleep", "garmin_rem_min": "remSleep", "garmin_awake_min": "awakeSleep"}
-    typed = payloads.where(day.isNotNull()).select(
-        day.alias("night_date"),
-        E.json_int(j, f"{dto}.sleepScores.overall.value").alias("garmin_sleep_score"),
-        *[(E.json_num(j, f"{dto}.{k}Seconds") / 60.0).alias(n) for n, k in minutes.items()],
-        *[E.json_num(j, f"{dto}.{k}").alias(n) for n, k in (("garmin_avg_stress", "avgSleepStress"), ("garmin_resp_avg", "averageRespirationValue"), ("garmin_spo2_avg", "averageSpO2Value"))],
-        E.json_int(j, "restingHeartRate").alias("garmin_rhr"),
-        *[E.millis_or_iso(E.json_str(j, f"{dto}.sleep{w}TimestampGMT")).alias(f"garmin_{w.lower()}_gmt") for w in ("Start", "End")],
-        E.fetched_ms(F.col("filename")).alias("__fetched"),
-        F.col("filename").alias("__file"),
-    )
-    return _latest(typed, ["night_date"], "__fetched")
+    return _latest(_typed(_captures(payloads), "j", SLEEP_GARMIN, ["night_date"], keep=["__fetched", "__file"]), ["night_date"], "__fetched")
+
+
+def _local(start: str) -> Callable:
+    """The local day of an instant by the record's own offset."""
+    return lambda get: E.local_date(get(start), get("timezone_offset"))
+
+
+_STAGE = "score.stage_summary."
+SLEEP_WHOOP: Spec = {
+    "whoop_sleep_id": ("id", TEXT), "is_nap": ("nap", FLAG), **{f"whoop_{k}_pct": (f"score.sleep_{k}_percentage", REAL) for k in ("performance", "efficiency", "consistency")}, "whoop_resp_rate": ("score.respiratory_rate", REAL),
+    **{f"whoop_{n}_min": (f"{_STAGE}total_{k}_time_milli", MILLI_MINUTES) for n, k in (("deep", "slow_wave_sleep"), ("rem", "rem_sleep"), ("light", "light_sleep"), ("awake", "awake"))},
+    "whoop_disturbances": (f"{_STAGE}disturbance_count", WHOLE), "whoop_cycle_id": ("cycle_id", LONG), "whoop_start": ("start", TIME), "whoop_end": ("end", TIME), "__updated": ("updated_at", TEXT),
+}
 
 
 def sleep_whoop(payloads: DataFrame) -> DataFrame:
-    a = F.col("a")
-    score, stages = "score.", "score.stage_summary."
-    day = E.local_date(E.json_str(a, "end"), E.json_str(a, "timezone_offset"))
-    typed = _records(payloads, E.json_array(F.col("j"), "records")).select(
-        day.alias("night_date"),
-        E.json_str(a, "id").alias("whoop_sleep_id"),
-        E.json_bool(a, "nap").alias("is_nap"),
-        *[E.json_num(a, f"{score}sleep_{k}_percentage").alias(f"whoop_{k}_pct") for k in ("performance", "efficiency", "consistency")],
-        E.json_num(a, f"{score}respiratory_rate").alias("whoop_resp_rate"),
-        *[(E.json_num(a, f"{stages}total_{k}_time_milli") / 60000.0).alias(f"whoop_{n}_min") for n, k in (("deep", "slow_wave_sleep"), ("rem", "rem_sleep"), ("light", "light_sleep"), ("awake", "awake"))],
-        E.json_int(a, f"{stages}disturbance_count").alias("whoop_disturbances"),
-        E.json_int(a, "cycle_id", "bigint").alias("whoop_cycle_id"),
-        E.ntz(E.json_str(a, "start")).alias("whoop_start"),
-        E.ntz(E.json_str(a, "end")).alias("whoop_end"),
-        E.json_str(a, "updated_at").alias("__updated"),
-        "__file",
-    )
-    return _latest(typed.where(F.col("whoop_sleep_id").isNotNull() & F.col("night_date").isNotNull()), ["whoop_sleep_id"], "__updated")
+    typed = _typed(_records(payloads, E.json_array(F.col("j"), "records")), "a", SLEEP_WHOOP, ["whoop_sleep_id", "night_date"], {"night_date": _local("end")}, ["__file"], ["timezone_offset"])
+    return _latest(typed.select("night_date", *SLEEP_WHOOP, "__file"), ["whoop_sleep_id"], "__updated")
 
 
 def sleep_unified(garmin: DataFrame, whoop: DataFrame) -> DataFrame:
@@ -87,62 +98,58 @@ def glucose(rows: DataFrame) -> DataFrame:
     return _latest(typed, ["reading_ts_utc"], "__fetched")
 
 
+RECOVERY: Spec = {
+    "cycle_id": ("cycle_id", LONG), "sleep_id": ("sleep_id", TEXT), "recovery_date": ("created_at", DAY), "created_at": ("created_at", TIME),
+    **{k: (f"score.{k}", REAL) for k in ("recovery_score", "resting_heart_rate", "hrv_rmssd_milli", "spo2_percentage", "skin_temp_celsius")}, "user_calibrating": ("score.user_calibrating", FLAG), "__updated": ("updated_at", TEXT), "__key": ("cycle_id", TEXT),
+}
+
+
 def recovery(payloads: DataFrame) -> DataFrame:
-    a = F.col("a")
-    typed = _records(payloads, E.json_array(F.col("j"), "records")).where(E.json_str(a, "cycle_id").isNotNull()).select(
-        *_columns(a, {"cycle_id": ("cycle_id", LONG), "sleep_id": ("sleep_id", TEXT), "recovery_date": ("created_at", DAY), "created_at": ("created_at", TIME)} | {k: (f"score.{k}", REAL) for k in ("recovery_score", "resting_heart_rate", "hrv_rmssd_milli", "spo2_percentage", "skin_temp_celsius")}),
-        E.json_bool(a, "score.user_calibrating").alias("user_calibrating"),
-        E.json_str(a, "updated_at").alias("__updated"),
-        "__file",
-    )
-    return _latest(typed, ["cycle_id"], "__updated")
+    return _latest(_typed(_records(payloads, E.json_array(F.col("j"), "records")), "a", RECOVERY, ["__key"], keep=["__file"]), ["cycle_id"], "__updated", "__key")
+
+
+STRAIN: Spec = {
+    "cycle_id": ("id", LONG), "start_ts": ("start", TIME), "end_ts": ("end", TIME), "day_strain": ("score.strain", REAL), "kilojoules": ("score.kilojoule", REAL), "avg_heart_rate": ("score.average_heart_rate", WHOLE), "max_heart_rate": ("score.max_heart_rate", WHOLE), "score_state": ("score_state", TEXT), "__updated": ("updated_at", TEXT), "__key": ("id", TEXT),
+}
 
 
 def strain(payloads: DataFrame) -> DataFrame:
-    a = F.col("a")
-    typed = _records(payloads, E.json_array(F.col("j"), "records")).where(E.json_str(a, "id").isNotNull()).select(
-        E.json_int(a, "id", "bigint").alias("cycle_id"),
-        E.local_date(E.json_str(a, "start"), E.json_str(a, "timezone_offset")).alias("strain_date"),
-        *_columns(a, {"start_ts": ("start", TIME), "end_ts": ("end", TIME), "day_strain": ("score.strain", REAL), "kilojoules": ("score.kilojoule", REAL), "avg_heart_rate": ("score.average_heart_rate", WHOLE), "max_heart_rate": ("score.max_heart_rate", WHOLE), "score_state": ("score_state", TEXT)}),
-        E.json_str(a, "updated_at").alias("__updated"),
-        "__file",
-    )
-    return _latest(typed, ["cycle_id"], "__updated")
+    typed = _typed(_records(payloads, E.json_array(F.col("j"), "records")), "a", STRAIN, ["__key"], {"strain_date": _local("start")}, ["__file"], ["timezone_offset"])
+    return _latest(typed.select("cycle_id", "strain_date", *[c for c in STRAIN if c != "cycle_id"], "__file"), ["cycle_id"], "__updated", "__key")
 
 
-WORKOUT = {
+WORKOUT: Spec = {
     "activity_id": ("activityId", LONG), "activity_name": ("activityName", TEXT), "activity_type": ("activityType.typeKey", TEXT), "activity_date": ("startTimeLocal", DAY), "start_time_local": ("startTimeLocal", TIME), "start_time_gmt": ("startTimeGMT", TIME),
     "duration_sec": ("duration", REAL), "moving_duration_sec": ("movingDuration", REAL), "elapsed_duration_sec": ("elapsedDuration", REAL), "distance_m": ("distance", REAL), "calories": ("calories", REAL), "avg_hr": ("averageHR", WHOLE), "max_hr": ("maxHR", WHOLE),
-    **{f"hr_z{z}_sec": (f"hrTimeInZone_{z}", REAL) for z in range(1, 6)}, "device_id": ("deviceId", LONG),
+    **{f"hr_z{z}_sec": (f"hrTimeInZone_{z}", REAL) for z in range(1, 6)}, "device_id": ("deviceId", LONG), "__key": ("activityId", TEXT),
 }
 
 
 def workouts(payloads: DataFrame) -> DataFrame:
-    a = F.col("a")
-    typed = _records(payloads, E.json_array(F.col("j"))).where(E.json_str(a, "activityId").isNotNull()).select(*_columns(a, WORKOUT), "__fetched", "__file")
-    return _latest(typed, ["activity_id"], "__fetched")
+    return _latest(_typed(_records(payloads, E.json_array(F.col("j"))), "a", WORKOUT, ["__key"], keep=["__fetched", "__file"]), ["activity_id"], "__fetched", "__key")
 
 
-LAP = {
+LAP: Spec = {
     "lap_index": ("lapIndex", WHOLE), "lap_start_gmt": ("startTimeGMT", TIME), "duration_sec": ("duration", REAL), "moving_duration_sec": ("movingDuration", REAL), "distance_m": ("distance", REAL), "avg_speed_mps": ("averageSpeed", REAL), "max_speed_mps": ("maxSpeed", REAL),
-    "avg_hr": ("averageHR", WHOLE), "max_hr": ("maxHR", WHOLE), "calories": ("calories", REAL), "elevation_gain_m": ("elevationGain", REAL), "elevation_loss_m": ("elevationLoss", REAL),
+    "avg_hr": ("averageHR", WHOLE), "max_hr": ("maxHR", WHOLE), "calories": ("calories", REAL), "elevation_gain_m": ("elevationGain", REAL), "elevation_loss_m": ("elevationLoss", REAL), "__key": ("lapIndex", TEXT),
 }
 
 
 def workout_splits(payloads: DataFrame) -> DataFrame:
-    a = F.col("a")
     laps = payloads.select(F.col("filename").alias("__file"), E.fetched_ms(F.col("filename")).alias("__fetched"), E.json_int(F.col("j"), "activityId", "bigint").alias("activity_id"), F.explode(E.json_array(F.col("j"), "lapDTOs")).alias("a"))
-    typed = laps.where(F.col("activity_id").isNotNull() & E.json_str(a, "lapIndex").isNotNull()).select("activity_id", *_columns(a, LAP), "__fetched", "__file")
-    return _latest(typed, ["activity_id", "lap_index"], "__fetched")
+    typed = _typed(laps, "a", LAP, ["activity_id", "__key"], keep=["activity_id", "__fetched", "__file"])
+    return _latest(typed.select("activity_id", *LAP, "__fetched", "__file"), ["activity_id", "lap_index"], "__fetched", "__key")
+
+
+WHOOP_WORKOUT: Spec = {
+    "workout_id": ("id", TEXT), "sport_name": ("sport_name", TEXT), "sport_id": ("sport_id", WHOLE), "start_ts": ("start", TIME), "end_ts": ("end", TIME), "strain": ("score.strain", REAL), "avg_heart_rate": ("score.average_heart_rate", WHOLE), "max_heart_rate": ("score.max_heart_rate", WHOLE), "kilojoules": ("score.kilojoule", REAL),
+    "distance_m": ("score.distance_meter", REAL), "altitude_gain_m": ("score.altitude_gain_meter", REAL), "percent_recorded": ("score.percent_recorded", REAL), "score_state": ("score_state", TEXT), "__updated": ("updated_at", TEXT),
+}
 
 
 def whoop_workouts(payloads: DataFrame) -> DataFrame:
-    a = F.col("a")
-    spec = {"sport_name": ("sport_name", TEXT), "sport_id": ("sport_id", WHOLE), "start_ts": ("start", TIME), "end_ts": ("end", TIME), "strain": ("score.strain", REAL), "avg_heart_rate": ("score.average_heart_rate", WHOLE), "max_heart_rate": ("score.max_heart_rate", WHOLE), "kilojoules": ("score.kilojoule", REAL), "distance_m": ("score.distance_meter", REAL), "altitude_gain_m": ("score.altitude_gain_meter", REAL), "percent_recorded": ("score.percent_recorded", REAL), "score_state": ("score_state", TEXT)}
-    typed = _records(payloads, E.json_array(F.col("j"), "records")).where(E.json_str(a, "id").isNotNull()).select(
-        E.json_str(a, "id").alias("workout_id"), E.local_date(E.json_str(a, "start"), E.json_str(a, "timezone_offset")).alias("workout_date"), *_columns(a, spec), E.json_str(a, "updated_at").alias("__updated"), "__file"
-    )
-    return _latest(typed, ["workout_id"], "__updated")
+    typed = _typed(_records(payloads, E.json_array(F.col("j"), "records")), "a", WHOOP_WORKOUT, ["workout_id"], {"workout_date": _local("start")}, ["__file"], ["timezone_offset"])
+    return _latest(typed.select("workout_id", "workout_date", *[c for c in WHOOP_WORKOUT if c != "workout_id"], "__file"), ["workout_id"], "__updated")
 
 
 # Output column and source key of the daily summary.
@@ -158,37 +165,21 @@ DAILY_REAL = {
 DAILY_STRESS = {"avg_stress_level": "averageStressLevel", "max_stress_level": "maxStressLevel"}
 
 
+DAILY: Spec = {"activity_date": ("calendarDate", DAY), **{n: (k, WHOLE) for n, k in DAILY_WHOLE.items()}, **{n: (k, REAL) for n, k in DAILY_REAL.items()}, **{n: (k, STRESS) for n, k in DAILY_STRESS.items()}}
+
+
 def daily(payloads: DataFrame) -> DataFrame:
-    j = F.col("j")
-    day = E.json_date(j, "calendarDate")
-    typed = payloads.where(day.isNotNull()).select(
-        day.alias("activity_date"),
-        *[E.json_int(j, k).alias(n) for n, k in DAILY_WHOLE.items()],
-        *[E.json_num(j, k).alias(n) for n, k in DAILY_REAL.items()],
-        *[E.without(E.json_int(j, k), -1, -2).alias(n) for n, k in DAILY_STRESS.items()],
-        E.fetched_ms(F.col("filename")).alias("__fetched"),
-        F.col("filename").alias("__file"),
-    )
-    return _latest(typed, ["activity_date"], "__fetched")
+    return _latest(_typed(_captures(payloads), "j", DAILY, ["activity_date"], keep=["__fetched", "__file"]), ["activity_date"], "__fetched")
+
+
+BODY: Spec = {
+    "sample_pk": ("samplePk", LONG), "measured_date": ("calendarDate", DAY), "measured_ts_utc": ("timestampGMT", MILLIS), "weight_kg": ("weight", KILO), "bmi": ("bmi", REAL), "body_fat_pct": ("bodyFat", REAL), "body_water_pct": ("bodyWater", REAL), "bone_mass_kg": ("boneMass", KILO), "muscle_mass_kg": ("muscleMass", KILO),
+    "physique_rating": ("physiqueRating", WHOLE), "visceral_fat": ("visceralFat", WHOLE), "metabolic_age": ("metabolicAge", WHOLE), "weight_delta_kg": ("weightDelta", KILO), "source_type": ("sourceType", TEXT), "__key": ("samplePk", TEXT),
+}
 
 
 def body(payloads: DataFrame) -> DataFrame:
-    a = F.col("a")
-    kilo = lambda path: E.json_num(a, path) / 1000.0
-    typed = _records(payloads, E.json_array(F.col("j"), "dateWeightList")).where(E.json_str(a, "samplePk").isNotNull()).select(
-        *_columns(a, {"sample_pk": ("samplePk", LONG), "measured_date": ("calendarDate", DAY)}),
-        E.millis_ntz(E.json_str(a, "timestampGMT")).alias("measured_ts_utc"),
-        kilo("weight").alias("weight_kg"),
-        *_columns(a, {"bmi": ("bmi", REAL), "body_fat_pct": ("bodyFat", REAL), "body_water_pct": ("bodyWater", REAL)}),
-        kilo("boneMass").alias("bone_mass_kg"),
-        kilo("muscleMass").alias("muscle_mass_kg"),
-        *_columns(a, {"physique_rating": ("physiqueRating", WHOLE), "visceral_fat": ("visceralFat", WHOLE), "metabolic_age": ("metabolicAge", WHOLE)}),
-        kilo("weightDelta").alias("weight_delta_kg"),
-        E.json_str(a, "sourceType").alias("source_type"),
-        "__fetched",
-        "__file",
-    )
-    return _latest(typed, ["sample_pk"], "__fetched")
+    return _latest(_typed(_records(payloads, E.json_array(F.col("j"), "dateWeightList")), "a", BODY, ["__key"], keep=["__fetched", "__file"]), ["sample_pk"], "__fetched", "__key")
 
 
 def _snapshots(payloads: DataFrame, *columns: Column, keep: Column | None = None) -> DataFrame:
