@@ -26,7 +26,6 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -294,22 +293,24 @@ def _changes_within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield _part_batch(rows)
 
 
-def _ends(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Changes between the chunks of one feed."""
-    pdf = pdf.sort_values(["at", "file_id"])
-    rows, tail, types = [], None, {}
-    for r in pdf.itertuples():
-        head, start = FileState.load(r.head), {}
-        if tail is not None:
-            changes, start = steps(tail, head, types)
-            rows += [(int(r.feed_id), int(r.file_id), *c) for c in changes]
-        for name, kind, file_id, same in json.loads(r.pending):
-            if same and start.get(name) and start[name] != kind:
-                rows.append((int(r.feed_id), int(file_id), "retyped", same, same))
-        types = json.loads(r.known)
-        types |= {now: start[name] for now, name in json.loads(r.passed).items() if start.get(name)}
-        tail = FileState.load(r.tail)
-    return pd.DataFrame(rows, columns=_schema(CHANGE))
+def _changes_between(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Changes between the chunks of each feed, from the chunks' ends in order of feed and time."""
+    feed, tail, types = None, None, {}
+    for batch in batches:
+        rows: list[tuple] = []
+        for now, file_id, first, last, pending, passed, known in zip(*(batch.column(c).to_pylist() for c in ("feed_id", "file_id", "head", "tail", "pending", "passed", "known"))):
+            head, start = FileState.load(first), {}
+            if now == feed:
+                changes, start = steps(tail, head, types)
+                rows += [(now, file_id, *c) for c in changes]
+            for name, kind, where, same in json.loads(pending):
+                if same and start.get(name) and start[name] != kind:
+                    rows.append((now, where, "retyped", same, same))
+            types = json.loads(known)
+            types |= {n: start[name] for n, name in json.loads(passed).items() if start.get(name)}
+            feed, tail = now, head if last == first else FileState.load(last)
+        cols = list(zip(*rows)) or [()] * 5
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64() if k < 2 else pa.string()) for k, c in enumerate(cols)], _schema(CHANGE))
 
 
 def schema_changes(files: DataFrame) -> DataFrame:
@@ -328,7 +329,8 @@ def schema_changes(files: DataFrame) -> DataFrame:
     ordered.mapInArrow(_changes_within, PART).write.parquet(path)
     kept = spark.read.schema(PART).parquet(path)
     inside = kept.where(F.col("change_kind").isNotNull()).select("feed_id", "file_id", "change_kind", "old_field", "new_field")
-    between = kept.where(F.col("at").isNotNull()).groupBy("feed_id").applyInPandas(_ends, CHANGE)
+    ends = kept.where(F.col("at").isNotNull()).drop("change_kind", "old_field", "new_field").repartition("feed_id").sortWithinPartitions("feed_id", "at", "file_id")
+    between = ends.mapInArrow(_changes_between, CHANGE)
     return inside.unionByName(between)
 
 
